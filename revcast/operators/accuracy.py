@@ -1,0 +1,134 @@
+"""Gold scoring: forecast ⋈ observation and the accuracy cuts (J1, P15-P24,
+A1, A3, A4, O1, O3, D4, D14, D18, D21)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions.timecols import lead_bucket, lead_hours_exact
+from .silver import latest_per_key
+
+OBSERVATION_KEY = ["source", "city", "observation_timestamp"]
+# The last ingested reading of an hour wins; ties → greatest id.
+OBSERVATION_ORDER = ["ingested_at", "event_id"]
+
+
+def latest_observations(silver_observations: DataFrame) -> DataFrame:
+    """One reading per (source, city, hour), so a corrected hour is
+    scored once. Same rule as the warehouse upsert (U2)."""
+    return latest_per_key(silver_observations, OBSERVATION_KEY, OBSERVATION_ORDER)
+
+
+def gold_rows(
+    forecasts: DataFrame,
+    observations: DataFrame,
+    target_dates: list[str] | None = None,
+    observation_source: str | None = None,
+) -> DataFrame:
+    """One row per matched (forecast, observation), 18 columns.
+
+    ``forecasts`` are silver forecasts; ``observations`` one row per
+    (source, city, hour), e.g. :func:`latest_observations`. The join is on
+    city and target hour, source deliberately not in the key (D18); pass
+    ``observation_source`` to score against one observing source only.
+    ``target_dates`` filters the date partition columns so a partitioned
+    silver read prunes files (R1) instead of scanning every date.
+    """
+    f = forecasts
+    o = observations
+    if target_dates is not None:
+        f = f.where(F.col("forecast_date").isin(target_dates))
+        o = o.where(F.col("observation_date").isin(target_dates))
+    if observation_source is not None:
+        o = o.where(F.col("source") == observation_source)
+    f = f.select(
+        "event_id",
+        "source",
+        "city",
+        "issued_at",
+        "forecast_timestamp",
+        F.col("temperature_2m_c").alias("forecast_temperature_c"),
+        "precipitation_probability_pct",
+        F.col("wind_speed_10m_kmh").alias("forecast_wind_kmh"),
+    )
+    o = o.select(
+        F.col("source").alias("observation_source"),
+        "city",
+        # Same name on both sides → a name-based join, one `city` column.
+        F.col("observation_timestamp").alias("forecast_timestamp"),
+        F.col("temperature_2m_c").alias("observed_temperature_c"),
+        "precipitation_mm",
+        F.col("wind_speed_10m_kmh").alias("observed_wind_kmh"),
+    )
+    # Shuffle join on (city, hour): city alone has a handful of values and
+    # would skew; AQE splits any partition that is still oversized.
+    joined = f.join(o, on=["city", "forecast_timestamp"], how="inner")
+    error = F.col("forecast_temperature_c") - F.col("observed_temperature_c")
+    lead = lead_hours_exact("issued_at", "forecast_timestamp")
+    return joined.select(
+        "event_id",
+        "source",
+        "observation_source",
+        "city",
+        "issued_at",
+        "forecast_timestamp",
+        lead.alias("lead_hours"),
+        lead_bucket(lead).alias("lead_time_bucket"),
+        "forecast_temperature_c",
+        "observed_temperature_c",
+        error.alias("temperature_error_c"),
+        F.abs(error).alias("temperature_absolute_error_c"),
+        F.pow(error, 2).alias("temperature_squared_error"),
+        "precipitation_probability_pct",
+        "precipitation_mm",
+        "forecast_wind_kmh",
+        "observed_wind_kmh",
+        F.to_date("forecast_timestamp").alias("target_date"),
+    ).select(*schemas.GOLD_COLUMNS)
+
+
+def _measures(prefix: str = "temperature_", count_name: str = "matched_forecasts"):
+    return [
+        F.count(F.lit(1)).alias(count_name),
+        F.avg("temperature_absolute_error_c").alias(f"{prefix}mae_c"),
+        F.sqrt(F.avg("temperature_squared_error")).alias(f"{prefix}rmse_c"),
+        F.avg("temperature_error_c").alias(f"{prefix}bias_c"),
+    ]
+
+
+def summary(gold: DataFrame) -> DataFrame:
+    """A1 + O1: count, MAE, RMSE, bias by city and lead bucket, ordered."""
+    return (
+        gold.groupBy("city", "lead_time_bucket")
+        .agg(*_measures())
+        .orderBy("city", "lead_time_bucket")
+    )
+
+
+def by_source(gold: DataFrame) -> DataFrame:
+    """A3: the same measures per forecasting source."""
+    return gold.groupBy("source").agg(*_measures()).orderBy("source")
+
+
+CUTS = ["city", "source", "lead_time_bucket"]
+
+
+def grouping_sets(gold: DataFrame) -> DataFrame:
+    """A4: city, source, bucket and city × bucket cuts in one aggregation
+    pass (one shuffle) instead of four jobs. ``grouping_level`` tells the
+    cuts apart (bit set = column rolled up, first column most significant)."""
+    sets = [[F.col("city")], [F.col("source")], [F.col("lead_time_bucket")],
+            [F.col("city"), F.col("lead_time_bucket")]]
+    return gold.groupingSets(sets, *CUTS).agg(
+        F.grouping_id(*CUTS).cast("int").alias("grouping_level"), *_measures()
+    )
+
+
+SUMMARY_DISPLAY_ROWS = 200
+
+
+def summary_display(gold: DataFrame) -> DataFrame:
+    """K6/O3: the printed report: at most 200 rows, in order."""
+    return summary(gold).limit(SUMMARY_DISPLAY_ROWS)
