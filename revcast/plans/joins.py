@@ -1,0 +1,27 @@
+"""Size-checked broadcast.
+
+A dimension is broadcast only after its row count is known to be under a
+bound. The check runs on a materialised copy (a reliable checkpoint in the
+shared folder), so the dimension is computed once, counted cheaply and then
+joined from the checkpoint. Above the bound the frame is returned unhinted
+and the join stays a shuffle join (AQE may still pick a broadcast at run
+time from the real shuffle sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import shared_dir
+
+# Dimensions hold one row per city / source name; a million rows of a few
+# columns is tens of MB, well inside a broadcast.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is set
+    frozen = df.checkpoint(eager=True)
+    n = frozen.limit(max_rows + 1).count()
+    return F.broadcast(frozen) if n <= max_rows else frozen

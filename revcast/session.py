@@ -52,6 +52,7 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
