@@ -80,7 +80,9 @@ def gold_rows(
         "observed_temperature_c",
         error.alias("temperature_error_c"),
         F.abs(error).alias("temperature_absolute_error_c"),
-        F.pow(error, 2).alias("temperature_squared_error"),
+        # x*x rather than pow(x, 2): one correctly rounded product, the same
+        # on every engine (pow may differ in the last bit).
+        (error * error).alias("temperature_squared_error"),
         "precipitation_probability_pct",
         "precipitation_mm",
         "forecast_wind_kmh",

@@ -126,7 +126,7 @@ gold AS (
          o.temperature_2m_c AS observed_temperature_c,
          f.temperature_2m_c - o.temperature_2m_c AS temperature_error_c,
          abs(f.temperature_2m_c - o.temperature_2m_c) AS temperature_absolute_error_c,
-         pow(f.temperature_2m_c - o.temperature_2m_c, 2) AS temperature_squared_error,
+         (f.temperature_2m_c - o.temperature_2m_c) * (f.temperature_2m_c - o.temperature_2m_c) AS temperature_squared_error,
          f.precipitation_probability_pct, o.precipitation_mm,
          f.wind_speed_10m_kmh AS forecast_wind_kmh,
          o.wind_speed_10m_kmh AS observed_wind_kmh,
