@@ -443,3 +443,96 @@ def acc_gold_columns():
     from .. import schemas
 
     return schemas.GOLD_COLUMNS
+
+
+# --- 14. streaming ------------------------------------------------------------------------------
+
+
+def _land_in_two(df: DataFrame, landing: str, time_col: str, fmt: str, run) -> None:
+    """Land ``df`` in two deliveries split at ``SPLIT_AT`` and run the
+    stream after each one (``availableNow``): the second run restarts from
+    the checkpoint and must only pick up the new files."""
+    for part in I.split_at(df, time_col, SPLIT_AT):
+        part.write.mode("append").format(fmt).save(landing)
+        run()
+
+
+def _bronze_flow(spark, d):
+    from .. import schemas
+    from ..session import scratch_path
+    from ..sources import fixtures as fx
+    from ..streaming import bronze
+
+    root = scratch_path(spark, "stream-bronze")
+    records = fx.stream_records(I.raw(spark, d, "forecast"), schemas.FORECAST_COLUMNS).unionByName(
+        fx.stream_records(I.raw(spark, d, "observation"), schemas.OBSERVATION_COLUMNS)
+    )
+
+    def run():
+        bronze.await_all(
+            bronze.start_bronze(
+                spark, f"{root}/landing", f"{root}/bronze", f"{root}/dead_letter", f"{root}/_checkpoints"
+            )
+        )
+
+    _land_in_two(records, f"{root}/landing", "ingested_at", "json", run)
+    return root
+
+
+@query("stream_bronze")
+def stream_bronze(spark, d):
+    """R1s/K1: records decoded and landed in bronze by event type and UTC
+    ingestion hour; read back."""
+    from ..streaming import bronze
+
+    root = _bronze_flow(spark, d)
+    return bronze.read_bronze(spark, f"{root}/bronze")
+
+
+@query("stream_dead_letter")
+def stream_dead_letter(spark, d):
+    """R2s/F10: damaged records reported by id with the reason."""
+    from ..streaming import bronze
+
+    root = _bronze_flow(spark, d)
+    return bronze.read_dead_letter(spark, f"{root}/dead_letter").select("record_id", "key", "error")
+
+
+def _merge_flow(spark, d, kind, rows, time_col, fact_dir, date_col, out_cols):
+    from ..session import scratch_path
+    from ..streaming import merge
+
+    root = scratch_path(spark, f"stream-{kind}")
+    schema = rows.schema
+
+    def run():
+        q = merge.start_merge(
+            merge.read_silver_stream(spark, f"{root}/landing", schema),
+            kind, f"{root}/{fact_dir}", f"{root}/_checkpoints/{kind}",
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    _land_in_two(rows, f"{root}/landing", time_col, "parquet", run)
+    from . import storage
+
+    return storage.read_partitions(spark, f"{root}/{fact_dir}", date_col).select(*out_cols)
+
+
+@query("stream_scd2")
+def stream_scd2(spark, d):
+    """R6s: the redelivered forecast stream merged batch by batch."""
+    return _merge_flow(
+        spark, d, "forecast", I.redelivery(spark, d), "ingested_at",
+        "fact_forecast_revision", "forecast_date", FACT_OUT,
+    )
+
+
+@query("stream_upsert")
+def stream_upsert(spark, d):
+    """R5s: late and corrected observations upserted batch by batch."""
+    return _merge_flow(
+        spark, d, "observation", I.valid(spark, d, "observation"), "ingested_at",
+        "fact_observation", "observation_date", OBS_OUT,
+    )

@@ -437,3 +437,38 @@ ORACLE["silver_incremental_two_days"] = W(*SILVER_F) + "\nSELECT * FROM fc_silve
 ORACLE["warehouse_incremental"] = ORACLE["scd2_revisions"]
 ORACLE["warehouse_observation_incremental"] = ORACLE["observation_upsert"]
 ORACLE["gold_incremental"] = ORACLE["gold_accuracy_rows"]
+
+ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+STREAM_ROWS = f"""
+recs AS (
+  SELECT event_id, event_type, source, city, latitude, longitude, temperature_2m_c,
+         wind_speed_10m_kmh, strftime(ingested_at, {ISO}) AS ingested_at,
+         strftime(issued_at, {ISO}) AS issued_at,
+         strftime(forecast_timestamp, {ISO}) AS forecast_timestamp,
+         precipitation_probability_pct,
+         CAST(NULL AS VARCHAR) AS observation_timestamp, CAST(NULL AS DOUBLE) AS precipitation_mm,
+         ingested_at AS ts, city AS key
+  FROM fc_raw
+  UNION ALL
+  SELECT event_id, event_type, source, city, latitude, longitude, temperature_2m_c,
+         wind_speed_10m_kmh, strftime(ingested_at, {ISO}), NULL, NULL, NULL,
+         strftime(observation_timestamp, {ISO}), precipitation_mm, ingested_at, city
+  FROM ob_raw)"""
+
+ORACLE["stream_bronze"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + """
+SELECT event_id, source, city, latitude, longitude, temperature_2m_c, wind_speed_10m_kmh,
+       ingested_at, issued_at, forecast_timestamp, precipitation_probability_pct,
+       observation_timestamp, precipitation_mm, event_type,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+       strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
+FROM recs
+WHERE CAST(event_id AS BIGINT) % 101 <> 0 AND CAST(event_id AS BIGINT) % 103 <> 0"""
+
+ORACLE["stream_dead_letter"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + """
+SELECT event_id AS record_id, key,
+       CASE WHEN CAST(event_id AS BIGINT) % 101 = 0 THEN 'bad_base64' ELSE 'bad_json' END AS error
+FROM recs
+WHERE CAST(event_id AS BIGINT) % 101 = 0 OR CAST(event_id AS BIGINT) % 103 = 0"""
+
+ORACLE["stream_scd2"] = ORACLE["scd2_apply_incremental"]
+ORACLE["stream_upsert"] = ORACLE["observation_upsert"]

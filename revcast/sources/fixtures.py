@@ -111,3 +111,31 @@ def redelivered(valid_forecasts: DataFrame) -> DataFrame:
         F.col("event_id").cast("bigint") % REDELIVER_EVERY == 0
     ).withColumn("ingested_at", add_hours("ingested_at", REDELIVERY_DELAY_HOURS))
     return valid_forecasts.unionByName(again)
+
+
+# Which mapped events are delivered damaged on the stream.
+BAD_BASE64_EVERY = 101
+BAD_JSON_EVERY = 103
+BAD_JSON_PREFIX = 20
+
+
+def stream_records(events: DataFrame, columns: list[str]) -> DataFrame:
+    """Events as stream records (``record_id, key, value`` = base64 JSON),
+    with some deliveries damaged so the dead letter has work: every 101st
+    value is not base64, every 103rd carries cut-off JSON."""
+    from ..operators.ingest import JSON_OPTIONS
+
+    n = F.col("event_id").cast("bigint")
+    text = F.to_json(F.struct(*columns), JSON_OPTIONS)
+    good = F.base64(text.cast("binary"))
+    value = (
+        F.when(n % BAD_BASE64_EVERY == 0, F.concat(F.lit("!"), good))
+        .when(n % BAD_JSON_EVERY == 0, F.base64(F.substring(text, 1, BAD_JSON_PREFIX).cast("binary")))
+        .otherwise(good)
+    )
+    return events.select(
+        F.col("event_id").alias("record_id"),
+        F.col("city").alias("key"),
+        value.alias("value"),
+        "ingested_at",
+    )
