@@ -228,24 +228,26 @@ def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
 
 def scd2_apply(history: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
     """Close changed current rows, insert new or changed revisions, leave
-    repeats alone; replay-safe and independent of how batches are split.
+    repeats alone; replay-safe and independent of how time-ordered batches
+    are split.
 
     ``history`` holds the stored rows of the partitions the batch touches
     (the history key includes the target date, so that is all it needs).
-    Only keys present in the batch are rebuilt; the rest pass through."""
-    inc = incoming.select(
+    Stored revisions go back in as their first and last sightings and every
+    chain of those partitions is rebuilt in the same single shuffle on the
+    natural key: a chain the batch does not touch comes out unchanged, so
+    no semi/anti join over the history is needed to find affected keys, and
+    the partitions are rewritten whole anyway.
+    """
+    sightings = incoming.select(
         *FKEY,
         *REVISION_COLUMNS,
         F.col("effective_from").alias("seen_at"),
         F.lit(None).cast("timestamp_ntz").alias("created_at"),
     )
-    if history is None:
-        return build_chains(inc, batch_ts)
-    keys = incoming.select(*FKEY).distinct()
-    affected = history.join(keys, FKEY, "left_semi")
-    untouched = history.join(keys, FKEY, "left_anti")
-    rebuilt = build_chains(inc.unionByName(_sightings_from_history(affected)), batch_ts)
-    return untouched.select(*rebuilt.columns).unionByName(rebuilt)
+    if history is not None:
+        sightings = sightings.unionByName(_sightings_from_history(history))
+    return build_chains(sightings, batch_ts)
 
 
 # --- Observation upsert (U2, D17b) -------------------------------------------------

@@ -22,7 +22,6 @@ from ..operators import warehouse as wh
 from ..session import configure
 from ..sources import payload
 from . import inputs as I
-from .joins import bounded_broadcast
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,8 +228,11 @@ def observation_upsert(spark, d):
 
 
 def _dims_checked(spark, d):
-    city, source = I.dims(spark, d)
-    return bounded_broadcast(city), bounded_broadcast(source)
+    """Dimensions derived in the same plan: their size is unknown before
+    they run, so AQE measures them at run time and turns the join into a
+    broadcast only below its threshold (a shuffle join otherwise). Stored
+    dimensions are broadcast from their file size the same way."""
+    return I.dims(spark, d)
 
 
 @query("v_current_forecasts")
