@@ -1,0 +1,33 @@
+"""Order-independent aggregates.
+
+A double ``avg`` depends on the order in which partial sums meet, i.e. on
+partitioning: the same data can give a different last bit on 8 cores and on
+1,000 executors, and a mean that sits on a rounding edge can flip its 6th
+decimal. Measures here are summed exactly as decimals at a fixed resolution
+(1e-6 of the unit) and divided once at the end, so every run, every cluster
+size and every engine get the same bits. The sum stays a partial/final
+aggregate that combines map-side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+RESOLUTION = "decimal(18,6)"
+
+
+def exact_sum(c: str | Column) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(RESOLUTION))
+
+
+def exact_mean(c: str | Column) -> Column:
+    """Mean of the non-NULL values at 1e-6 resolution, as a double."""
+    c = F.col(c) if isinstance(c, str) else c
+    return exact_sum(c).cast("double") / F.count(c)
+
+
+def exact_mean_sql(expr: str) -> str:
+    """The same mean as SQL text (DuckDB oracle)."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(18,6))) AS DOUBLE) / count({expr})"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.stats import exact_mean
 from ..functions.timecols import lead_bucket, lead_hours_exact
 from .silver import latest_per_key
 
@@ -92,11 +93,13 @@ def gold_rows(
 
 
 def _measures(prefix: str = "temperature_", count_name: str = "matched_forecasts"):
+    """Count, MAE, RMSE and bias; means are exact sums divided once, so the
+    result does not depend on partitioning (``functions.stats``)."""
     return [
         F.count(F.lit(1)).alias(count_name),
-        F.avg("temperature_absolute_error_c").alias(f"{prefix}mae_c"),
-        F.sqrt(F.avg("temperature_squared_error")).alias(f"{prefix}rmse_c"),
-        F.avg("temperature_error_c").alias(f"{prefix}bias_c"),
+        exact_mean("temperature_absolute_error_c").alias(f"{prefix}mae_c"),
+        F.sqrt(exact_mean("temperature_squared_error")).alias(f"{prefix}rmse_c"),
+        exact_mean("temperature_error_c").alias(f"{prefix}bias_c"),
     ]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import rules as R
+from ..functions.stats import exact_mean
 
 FKEY = schemas.FORECAST_KEY
 OKEY = schemas.OBSERVATION_KEY
@@ -107,7 +108,7 @@ def ingestion_lag(forecasts: DataFrame, observations: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.min("lag_seconds").alias("min_lag_seconds"),
         F.max("lag_seconds").alias("max_lag_seconds"),
-        F.avg("lag_seconds").alias("avg_lag_seconds"),
+        exact_mean("lag_seconds").alias("avg_lag_seconds"),
     )
 
 

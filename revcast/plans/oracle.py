@@ -9,6 +9,7 @@ weaker rows-only check.
 
 from __future__ import annotations
 
+from ..functions.stats import exact_mean_sql as MEAN
 from ..functions.timecols import lead_bucket_sql
 
 SPLIT_AT = "TIMESTAMP '2024-01-15 00:00:00'"
@@ -135,10 +136,10 @@ gold AS (
     ON o.city = f.city AND o.observation_timestamp = f.forecast_timestamp
 )"""
 
-MEASURES = """count(*) AS matched_forecasts,
-  round(avg(temperature_absolute_error_c), 6) AS temperature_mae_c,
-  round(sqrt(avg(temperature_squared_error)), 6) AS temperature_rmse_c,
-  round(avg(temperature_error_c), 6) AS temperature_bias_c"""
+MEASURES = f"""count(*) AS matched_forecasts,
+  {MEAN('temperature_absolute_error_c')} AS temperature_mae_c,
+  sqrt({MEAN('temperature_squared_error')}) AS temperature_rmse_c,
+  {MEAN('temperature_error_c')} AS temperature_bias_c"""
 
 
 def incoming(src: str, name: str = "inc") -> str:
@@ -364,8 +365,8 @@ WHERE f.is_current""",
     "v_temperature_accuracy": W(*WAREHOUSE, V_ACC) + "\nSELECT * FROM v_acc",
     "v_accuracy_by_city_lead": W(*WAREHOUSE, V_ACC) + f"""
 SELECT city_name, {lead_bucket_sql('lead_hours')} AS lead_time_bucket,
-       count(*) AS sample_count, round(avg(absolute_error_c), 6) AS mae_c,
-       round(sqrt(avg(error_c * error_c)), 6) AS rmse_c, round(avg(error_c), 6) AS bias_c
+       count(*) AS sample_count, {MEAN('absolute_error_c')} AS mae_c,
+       sqrt({MEAN('error_c * error_c')}) AS rmse_c, {MEAN('error_c')} AS bias_c
 FROM v_acc GROUP BY 1, 2""",
     "accuracy_by_source": W(*SILVER_BOTH, OB_LATEST, GOLD) + f"""
 SELECT source, {MEASURES} FROM gold GROUP BY source ORDER BY source""",
@@ -398,7 +399,7 @@ WHERE f.forecast_timestamp < (SELECT max(observation_timestamp) FROM fact_obs)
     "dq_join_coverage": W(*SILVER_BOTH) + f""",
 seen AS (SELECT DISTINCT city, observation_timestamp FROM ob_silver)
 SELECT count(*) AS forecast_count, count(s.city) AS matched_count,
-       round(count(s.city) / count(*), 6) AS coverage,
+       count(s.city) / count(*) AS coverage,
        CAST({COVERAGE_THRESHOLD} AS DOUBLE) AS threshold,
        count(s.city) / count(*) >= {COVERAGE_THRESHOLD} AS passed
 FROM fc_silver f LEFT JOIN seen s
@@ -408,8 +409,8 @@ lags AS (
   SELECT 'forecast' AS event_type, (epoch_us(ingested_at) - epoch_us(issued_at)) / 1e6 AS lag_seconds FROM fc_silver
   UNION ALL
   SELECT 'observation', (epoch_us(ingested_at) - epoch_us(observation_timestamp)) / 1e6 FROM ob_silver)
-SELECT event_type, count(*) AS events, round(min(lag_seconds), 6) AS min_lag_seconds,
-       round(max(lag_seconds), 6) AS max_lag_seconds, round(avg(lag_seconds), 6) AS avg_lag_seconds
+SELECT event_type, count(*) AS events, min(lag_seconds) AS min_lag_seconds,
+       max(lag_seconds) AS max_lag_seconds, """ + MEAN("lag_seconds") + """ AS avg_lag_seconds
 FROM lags GROUP BY event_type""",
     "dq_event_id_unique": W(*BASE_F, FC_VALID, REDELIVERY) + f""",
 dedup AS (SELECT * FROM redelivery QUALIFY row_number() OVER (PARTITION BY event_id {DEDUP_ORDER}) = 1)

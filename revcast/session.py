@@ -99,3 +99,16 @@ _ROOTS: dict[int, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, *keys: str):
+    """Spread an input that arrives in fewer partitions than the session can
+    run in parallel (a single unsplittable row group, say), so the per-row
+    work after the scan is not serialised on one core. Hashing on ``keys``
+    (unique ids) needs no pre-sort, unlike round-robin. At scale the input
+    already has far more partitions than cores and this is a no-op; only
+    the partition count is looked at, no data is read."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

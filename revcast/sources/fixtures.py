@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import add_hours, floor_hours
+from ..session import spread
 
 # Fixed values of the mapping.
 REGION_ROWS = 5  # TPC-H region is 5 rows by definition: safe to broadcast.
@@ -32,10 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _events_with_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    e = events.select(
-        "event_id", "ts", "user_id", "event_type", "value", "props",
-        (F.col("user_id") % 5).cast("int").alias("_rk"),
-    )
+    e = spread(
+        events.select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id"
+    ).withColumn("_rk", (F.col("user_id") % 5).cast("int"))
     joined = e.join(
         F.broadcast(region), e["_rk"] == region["r_regionkey"], "inner"
     )
