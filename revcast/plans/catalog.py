@@ -537,3 +537,49 @@ def stream_upsert(spark, d):
         spark, d, "observation", I.valid(spark, d, "observation"), "ingested_at",
         "fact_observation", "observation_date", OBS_OUT,
     )
+
+
+@query("stream_dedup")
+def stream_dedup(spark, d):
+    """R4s: redelivered forecasts deduplicated inside the stream with a
+    watermark; the copies differ only in ``ingested_at``, so the output
+    keeps every other column."""
+    from .. import schemas
+    from ..session import scratch_path
+    from ..streaming import merge
+
+    root = scratch_path(spark, "stream-dedup")
+    rows = I.redelivery(spark, d)
+    schema = rows.schema
+
+    def run():
+        q = (
+            merge.dedup_stream(merge.read_silver_stream(spark, f"{root}/landing", schema))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/_checkpoints/dedup")
+            .trigger(availableNow=True)
+            .start(f"{root}/silver")
+        )
+        q.awaitTermination()
+
+    _land_in_two(rows, f"{root}/landing", "ingested_at", "parquet", run)
+    cols = [c for c in schemas.FORECAST_COLUMNS if c != "ingested_at"]
+    return spark.read.schema(schema).parquet(f"{root}/silver").select(*cols)
+
+
+# --- A10, K6/O3 -------------------------------------------------------------------------------
+
+
+@query("events_per_city")
+def events_per_city(spark, d):
+    """A10: events produced per city and type (the producer's log line)."""
+    both = I.raw(spark, d, "forecast").select("city", "event_type").unionByName(
+        I.raw(spark, d, "observation").select("city", "event_type")
+    )
+    return both.groupBy("city", "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("gold_summary_report")
+def gold_summary_report(spark, d):
+    """K6/O3: the printed summary, ordered, at most 200 rows."""
+    return acc.summary_display(I.gold(spark, d))

@@ -473,3 +473,15 @@ WHERE CAST(event_id AS BIGINT) % 101 = 0 OR CAST(event_id AS BIGINT) % 103 = 0""
 
 ORACLE["stream_scd2"] = ORACLE["scd2_apply_incremental"]
 ORACLE["stream_upsert"] = ORACLE["observation_upsert"]
+
+ORACLE["stream_dedup"] = W(*BASE_F, FC_VALID) + """
+SELECT DISTINCT event_id, event_type, source, city, latitude, longitude, issued_at,
+       forecast_timestamp, temperature_2m_c, precipitation_probability_pct, wind_speed_10m_kmh
+FROM fc_valid"""
+
+ORACLE["events_per_city"] = W(EV, FC_RAW, OB_RAW) + """
+SELECT city, event_type, count(*) AS events FROM (
+  SELECT city, event_type FROM fc_raw UNION ALL SELECT city, event_type FROM ob_raw)
+GROUP BY city, event_type"""
+
+ORACLE["gold_summary_report"] = ORACLE["gold_accuracy_summary"] + "\nLIMIT 200"

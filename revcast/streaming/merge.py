@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import warehouse as wh
@@ -78,3 +79,19 @@ def start_merge(
 
 def read_silver_stream(spark: SparkSession, landing: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(landing)
+
+
+def dedup_stream(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """R4s: drop redelivered copies of an event inside the stream.
+
+    State per ``event_id`` lives until the watermark on ``ingested_at``
+    passes the first sighting plus ``delay``; the delay must cover the
+    longest redelivery gap. Unlike W1 (last sighting wins) this keeps the
+    first sighting: same measures, possibly an earlier ``ingested_at``."""
+    # Watermarks need an instant (TIMESTAMP); ingested_at is UTC wall time.
+    timed = stream.withColumn("_event_time", F.col("ingested_at").cast("timestamp"))
+    return (
+        timed.withWatermark("_event_time", delay)
+        .dropDuplicatesWithinWatermark(["event_id"])
+        .drop("_event_time")
+    )
