@@ -180,37 +180,40 @@ def _sightings_from_history(history: DataFrame) -> DataFrame:
 def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
     """Revision chain per natural key from time-stamped sightings.
 
-    1. Equal-time sightings of a key: the greatest ``source_event_id`` wins.
+    1. Equal-time sightings of a key: the greatest ``source_event_id`` wins
+       (a stored sighting wins over an identical replayed one).
     2. A sighting whose hash equals the previous one is a repeat (F6 in
        reverse): it only extends ``last_seen_at`` of the open revision.
     3. ``effective_to`` = start of the next revision; current = open.
 
-    All windows share the natural-key partitioning, so the chain costs one
-    shuffle on the key (plus sorts). Redelivered copies are already reduced
-    map-side by W1 before this point.
+    Every step uses the same window (natural key, ordered by time), and
+    filters keep that order, so the whole chain costs one shuffle on the key
+    and one sort. Redelivered copies are already reduced map-side by W1.
     """
-    by_time = Window.partitionBy(*FKEY, "seen_at").orderBy(F.col("source_event_id").desc())
-    ordered = Window.partitionBy(*FKEY).orderBy("seen_at")
-    one = (
-        sightings.withColumn("_tie", F.row_number().over(by_time))
-        .where(F.col("_tie") == 1)
-        .drop("_tie")
+    w = Window.partitionBy(*FKEY).orderBy(
+        F.col("seen_at"), F.col("source_event_id").desc(), F.col("created_at").asc_nulls_last()
     )
-    prev = F.lag("record_hash").over(ordered)
-    marked = one.withColumn(
-        "_start", (prev.isNull() | (prev != F.col("record_hash"))).cast("int")
-    ).withColumn(
-        "_run",
-        F.sum("_start").over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
+    winners = (
+        sightings.withColumn("_prev_seen", F.lag("seen_at").over(w))
+        .where(F.coalesce(F.col("_prev_seen") != F.col("seen_at"), F.lit(True)))
+        .drop("_prev_seen")
     )
-    runs = Window.partitionBy(*FKEY, "_run")
-    starts = (
-        marked.withColumn("last_seen_at", F.max("seen_at").over(runs))
-        .where(F.col("_start") == 1)
-        .withColumnRenamed("seen_at", "effective_from")
+    starts = winners.withColumn(
+        "_start", F.coalesce(F.lag("record_hash").over(w) != F.col("record_hash"), F.lit(True))
+    )
+    # A row ends its run when the next row starts a new one (or there is none).
+    edges = starts.withColumn("_end", F.coalesce(F.lead("_start").over(w), F.lit(True))).where(
+        F.col("_start") | F.col("_end")
+    )
+    # Among starts and ends only, a start that does not end its own run is
+    # directly followed by the end of that run.
+    seen = edges.withColumn(
+        "last_seen_at",
+        F.when(F.col("_end"), F.col("seen_at")).otherwise(F.lead("seen_at").over(w)),
+    ).where(F.col("_start"))
+    closed = seen.withColumn("effective_to", F.lead("seen_at").over(w)).withColumnRenamed(
+        "seen_at", "effective_from"
     )
-    chain = Window.partitionBy(*FKEY).orderBy("effective_from")
-    closed = starts.withColumn("effective_to", F.lead("effective_from").over(chain))
     return closed.select(
         revision_key().alias("forecast_revision_key"),
         *FKEY,
