@@ -51,7 +51,9 @@ def split_events(hourly: DataFrame, issued_at: str | Column = "issued_at") -> Da
     stacked by name (T1)."""
     issued = F.col(issued_at) if isinstance(issued_at, str) else issued_at
     is_forecast = F.coalesce(F.col("event_ts") >= issued, F.lit(False))
-    common = ["source", "city"]
+    # P5: the columns every event of a payload shares; coordinates as double.
+    common = [F.col(c) for c in ("source", "city", "ingested_at") if c in hourly.columns]
+    common += [F.col(c).cast("double").alias(c) for c in ("latitude", "longitude") if c in hourly.columns]
     forecasts = hourly.where(is_forecast).select(
         F.lit("forecast").alias("event_type"),
         *common,

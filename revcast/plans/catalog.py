@@ -370,7 +370,9 @@ def _payloads(spark, d):
 @query("hourly_explode")
 def hourly_explode(spark, d):
     """Payload arrays back to one row per hour."""
-    return ingest.explode_hourly(_payloads(spark, d), ["source", "city", "issued_at"])
+    return ingest.explode_hourly(
+        _payloads(spark, d), ["source", "city", "latitude", "longitude", "issued_at", "ingested_at"]
+    )
 
 
 @query("event_split")

@@ -128,6 +128,14 @@ def run_silver(
 # --- warehouse ------------------------------------------------------------------------
 
 
+def stage_from_silver(spark: SparkSession, lay: Layout, kind: str, dates: list) -> DataFrame | None:
+    """staging = the stored silver rows of the given target dates,
+    selected by name (D9); every date the batch touched, not only the
+    process date (D10). The date filter prunes partitions."""
+    rows = st.read_partitions(spark, lay.silver(kind), DATE[kind], dates)
+    return None if rows is None else wh.stage(rows, kind)
+
+
 def run_warehouse(
     spark: SparkSession,
     lay: Layout,

@@ -290,12 +290,17 @@ hourly AS (SELECT * FROM fc_norm
                              ORDER BY ingested_at DESC, event_id DESC) = 1),
 points AS (
   SELECT source, city, issued_at,
+         first_value(latitude) OVER g AS latitude, first_value(longitude) OVER g AS longitude,
+         max(ingested_at) OVER (PARTITION BY source, city, issued_at, CAST(forecast_timestamp AS DATE)) AS ingested_at,
          CAST(row_number() OVER (PARTITION BY source, city, issued_at, CAST(forecast_timestamp AS DATE)
                                  ORDER BY forecast_timestamp) - 1 AS INTEGER) AS pos,
          forecast_timestamp AS event_ts, temperature_2m_c,
          precipitation_probability_pct, CAST(NULL AS DOUBLE) AS precipitation_mm,
          wind_speed_10m_kmh
-  FROM hourly)"""
+  FROM hourly
+  WINDOW g AS (PARTITION BY source, city, issued_at, CAST(forecast_timestamp AS DATE)
+               ORDER BY ingested_at, latitude, longitude
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
 
 
 def _metrics(kind: str, src: str, ok: str) -> str:
@@ -421,16 +426,17 @@ SELECT event_id, count(*) AS occurrences FROM redelivery GROUP BY event_id HAVIN
     + _rule_counts("forecast", "fc_norm", RULES_F) + "\nUNION ALL\n"
     + _rule_counts("observation", "ob_norm", RULES_O),
     "hourly_explode": W(*BASE_F, PAYLOAD_POINTS) + """
-SELECT source, city, issued_at, pos, event_ts, temperature_2m_c, precipitation_probability_pct,
-       precipitation_mm, wind_speed_10m_kmh FROM points""",
+SELECT source, city, latitude, longitude, issued_at, ingested_at, pos, event_ts, temperature_2m_c,
+       precipitation_probability_pct, precipitation_mm, wind_speed_10m_kmh FROM points""",
     "event_split": W(*BASE_F, PAYLOAD_POINTS) + """
-SELECT 'forecast' AS event_type, source, city, issued_at, event_ts AS forecast_timestamp,
-       temperature_2m_c, precipitation_probability_pct, wind_speed_10m_kmh,
-       CAST(NULL AS TIMESTAMP) AS observation_timestamp, CAST(NULL AS DOUBLE) AS precipitation_mm
+SELECT 'forecast' AS event_type, source, city, ingested_at, latitude, longitude, issued_at,
+       event_ts AS forecast_timestamp, temperature_2m_c, precipitation_probability_pct,
+       wind_speed_10m_kmh, CAST(NULL AS TIMESTAMP) AS observation_timestamp,
+       CAST(NULL AS DOUBLE) AS precipitation_mm
 FROM points WHERE event_ts >= issued_at
 UNION ALL
-SELECT 'observation', source, city, NULL, NULL, temperature_2m_c, NULL, wind_speed_10m_kmh,
-       event_ts, precipitation_mm
+SELECT 'observation', source, city, ingested_at, latitude, longitude, NULL, NULL,
+       temperature_2m_c, NULL, wind_speed_10m_kmh, event_ts, precipitation_mm
 FROM points WHERE NOT (event_ts >= issued_at)""",
 }
 

@@ -42,6 +42,8 @@ def payloads_from_forecasts(forecasts: DataFrame) -> DataFrame:
             "temperature_2m_c",
             "precipitation_probability_pct",
             "wind_speed_10m_kmh",
+            "latitude",
+            "longitude",
             "ingested_at",
             "event_id",
         ),
@@ -51,6 +53,12 @@ def payloads_from_forecasts(forecasts: DataFrame) -> DataFrame:
     grouped = hourly.groupBy(
         "source", "city", "issued_at", F.to_date("forecast_timestamp").alias("target_date")
     ).agg(
+        # Payload-level fields: where the city was fetched (first sighting)
+        # and when (the latest ingestion of the group).
+        F.min_by(
+            F.struct("latitude", "longitude"), F.struct("ingested_at", "latitude", "longitude")
+        ).alias("_at"),
+        F.max("ingested_at").alias("ingested_at"),
         F.array_sort(
             F.collect_list(
                 F.struct(
@@ -64,6 +72,9 @@ def payloads_from_forecasts(forecasts: DataFrame) -> DataFrame:
     )
     return grouped.select(
         *PAYLOAD_KEY,
+        F.col("_at.latitude").alias("latitude"),
+        F.col("_at.longitude").alias("longitude"),
+        "ingested_at",
         F.struct(
             F.transform("_pts", lambda p: F.date_format(p["t"], PAYLOAD_TIME_FORMAT)).alias("time"),
             _array("_pts", "temperature_2m").alias("temperature_2m"),

@@ -66,3 +66,14 @@ def test_versioned_table_reads_latest_committed(spark, tmp_path):  # U7
     st.write_versioned(spark.range(5), root)
     (tmp_path / "dim" / "v=00000009").mkdir()  # a run that never committed
     assert st.read_versioned(spark, root).count() == 5
+
+
+def test_staging_reads_only_touched_dates_by_name(spark):  # S7, D9, D10
+    import datetime as dt
+
+    lay = jobs.new_layout(spark, "t-s7")
+    rows = [forecast("a", target="2026-08-25 04:00"), forecast("b", target="2026-08-26 04:00")]
+    _silver_run(spark, lay, rows, "p")
+    stg = jobs.stage_from_silver(spark, lay, "forecast", [dt.date(2026, 8, 26)])
+    assert [r.event_id for r in stg.collect()] == ["b"]
+    assert "event_type" not in stg.columns and "forecast_date" not in stg.columns
