@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.ids import FORECAST_MEASURES, record_hash, revision_key, surrogate_key
 from ..functions.timecols import epoch_micros
+from ..session import shared_dir
 from .silver import latest_per_key
 
 FKEY = schemas.FORECAST_KEY
@@ -177,22 +178,46 @@ def _sightings_from_history(history: DataFrame) -> DataFrame:
     return first.unionByName(last)
 
 
-def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
-    """Revision chain per natural key from time-stamped sightings.
+# A natural key with more sightings than this is ordered in several tasks
+# (time chunks) instead of one; see :func:`build_chains`.
+HOT_KEY_ROWS = 2_000_000
+# Hot-key chunk bounds come from approximate quantiles; the chunk count per
+# hot key is capped so the bounds table stays small.
+MAX_CHUNKS = 4096
+QUANTILE_ACCURACY = 10_000
+# The hot-key list is broadcast only below this many rows (it is at most
+# sightings / HOT_KEY_ROWS rows); beyond it the joins shuffle and AQE splits.
+HOT_KEYS_BROADCAST_ROWS = 100_000
 
-    1. Equal-time sightings of a key: the greatest ``source_event_id`` wins
-       (a stored sighting wins over an identical replayed one).
-    2. A sighting whose hash equals the previous one is a repeat (F6 in
-       reverse): it only extends ``last_seen_at`` of the open revision.
-    3. ``effective_to`` = start of the next revision; current = open.
 
-    Every step uses the same window (natural key, ordered by time), and
-    filters keep that order, so the whole chain costs one shuffle on the key
-    and one sort. Redelivered copies are already reduced map-side by W1.
-    """
-    w = Window.partitionBy(*FKEY).orderBy(
-        F.col("seen_at"), F.col("source_event_id").desc(), F.col("created_at").asc_nulls_last()
+def _tie_order():
+    """Equal-time sightings of a key: the greatest ``source_event_id`` wins;
+    a stored sighting (``created_at`` set) wins over an identical replay."""
+    return [F.col("source_event_id").desc(), F.col("created_at").asc_nulls_last()]
+
+
+def _chain_output(closed: DataFrame, batch_ts) -> DataFrame:
+    return closed.select(
+        revision_key().alias("forecast_revision_key"),
+        *FKEY,
+        *FORECAST_MEASURES,
+        "source_event_id",
+        "effective_from",
+        "effective_to",
+        F.col("effective_to").isNull().alias("is_current"),
+        "record_hash",
+        "last_seen_at",
+        F.coalesce(F.col("created_at"), batch_literal(batch_ts)).alias("created_at"),
+        F.to_date("forecast_timestamp").alias("forecast_date"),
     )
+
+
+def _chains_by_key(sightings: DataFrame, batch_ts=None) -> DataFrame:
+    """Chains of keys that fit one task: one shuffle on the key, one sort.
+
+    Every step uses the same window (natural key, ordered by time) and the
+    filters keep that order, so no step adds an exchange or a sort."""
+    w = Window.partitionBy(*FKEY).orderBy(F.col("seen_at"), *_tie_order())
     winners = (
         sightings.withColumn("_prev_seen", F.lag("seen_at").over(w))
         .where(F.coalesce(F.col("_prev_seen") != F.col("seen_at"), F.lit(True)))
@@ -214,22 +239,135 @@ def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
     closed = seen.withColumn("effective_to", F.lead("seen_at").over(w)).withColumnRenamed(
         "seen_at", "effective_from"
     )
-    return closed.select(
-        revision_key().alias("forecast_revision_key"),
+    return _chain_output(closed, batch_ts)
+
+
+def _small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= HOT_KEYS_BROADCAST_ROWS else df
+
+
+def _chains_chunked(heavy: DataFrame, batch_ts, chunks: int, n_keys: int) -> DataFrame:
+    """Chains of hot keys, ordered in ``chunks`` time slices per key.
+
+    1. Equal-time sightings collapse to their winner in an aggregate that
+       combines map-side (redelivered copies shrink before any shuffle).
+    2. Chunk bounds per key are approximate time quantiles (a sketch
+       aggregate, also combined map-side); chunk = number of bounds before
+       the sighting, so chunks are consecutive time ranges.
+    3. Each (key, chunk) is ordered in its own task; a chunk learns the
+       last hash/time of the chunk before it, and every start the next
+       start after its chunk, from per-chunk summaries (one row per chunk).
+    """
+    rest = [c for c in heavy.columns if c not in FKEY and c != "seen_at"]
+    winners = heavy.groupBy(*FKEY, "seen_at").agg(
+        F.max_by(
+            F.struct(*rest),
+            F.struct("source_event_id", F.col("created_at").isNotNull()),
+        ).alias("_w")
+    ).select(*FKEY, "seen_at", "_w.*")
+
+    t = epoch_micros("seen_at")
+    probs = [i / chunks for i in range(1, chunks)]
+    bounds = winners.groupBy(*FKEY).agg(
+        F.percentile_approx(t, probs, QUANTILE_ACCURACY).alias("_bounds")
+    )
+    chunked = winners.join(_small_or_shuffled(bounds, n_keys), FKEY).withColumn(
+        "_c", F.size(F.filter("_bounds", lambda b: b < t))
+    ).drop("_bounds")
+
+    in_chunk = Window.partitionBy(*FKEY, "_c").orderBy("seen_at")
+    by_chunk = Window.partitionBy(*FKEY).orderBy("_c")
+    local = chunked.withColumn("_lh", F.lag("record_hash").over(in_chunk)).withColumn(
+        "_lt", F.lag("seen_at").over(in_chunk)
+    )
+    summary = chunked.groupBy(*FKEY, "_c").agg(
+        F.max_by("record_hash", "seen_at").alias("_last_hash"),
+        F.max("seen_at").alias("_last_time"),
+    )
+    summary = summary.select(
         *FKEY,
-        *FORECAST_MEASURES,
-        "source_event_id",
-        "effective_from",
-        "effective_to",
-        F.col("effective_to").isNull().alias("is_current"),
-        "record_hash",
-        "last_seen_at",
-        F.coalesce(F.col("created_at"), batch_literal(batch_ts)).alias("created_at"),
-        F.to_date("forecast_timestamp").alias("forecast_date"),
+        "_c",
+        F.lag("_last_hash").over(by_chunk).alias("_prev_hash"),
+        F.lag("_last_time").over(by_chunk).alias("_prev_time"),
+        F.max("_last_time").over(Window.partitionBy(*FKEY)).alias("_key_last"),
+    )
+    n_chunks = n_keys * chunks
+    rows = local.join(_small_or_shuffled(summary, n_chunks), FKEY + ["_c"])
+    prev_hash = F.coalesce(F.col("_lh"), F.col("_prev_hash"))
+    starts = rows.withColumn("_pt", F.coalesce(F.col("_lt"), F.col("_prev_time"))).where(
+        prev_hash.isNull() | (prev_hash != F.col("record_hash"))
+    )
+    # Next start inside the chunk, else the first start of the next chunk
+    # that has one; its predecessor's time is where this run was last seen.
+    starts = starts.withColumn("_ns_t", F.lead("seen_at").over(in_chunk)).withColumn(
+        "_ns_pt", F.lead("_pt").over(in_chunk)
+    )
+    firsts = starts.groupBy(*FKEY, "_c").agg(
+        F.min("seen_at").alias("_fs_t"), F.min_by("_pt", "seen_at").alias("_fs_pt")
+    )
+    nexts = firsts.select(
+        *FKEY,
+        "_c",
+        F.lead("_fs_t").over(by_chunk).alias("_nfs_t"),
+        F.lead("_fs_pt").over(by_chunk).alias("_nfs_pt"),
+    )
+    linked = starts.join(_small_or_shuffled(nexts, n_chunks), FKEY + ["_c"])
+    closed = linked.select(
+        *FKEY,
+        *REVISION_COLUMNS,
+        "created_at",
+        F.col("seen_at").alias("effective_from"),
+        F.coalesce(F.col("_ns_t"), F.col("_nfs_t")).alias("effective_to"),
+        F.coalesce(F.col("_ns_pt"), F.col("_nfs_pt"), F.col("_key_last")).alias("last_seen_at"),
+    )
+    return _chain_output(closed, batch_ts)
+
+
+def build_chains(sightings: DataFrame, batch_ts=None, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """Revision chain per natural key from time-stamped sightings.
+
+    1. Equal-time sightings of a key: the greatest ``source_event_id`` wins.
+    2. A sighting whose hash equals the previous one is a repeat (F6 in
+       reverse): it only extends ``last_seen_at`` of the open revision.
+    3. ``effective_to`` = start of the next revision; current = open.
+
+    Keys are first counted (an aggregate that combines map-side, so a hot
+    key costs nothing extra). If no key has more than ``hot_key_rows``
+    sightings, every chain is built in one shuffle on the key. Otherwise the
+    hot keys (at most ``sightings / hot_key_rows`` of them) are split off
+    and ordered in time chunks over many tasks (:func:`_chains_chunked`),
+    the rest take the one-shuffle path. Only two numbers reach the driver.
+    ``hot_key_rows=None`` skips the check.
+    """
+    if hot_key_rows is None:
+        return _chains_by_key(sightings, batch_ts)
+    counts = sightings.groupBy(*FKEY).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_key_rows)
+    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("top")).first()
+    if not stats["keys"]:
+        return _chains_by_key(sightings, batch_ts)
+    chunks = min(MAX_CHUNKS, max(2, -(-stats["top"] // hot_key_rows)))
+    # The sightings feed three branches below: materialise them once in the
+    # shared checkpoint folder (reliable, survives executor loss) instead of
+    # recomputing the lineage three times.
+    shared_dir(sightings.sparkSession)
+    sightings = sightings.checkpoint(eager=True)
+    counts = sightings.groupBy(*FKEY).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_key_rows)
+    hot_keys = _small_or_shuffled(hot.select(*FKEY), stats["keys"])
+    normal = sightings.join(hot_keys, FKEY, "left_anti")
+    heavy = sightings.join(hot_keys, FKEY, "left_semi")
+    return _chains_by_key(normal, batch_ts).unionByName(
+        _chains_chunked(heavy, batch_ts, chunks, stats["keys"])
     )
 
 
-def scd2_apply(history: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
+def scd2_apply(
+    history: DataFrame | None,
+    incoming: DataFrame,
+    batch_ts=None,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
+) -> DataFrame:
     """Close changed current rows, insert new or changed revisions, leave
     repeats alone; replay-safe and independent of how time-ordered batches
     are split.
@@ -250,7 +388,7 @@ def scd2_apply(history: DataFrame | None, incoming: DataFrame, batch_ts=None) ->
     )
     if history is not None:
         sightings = sightings.unionByName(_sightings_from_history(history))
-    return build_chains(sightings, batch_ts)
+    return build_chains(sightings, batch_ts, hot_key_rows)
 
 
 # --- Observation upsert (U2, D17b) -------------------------------------------------

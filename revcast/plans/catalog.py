@@ -19,7 +19,7 @@ from ..operators import quality as dq
 from ..operators import silver as sv
 from ..operators import views
 from ..operators import warehouse as wh
-from ..session import configure
+from ..session import configure, shared_dir
 from ..sources import payload
 from . import inputs as I
 
@@ -211,7 +211,10 @@ def scd2_apply_incremental(spark, d):
     must equal the chain built from all rows at once."""
     incoming = wh.incoming_revisions(wh.stage(I.redelivery(spark, d), "forecast"))
     first, second = I.split_at(incoming, "effective_from", SPLIT_AT)
-    history = wh.scd2_apply(None, first)
+    # The first batch's result is what a job would have stored: a reliable
+    # checkpoint in the shared folder stands in for that table.
+    shared_dir(spark)
+    history = wh.scd2_apply(None, first).checkpoint(eager=True)
     return wh.scd2_apply(history, second).select(*FACT_OUT)
 
 
@@ -220,7 +223,8 @@ def observation_upsert(spark, d):
     """U2 in two batches: the newest reading per key survives."""
     incoming = wh.incoming_observations(I.staged(spark, d, "observation"))
     first, second = I.split_at(incoming, "ingested_at", SPLIT_AT)
-    stored = wh.upsert_observations(None, first)
+    shared_dir(spark)
+    stored = wh.upsert_observations(None, first).checkpoint(eager=True)
     return wh.upsert_observations(stored, second).select(*OBS_OUT)
 
 
