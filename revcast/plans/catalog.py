@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import accuracy as acc
 from ..operators import ingest
 from ..operators import quality as dq
@@ -45,11 +46,6 @@ def query(name: str):
     return register
 
 
-def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in cols})
-
-
-MEASURES = ["temperature_mae_c", "temperature_rmse_c", "temperature_bias_c"]
 FACT_OUT = [
     "forecast_revision_key", "source_key", "city_key", "issued_at", "forecast_timestamp",
     "temperature_2m_c", "precipitation_probability_pct", "wind_speed_10m_kmh",
@@ -441,15 +437,7 @@ def gold_incremental(spark, d):
     from . import storage
 
     lay = _two_batches(spark, d)
-    return storage.read_partitions(spark, lay.gold, "target_date").select(
-        *acc_gold_columns()
-    )
-
-
-def acc_gold_columns():
-    from .. import schemas
-
-    return schemas.GOLD_COLUMNS
+    return storage.read_partitions(spark, lay.gold, "target_date").select(*schemas.GOLD_COLUMNS)
 
 
 # --- 14. streaming ------------------------------------------------------------------------------
