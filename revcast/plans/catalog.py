@@ -205,11 +205,15 @@ def scd2_revisions(spark, d):
 def scd2_apply_incremental(spark, d):
     """U1 applied in two batches to the redelivered stream (no dedup):
     must equal the chain built from all rows at once."""
-    incoming = wh.incoming_revisions(wh.stage(I.redelivery(spark, d), "forecast"))
-    first, second = I.split_at(incoming, "effective_from", SPLIT_AT)
-    # The first batch's result is what a job would have stored: a reliable
-    # checkpoint in the shared folder stands in for that table.
+    # The landed stream and the first batch's result are what a job reads
+    # from and writes to storage: reliable checkpoints in the shared folder
+    # stand in for those tables (and keep each batch from recomputing the
+    # lineage from raw events).
     shared_dir(spark)
+    incoming = wh.incoming_revisions(wh.stage(I.redelivery(spark, d), "forecast")).checkpoint(
+        eager=True
+    )
+    first, second = I.split_at(incoming, "effective_from", SPLIT_AT)
     history = wh.scd2_apply(None, first).checkpoint(eager=True)
     return wh.scd2_apply(history, second).select(*FACT_OUT)
 
