@@ -4,6 +4,7 @@ D17b, D19, D20)."""
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from revcast.operators import warehouse as wh
 
@@ -150,3 +151,14 @@ def test_hot_key_chunks_give_the_same_chain(spark):  # skew: one key, many revis
     stored = wh.scd2_apply(None, first, hot_key_rows=40).cache()
     again = wh.scd2_apply(stored, second, hot_key_rows=40)
     assert sorted(map(tuple, again.select(cols).collect())) == a
+
+
+def test_gate_fails_the_run_on_violations(spark):  # Q7, Q10
+    from revcast.operators import quality as dq
+
+    rows = [forecast("a", temp=1.0), forecast("b", temp=2.0)]
+    appended = _incoming(spark, rows).withColumn("is_current", F.lit(True))
+    assert dq.gate(dq.duplicate_current(wh.scd2_apply(None, _incoming(spark, rows))), "ok") == 0
+    with pytest.raises(Exception) as err:
+        dq.gate(dq.duplicate_current(appended), "one_current_row_per_key")
+    assert "quality gate one_current_row_per_key failed: 1 rows" in str(err.value)
