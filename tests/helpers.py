@@ -50,7 +50,7 @@ def t(s: str) -> dt.datetime:
 
 def forecast(
     event_id="f1",
-    source="open_meteo",
+    source="model_a",
     city="Pune",
     issued="2026-08-24 04:00",
     target="2026-08-25 04:00",
@@ -70,7 +70,7 @@ def forecast(
 
 def observation(
     event_id="o1",
-    source="open_meteo",
+    source="model_a",
     city="Pune",
     at="2026-08-25 04:00",
     temp=25.0,
