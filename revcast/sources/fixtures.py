@@ -14,7 +14,6 @@ from ..functions.timecols import add_hours, floor_hours
 from ..session import spread
 
 # Fixed values of the mapping.
-REGION_ROWS = 5  # TPC-H region is 5 rows by definition: safe to broadcast.
 NULL_TEMPERATURE_EVERY = 53
 BACKDATED_EVERY = 47
 LEAD_STEPS = 13
@@ -36,9 +35,10 @@ def _events_with_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spread(
         events.select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id"
     ).withColumn("_rk", (F.col("user_id") % 5).cast("int"))
-    joined = e.join(
-        F.broadcast(region), e["_rk"] == region["r_regionkey"], "inner"
-    )
+    # No hint: the planner broadcasts region from its file size (a measured
+    # bound, under autoBroadcastJoinThreshold) and falls back to a shuffle
+    # join above it.
+    joined = e.join(region, e["_rk"] == region["r_regionkey"], "inner")
     rk = F.col("r_regionkey").cast("double")
     return joined.select(
         F.col("event_id").cast("string").alias("event_id"),
