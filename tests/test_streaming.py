@@ -83,3 +83,25 @@ def test_foreach_batch_scd2_equals_batch_result_and_replays_safely(spark):
     history = st.read_partitions(spark, f"{root}/fact", "forecast_date").cache()
     replay = wh.scd2_apply(history, wh.incoming_revisions(wh.stage(typed(rows), "forecast")))
     assert rows_of(replay) == rows_of(batch)
+
+
+def test_watermark_dedup_drops_redelivered_copies(spark):  # R4s
+    root = scratch_path(spark, "t-dedup")
+    rows = [
+        forecast("a", ingested="2026-08-24 05:00"),
+        forecast("b", ingested="2026-08-24 05:10"),
+        forecast("a", ingested="2026-08-24 06:00"),  # redelivered an hour later
+    ]
+    df = forecasts(spark, rows)
+    for part in ([rows[0], rows[1]], [rows[2]]):  # copy arrives in a later batch
+        forecasts(spark, part).write.mode("append").parquet(f"{root}/landing")
+        q = (
+            merge.dedup_stream(merge.read_silver_stream(spark, f"{root}/landing", df.schema))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/cp")
+            .trigger(availableNow=True)
+            .start(f"{root}/out")
+        )
+        q.awaitTermination()
+    out = spark.read.schema(df.schema).parquet(f"{root}/out").collect()
+    assert sorted((r.event_id, r.ingested_at.hour) for r in out) == [("a", 5), ("b", 5)]
