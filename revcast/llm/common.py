@@ -7,6 +7,8 @@ once. Hashes are content hashes, equal in every process and on every run.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +22,21 @@ BATCH_ROWS = 512
 
 U64 = np.uint64
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the operators need."""
+    """Session settings the operators need. Python workers find the package
+    where the driver found it, unless they have it on their own path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    own = spark.sparkContext.environment
+    known = own.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        own["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

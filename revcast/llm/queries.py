@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing
+from . import ann, decontaminate, languages, licenses, lines, neardup, packing, pseudonyms, substrings, toxicity
 from .common import table
 
 #: Vocabulary file of the packing query.
@@ -19,25 +20,77 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Key of the pseudonym query; a real run passes its own.
+KEY = "registered query"
+
+
+def held_out() -> Column:
+    """One in five documents is kept from learning."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), KEY)
+    n = F.aggregate("finds", F.lit(0).cast("long"), lambda n, f: n + f["n"])
+    return found.select("doc_id", "text", n.alias("n_found"), F.to_json("finds").alias("finds"))
+
+
+def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = languages.learn(docs.filter(~held_out()))
+    return languages.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.search(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.cluster(table(spark, sf_dir, "documents")).drop("version")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs.filter(~held_out()), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontaminate": op1_decontaminate,
-    "op5_licenses": op5_licenses,
-    "op9_packing": op9_packing,
-}
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_pseudonyms, op3_languages, op4_substring_dedup, op5_licenses, op6_neighbours,
+        op7_near_duplicates, op8_line_dedup, op9_packing, op10_toxicity,
+    )
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALNUM_WORDS = (
     f"coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
 )
+#: Words between white space, of the text put in.
+_WORDS = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
@@ -59,4 +112,34 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op4_substring_dedup": rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(list_slice(w, p, p + 49), ' ') AS words
+  FROM d, unnest(range(1, len(w) - 48)) AS r(p) WHERE len(w) >= 50),
+first AS (SELECT words, min(doc_id) AS lo FROM win GROUP BY words),
+gone AS (
+  SELECT DISTINCT doc_id, q FROM win JOIN first USING (words), unnest(range(p, p + 50)) AS r(q) WHERE doc_id > lo),
+word AS (SELECT doc_id, q, w[q] AS v FROM d, unnest(range(1, len(w) + 1)) AS r(q)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(v, ' ' ORDER BY q) AS t
+  FROM word ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op7_near_duplicates": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS r(p) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both_ JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reach.b) AS component_id, min(reach.b) = d.doc_id AS kept
+FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
 }
