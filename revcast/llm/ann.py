@@ -108,9 +108,10 @@ def hashed(rows: DataFrame, tables: int, probes: int) -> DataFrame:
 def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
     """One row for about ``size`` rows of (table, width, axis)."""
     key = ["table", "width", "axis"]
+    # one row for each signed axis of each table: 2 * width * tables at most
     parts = rows.groupBy(*key).agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
     return (
-        rows.join(parts, key)
+        rows.join(F.broadcast(parts), key)
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .groupBy(*key, "part")
         .agg(F.collect_list(F.struct("id", "vector")).alias(name))

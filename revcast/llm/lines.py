@@ -107,7 +107,8 @@ def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
     copy) that are near an earlier one."""
     place = ["doc_id", "version", "pos"]
     part = first.select("h1", "h2", *place, F.explode("parts").alias("part"))
-    shared = part.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").select("part")
+    # written, so that a part half of all lines begin with can be split below
+    shared = written(part.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").select("part"), "lines-parts")
     wanted = part.join(shared, "part").select("h1", "h2", *place).distinct()
     wanted = written(wanted, "lines-wanted").filter("pos >= 0")
     by_doc = wanted.groupBy("doc_id", "version").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
