@@ -82,7 +82,8 @@ def _left_out(words: Column) -> Column:
 
 def found_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, version, pos): lines to remove from rows (doc_id, version, text)."""
-    line = documents.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "version"]).select(
+    # a repeated row's lines have the same place, so they aren't copies
+    line = documents.filter(F.col("doc_id").isNotNull()).select(
         "doc_id", "version", F.posexplode(F.split("text", BREAK)).alias("pos", "line")
     )
     line = line.withColumn("w", words_of(F.col("line"))).filter(F.size("w") >= EXACT_WORDS)
@@ -110,15 +111,19 @@ def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
     # written, so that a part half of all lines begin with can be split below
     shared = written(part.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").select("part"), "lines-parts")
     wanted = part.join(shared, "part").select("h1", "h2", *place).distinct()
+    # only texts that have such a line are shuffled: the semi-join's filter is
+    # selective enough for Spark to sift them out with a Bloom filter
+    documents.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
     wanted = written(wanted, "lines-wanted").filter("pos >= 0")
     by_doc = wanted.groupBy("doc_id", "version").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
     split = F.split("text", BREAK)
     line = written(
-        documents.dropDuplicates(["doc_id", "version"])
+        documents.join(wanted, ["doc_id", "version"], "left_semi")
         .join(by_doc, ["doc_id", "version"])
         .select("doc_id", "version", F.explode(F.transform("wanted", lambda x: F.struct(x["pos"], x["h1"], x["h2"], F.get(split, x["pos"]).alias("line")))).alias("x"))
         .select("doc_id", "version", "x.*")
-        .select("h1", "h2", *place, words_of(F.col("line")).alias("w")),
+        .select("h1", "h2", *place, words_of(F.col("line")).alias("w"))
+        .dropDuplicates(["h1", "h2"]),
         "lines-candidates",
     )
     me = F.struct(*place)
