@@ -90,39 +90,39 @@ def found_lines(documents: DataFrame) -> DataFrame:
     parts = F.when(F.size("w") >= NEAR_WORDS, _parts(F.col("w")))
     lines = written(line.select("doc_id", "version", "pos", *_two(F.col("w")), parts.alias("parts")), "lines-hashed")
     place = ["doc_id", "version", "pos"]
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct(*place, "parts")).alias("first"), F.count("*").alias("copies"))
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("copies"))
     first = written(first.select("h1", "h2", "first.*", "copies"), "lines-first")
     copies = (
         lines.join(first.filter("copies > 1").select("h1", "h2", *(F.col(c).alias(f"{c}_1") for c in place)), ["h1", "h2"])
         .filter(F.struct(*place) != F.struct(*(f"{c}_1" for c in place)))
         .select(*place)
     )
-    near = written(near_lines(documents, first.filter("parts is not null")), "lines-near")
+    near = written(near_lines(documents, lines.select("h1", "parts"), first), "lines-near")
     # a line near an earlier one goes wherever it stands
     all_near = lines.join(near, ["h1", "h2"]).select(*place)
     return copies.unionByName(all_near).distinct()
 
 
-def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
-    """(h1, h2): the lines of ``first`` (hash, parts, place of the earliest
-    copy) that are near an earlier one."""
+def near_lines(documents: DataFrame, parts: DataFrame, first: DataFrame) -> DataFrame:
+    """(h1, h2): the lines of ``first`` (hash, place of the earliest copy) that
+    are near an earlier one; ``parts``: the part hashes of all lines."""
     place = ["doc_id", "version", "pos"]
-    part = first.select("h1", "h2", *place, F.explode("parts").alias("part"))
-    # written, so that a part half of all lines begin with can be split below
-    shared = written(part.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").select("part"), "lines-parts")
-    wanted = part.join(shared, "part").select("h1", "h2", *place).distinct()
-    # only texts that have such a line are shuffled: the semi-join's filter is
-    # selective enough for Spark to sift them out with a Bloom filter
-    documents.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
-    wanted = written(wanted, "lines-wanted").filter("pos >= 0")
-    by_doc = wanted.groupBy("doc_id", "version").agg(F.collect_list(F.struct("pos", "h1", "h2")).alias("wanted"))
-    split = F.split("text", BREAK)
+    part = parts.select("h1", F.explode("parts").alias("part"))
+    # a part of two different lines, not of copies of one; written, so that a
+    # part that half of all lines have can be split below
+    shared = part.groupBy("part").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo < hi")
+    shared = written(shared.select("part"), "lines-parts")
+    wanted = part.join(shared, "part").select("h1").distinct()
+    wanted = written(first.join(wanted, "h1").select("h1", "h2", *place), "lines-wanted")
+    hashes = F.map_from_entries(F.collect_list(F.struct("pos", F.struct("h1", "h2"))))
+    by_doc = wanted.groupBy("doc_id", "version").agg(hashes.alias("wanted"))
     line = written(
-        documents.join(wanted, ["doc_id", "version"], "left_semi")
+        among(documents, wanted)
         .join(by_doc, ["doc_id", "version"])
-        .select("doc_id", "version", F.explode(F.transform("wanted", lambda x: F.struct(x["pos"], x["h1"], x["h2"], F.get(split, x["pos"]).alias("line")))).alias("x"))
-        .select("doc_id", "version", "x.*")
-        .select("h1", "h2", *place, words_of(F.col("line")).alias("w"))
+        .select("doc_id", "version", "wanted", F.posexplode(F.split("text", BREAK)).alias("pos", "line"))
+        .filter(F.map_contains_key("wanted", F.col("pos")))
+        .select(F.col("wanted")[F.col("pos")].alias("h"), *place, words_of(F.col("line")).alias("w"))
+        .select("h.*", *place, "w")
         .dropDuplicates(["h1", "h2"]),
         "lines-candidates",
     )
@@ -156,6 +156,29 @@ def near_lines(documents: DataFrame, first: DataFrame) -> DataFrame:
     return checked.select(F.col("l1").alias("h1"), F.col("l2").alias("h2")).distinct()
 
 
+#: Bits of the filter of rows (1 MB in all).
+BITS = 1 << 23
+
+
+def among(rows: DataFrame, some: DataFrame, wanted: bool = True) -> DataFrame:
+    """The rows of ``rows`` whose (doc_id, version) may be in ``some``, or
+    those that certainly aren't: a bitmap of hashes of ``BITS`` bits, whatever
+    the input, is broadcast, so texts that a join would drop aren't shuffled
+    for it. Beyond some ten million texts it lets more of them through, which
+    the join then drops."""
+
+    def place(df: DataFrame) -> DataFrame:
+        at = F.pmod(F.xxhash64("doc_id", "version"), F.lit(BITS)) + 1
+        return df.withColumns({"__bucket": F.bitmap_bucket_number(at), "__bit": F.bitmap_bit_position(at)})
+
+    maps = place(some.select("doc_id", "version")).groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    byte = F.hex(F.substr("__map", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1)))
+    bit = F.expr("shiftright(cast(conv(__byte, 16, 10) as int), cast(__bit % 8 as int)) & 1")
+    held = place(rows).join(F.broadcast(maps), "__bucket", "left").withColumn("__byte", byte)
+    held = held.withColumn("__in", F.coalesce(bit == 1, F.lit(False)))
+    return held.filter(F.col("__in") if wanted else ~F.col("__in")).select(*rows.columns)
+
+
 def within_one(a: Column, b: Column) -> Column:
     """Whether one word inserted, deleted or replaced makes the two equal: the
     words before the first difference and behind the last leave one at most."""
@@ -176,15 +199,22 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     keyed = rows.select(F.struct(*rows.columns).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed = keyed.withColumn("version", F.xxhash64("text"))
     gone = found_lines(keyed.select("doc_id", "version", "text").filter(F.col("text").isNotNull()))
-    gone = gone.groupBy("doc_id", "version").agg(F.collect_list("pos").alias("gone"))
+    gone = written(gone.groupBy("doc_id", "version").agg(F.collect_list("pos").alias("gone")), "lines-gone")
     split = F.split("text", BREAK)
     kept = F.filter(F.transform(split, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("gone", s["i"]))
     new = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), BREAK))
-    return keyed.join(gone, ["doc_id", "version"], "left").select(
-        "row",
-        new.alias("text"),
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-    ).select(
-        *(F.col("text") if c == text else F.col(f"row.`{c}`").alias(c) for c in rows.columns), "n_lines", "n_removed"
+    changed = among(keyed, gone).join(gone, ["doc_id", "version"], "left")
+    whole = among(keyed, gone, wanted=False).withColumn("gone", F.lit(None).cast("array<int>"))
+    return (
+        changed.select("row", "text", "gone")
+        .unionByName(whole.select("row", "text", "gone"))
+        .select(
+            "row",
+            new.alias("text"),
+            F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        )
+        .select(
+            *(F.col("text") if c == text else F.col(f"row.`{c}`").alias(c) for c in rows.columns), "n_lines", "n_removed"
+        )
     )
