@@ -11,14 +11,14 @@ no partner can reach. Collisions are then counted in two steps:
 2. *Prefix and skip.* Two classes with ``MATCHES`` equal coordinates share one
    of the ``COORDINATES - MATCHES + 1`` rarest of each. Only these lists are
    merged, and lists whose members are one component already are skipped.
-   Members of a list meet in blocks of at most ``BLOCK``; the pairs of
-   different components whose signatures agree often enough come out, each in
-   one list only.
+   Members of a list meet in blocks of about ``BLOCK``; pairs of different
+   components whose signatures agree often enough come out, each in one list
+   only.
 
 Every link is confirmed on the full sets: 100 * intersection >= 75 * union.
 At exactly that similarity a pair has at least ``MATCHES`` of 64 equal
 coordinates but for 2 in a million pairs, and passes the second signature
-(512 coordinates of 8 bits) but for 1 in a million; above it, fewer.
+(768 coordinates of 4 bits) but for 4 in a million; above it, fewer.
 
 Defined results: null and wordless texts have an empty set and are linked
 with nothing; one to four words are one shingle; rows without id are linked
@@ -49,10 +49,10 @@ COORDINATES = 64
 #: Least number of equal coordinates of a pair that is looked at: at the
 #: threshold 48 are expected, with a standard deviation of 3.5.
 MATCHES = 32
-#: Coordinates of the second signature (8 bits each) and the least number
-#: equal: at the threshold 384.5 are expected, with a deviation of 9.8.
-FINE = 512
-FINE_MATCHES = 336
+#: Coordinates of the second signature (4 bits each) and the least number
+#: equal: at the threshold 588 are expected, with a deviation of 11.7.
+FINE = 768
+FINE_MATCHES = 535
 #: Members of a list that meet at once.
 BLOCK = 64
 
@@ -70,10 +70,10 @@ def shingle_sets(items: list[bytes | None], n: int = SHINGLE) -> list[np.ndarray
         if b - a >= n:
             out.append(np.unique(whole[a : b - n + 1]))
         elif b > a:
-            short = U64(b - a)
-            for w in name[a:b]:
-                short = mix(np.array([short * U64(0x9E3779B97F4A7C15) ^ w], U64))[0]
-            out.append(np.array([short], U64))
+            whole_text = np.array([b - a], U64)
+            for i in range(a, b):
+                whole_text = mix(whole_text * U64(0x9E3779B97F4A7C15) ^ name[i : i + 1])
+            out.append(whole_text)
         else:
             out.append(np.zeros(0, U64))
     return out
@@ -115,24 +115,37 @@ _FULL = (
 )
 
 
+def _packed(values: np.ndarray) -> np.ndarray:
+    """Four bits of each value, 16 values to a word."""
+    bits = (values & U64(15)).reshape(len(values), -1, 16)
+    return (bits << (U64(4) * np.arange(16, dtype=U64))).sum(2, dtype=U64)
+
+
+def _equal_values(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of equal four-bit values of ``x`` and each row of ``y``."""
+    apart = x ^ y
+    apart |= apart >> U64(2)
+    apart = (apart | apart >> U64(1)) & U64(0x1111111111111111)
+    return FINE - np.bitwise_count(apart).sum(1, dtype=np.int64)
+
+
 def _candidates(rows: DataFrame) -> DataFrame:
-    """Sets and second signatures of the classes that may have partners;
-    rows are (node, text, signature, posted coordinates)."""
+    """Sets and signatures of the classes that may have partners; rows are
+    (node, text, posted coordinates)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in ("node", "items", "fine", "star", "prefix", "coarse", "mask")]
         prefix_kind = pa.list_(pa.struct([("coordinate", pa.int32()), ("value", pa.int64())]))
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), prefix_kind, pa.binary(), pa.int64()]
         for batch in batches:
             items = texts(batch.column(1))
-            nodes, signature, posted = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            nodes, posted = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for a, b in blocks(items):
                 sets = shingle_sets(items[a:b])
-                own = [i for i in range(b - a) if len(sets[i])]
-                if not own:
-                    continue
-                fine = (mix(signatures([sets[i] for i in own], FINE, 52)) >> U64(56)).astype(np.uint8)
+                fine = _packed(mix(signatures(sets, FINE, 52)))
+                coarse = (mix(signatures(sets, COORDINATES, 51)) >> U64(56)).astype(np.uint8)
                 out = []
-                for k, i in enumerate(own):
+                for i, own in enumerate(sets):
                     node, lists = nodes[a + i], posted[a + i]
                     lists.sort(key=lambda p: (p["members"], p["coordinate"], p["value"]))
                     meets: dict[int, int] = {}
@@ -143,13 +156,11 @@ def _candidates(rows: DataFrame) -> DataFrame:
                     # coordinates posted by nobody else are the rarest
                     prefix = lists[: max(0, COORDINATES - MATCHES + 1 - (COORDINATES - len(lists)))]
                     mask = sum(1 << p["coordinate"] for p in prefix)
-                    coarse = (np.array(signature[a + i], np.int64).view(U64) >> U64(48)).astype(np.uint16)
                     out.append((
-                        node, sets[i].tobytes(), fine[k].tobytes(), star,
+                        node, own.tobytes(), fine[i].tobytes(), star,
                         [{"coordinate": p["coordinate"], "value": p["value"]} for p in prefix],
-                        coarse.tobytes(), mask - (1 << 64) if mask >= 1 << 63 else mask,
+                        coarse[i].tobytes(), mask - (1 << 64) if mask >= 1 << 63 else mask,
                     ))
-                kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), prefix_kind, pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     return rows.mapInArrow(run, _FULL)
@@ -175,62 +186,88 @@ def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over ``links`` (a, b).
+def rooted(nodes: DataFrame, star: DataFrame) -> DataFrame:
+    """(node, component): the smallest partner of each node, that one's own
+    partner, and so on for two jumps. Members of one component may still
+    differ, never members of two."""
+    up = star.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+    label = written(
+        nodes.join(up, "node", "left").select("node", F.least("node", F.coalesce("up", "node")).alias("component")),
+        "neardup-roots",
+    )
+    above = label.select(F.col("node").alias("component"), F.col("component").alias("higher"))
+    for _ in range(2):
+        label = label.join(above, "component").select("node", F.col("higher").alias("component"))
+    return written(label, "neardup-roots")
+
 
-    Each round takes the smallest component among the neighbours, then that
-    component's own; the number of rounds grows with the logarithm of a
-    component's width, as pointers double."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for the nodes of ``links`` (a, b): the smallest node
+    reachable.
+
+    Each round takes the smallest component among the neighbours and then
+    that component's own, so pointers double: the number of rounds grows with
+    the logarithm of a component's width."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    label = written(nodes.select("node", F.col("node").alias("component")), "components")
+    label = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("component")), "components")
     while True:
-        near = (
-            both.join(label.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        hooked = label.join(near, "node", "left").select(
-            "node", "component", F.least("component", F.coalesce("near", "component")).alias("next")
-        )
-        # the old component follows its smallest member, too
-        follow = hooked.groupBy("component").agg(F.min("next").alias("lowest"))
-        moved = written(
-            hooked.join(follow, "component").select("node", F.col("lowest").alias("component"), (F.col("lowest") != F.col("component")).alias("moved")),
-            "components",
+        near = both.join(label.select(F.col("node").alias("b"), F.col("component").alias("near")), "b").select(
+            F.col("a").alias("node"), "near"
         )
+        hooked = label.select("node", F.col("component").alias("near")).unionByName(near)
+        hooked = hooked.groupBy("node").agg(F.min("near").alias("component"))
+        own = label.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        jumped = hooked.join(own, "component").select("node", F.least("component", "next").alias("component"))
+        old = label.select("node", F.col("component").alias("old"))
+        moved = written(jumped.join(old, "node").withColumn("moved", F.col("component") != F.col("old")), "components")
         label = moved.select("node", "component")
         if moved.filter("moved").isEmpty():
             return label
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` with the components that ``links`` join made one."""
+    of = label.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    to = label.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    between = links.join(of, "a").join(to, "b").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    whole = components(between).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return label.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+
+
 def _open_pairs(full: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs of different components that share a list of their prefixes and
     agree in enough coordinates; each pair comes from one list only."""
     member = full.select("node", F.explode("prefix").alias("p")).select("node", "p.*").join(label, "node")
-    lists = member.groupBy("coordinate", "value", "component").agg(F.count("*").alias("own"))
+    key = ["coordinate", "value"]
+    lists = member.groupBy(*key, "component").agg(F.count("*").alias("own"))
     lists = (
-        lists.groupBy("coordinate", "value")
+        lists.groupBy(*key)
         .agg(F.sum("own").alias("members"), F.count("*").alias("components"))
         .filter("components > 1")
-        .select("coordinate", "value", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+        .select(*key, F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     )
+    lists = written(lists, "neardup-lists")
     body = full.select("node", "coarse", "fine", "mask")
     block = (
-        member.join(lists, ["coordinate", "value"])
+        member.join(lists, key)
         .join(body, "node")
         .withColumn("part", F.pmod(F.xxhash64("node", "coordinate"), F.col("parts")).cast("int"))
-        .groupBy("coordinate", "value", "part")
+        .groupBy(*key, "parts", "part")
         .agg(F.collect_list(F.struct("node", "component", "coarse", "fine", "mask")).alias("members"))
     )
-    other = block.select("coordinate", "value", F.col("part").alias("part2"), F.col("members").alias("members2"))
-    pairs = block.join(other, ["coordinate", "value"]).filter("part <= part2")
+    block = written(block, "neardup-blocks")
+    # a block meets itself, and the others of its list, if it isn't the only one
+    several = block.filter("parts > 1")
+    other = several.select(*key, F.col("part").alias("part2"), F.col("members").alias("members2"))
+    pairs = block.select("coordinate", "members", F.lit(None).cast(block.schema["members"].dataType).alias("members2"))
+    pairs = pairs.unionByName(several.join(other, key).filter("part < part2").select("coordinate", "members", "members2"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found_a, found_b = [], []
             for k in range(batch.num_rows):
                 x = _unpacked(batch.column(1)[k].as_py())
-                y = _unpacked(batch.column(2)[k].as_py())
+                y = _unpacked(batch.column(2)[k].as_py()) if batch.column(2)[k].is_valid else x
                 a, b = _agreeing(batch.column(0)[k].as_py(), x, y)
                 found_a.append(a)
                 found_b.append(b)
@@ -238,15 +275,15 @@ def _open_pairs(full: DataFrame, label: DataFrame) -> DataFrame:
             b = np.concatenate(found_b or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return pairs.select("coordinate", "members", "members2").mapInArrow(run, "a long, b long").distinct()
+    return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
 def _unpacked(members: list[dict]):
     return (
         np.array([m["node"] for m in members], np.int64),
         np.array([m["component"] for m in members], np.int64),
-        np.frombuffer(b"".join(m["coarse"] for m in members), np.uint16).reshape(len(members), -1),
-        np.frombuffer(b"".join(m["fine"] for m in members), np.uint8).reshape(len(members), -1),
+        np.frombuffer(b"".join(m["coarse"] for m in members), np.uint8).reshape(len(members), -1),
+        np.frombuffer(b"".join(m["fine"] for m in members), U64).reshape(len(members), -1),
         np.array([m["mask"] for m in members], np.int64).view(U64),
     )
 
@@ -256,14 +293,13 @@ def _agreeing(coordinate: int, x, y) -> tuple[np.ndarray, np.ndarray]:
     bit, found = U64(1) << np.arange(COORDINATES, dtype=U64), []
     for i in range(len(x[0])):
         j = np.flatnonzero((y[1] != x[1][i]) & (y[0] > x[0][i]) if x[0] is y[0] else y[1] != x[1][i])
+        j = j[_equal_values(x[3][i], y[3][j]) >= FINE_MATCHES]
         if not len(j):
             continue
         equal = y[2][j] == x[2][i]
         shared = (equal * bit).sum(1, dtype=U64) & y[4][j] & x[4][i]
-        lowest = shared & (~shared + U64(1))
-        ok = (equal.sum(1) >= MATCHES) & (lowest == bit[coordinate])
-        j = j[ok]
-        j = j[(y[3][j] == x[3][i]).sum(1) >= FINE_MATCHES]
+        # of the lists that both have in their prefix the first one tells
+        j = j[(equal.sum(1) >= MATCHES) & (shared & (~shared + U64(1)) == bit[coordinate])]
         found.append((np.full(len(j), x[0][i]), y[0][j]))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -276,39 +312,47 @@ def cluster(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One row per document row: its id, a hash of its text (``version``), the
     size of its set, the smallest id reachable over links, and whether the row
     is the one to keep."""
-    prepare(documents.sparkSession)
+    spark = documents.sparkSession
+    prepare(spark)
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).select(
         "doc_id", F.xxhash64("text").alias("version"), "text"
     )
     signed = written(_signed(rows), "neardup-signed")
     known = signed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = known.groupBy("class").agg(F.min(F.struct("doc_id", "version")).alias("first")).select("class", "first.*")
+    classes = written(classes, "neardup-classes")
     # a class goes on as its smallest document
-    first = known.join(classes, ["class", "doc_id", "version"]).dropDuplicates(["class"])
-    first = first.select(F.col("doc_id").alias("node"), "version", "signature")
-    posted = first.select("node", "version", F.posexplode("signature").alias("coordinate", "value"))
+    own = ["doc_id", "version"]
+    first = known.drop("class").join(classes, own).dropDuplicates(own)
+    first = written(first.select(F.col("doc_id").alias("node"), "version", "signature"), "neardup-first")
+    posted = first.select("node", F.posexplode("signature").alias("coordinate", "value"))
     lists = (
         posted.groupBy("coordinate", "value")
         .agg(F.count("*").alias("members"), F.min("node").alias("center"))
         .filter("members > 1")
     )
+    # written, so that a list of a third of all classes can be split below
+    lists = written(lists, "neardup-posted")
     reachable = (
         posted.join(lists, ["coordinate", "value"])
-        .groupBy("node", "version")
+        .groupBy("node")
         .agg(F.collect_list(F.struct("coordinate", "value", "members", "center")).alias("posted"))
-        .filter(F.size("posted") >= MATCHES)
-    )
-    reachable = reachable.join(first, ["node", "version"])
-    body = rows.withColumnRenamed("doc_id", "node").join(reachable, ["node", "version"])
-    full = written(
-        _candidates(body.dropDuplicates(["node", "version"]).select("node", "text", "signature", "posted")), "neardup-sets"
+        .withColumn("n", F.size("posted"))
+        .filter(F.col("n") >= MATCHES)
     )
+    reachable = written(reachable, "neardup-reachable")
+    # only texts of such classes are shuffled: the semi-join's side is a
+    # filtered table, from which Spark makes a Bloom filter for the documents
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
+    picked = rows.withColumnRenamed("doc_id", "node").join(reachable.filter(F.col("n") >= MATCHES).select("node"), "node", "left_semi")
+    body = picked.join(classes.select(F.col("doc_id").alias("node"), "version"), ["node", "version"]).dropDuplicates(["node", "version"])
+    full = written(_candidates(body.join(reachable, "node").select("node", "text", "posted")), "neardup-sets")
     star = _confirmed(full.filter("star is not null").select(F.col("node").alias("b"), F.col("star").alias("a")), full)
     star = written(star, "neardup-star")
     nodes = full.select("node").distinct()
-    label = components(nodes, star)
+    label = rooted(nodes, star)
     more = written(_confirmed(_open_pairs(full, label), full), "neardup-links")
-    label = components(nodes, star.unionByName(more))
+    label = written(merged(label, star.unionByName(more)), "neardup-components")
     of_class = classes.withColumnRenamed("doc_id", "node").join(label, "node", "left").select(
         "class", F.coalesce("component", "node").alias("component_id")
     )

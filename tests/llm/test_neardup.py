@@ -85,16 +85,20 @@ def test_one_of_each_group_stays(spark):
     kept = N.keep_one(frame(spark, docs))
     assert kept.columns == frame(spark, docs).columns
     got = sorted((r["doc_id"] for r in kept.collect()), key=repr)
-    want = sorted({(i, t) for i, t in docs if i is not None and [r for r in brute(docs) if r[0] == i and r[3]]}, key=repr)
+    stays = {r[0] for r in brute(docs) if r[3]}
+    want = sorted({(i, t) for i, t in docs if i is not None and i in stays}, key=repr)
     assert [i for i in got if i is not None and i != 7] == sorted((i for i, _ in want if i != 7), key=repr)
     assert got.count(None) == 2
 
 
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(60, 61), (63, 61)], "a long, b long")
+    got = {r["node"]: r["component"] for r in N.components(links).collect()}
+    assert all(got[i] == 0 for i in range(41)) and got[61] == got[63] == got[60] == 60 and len(got) == 44
     nodes = spark.createDataFrame([(i,) for i in range(70)], "node long")
-    got = {r["node"]: r["component"] for r in N.components(nodes, links).collect()}
-    assert all(got[i] == 0 for i in range(41)) and got[61] == got[63] == got[60] == 60 and got[65] == 65
+    label = N.rooted(nodes, links.filter("a < 60"))
+    got = {r["node"]: r["component"] for r in N.merged(label, links).collect()}
+    assert all(got[i] == 0 for i in range(41)) and got[61] == got[63] == got[60] == 60 and got[65] == 65 and len(got) == 70
 
 
 def test_empty_table(spark):
