@@ -59,20 +59,24 @@ def event_id(kind: str) -> Column:
     id while a redelivery keeps its id.
     """
     if kind not in IDENTITY:
-        # Unsupported type is an error, raised by the plan itself.
-        return F.raise_error(F.lit(f"Unsupported event_type={kind}"))
+        return no_such_type(F.lit(kind))
     return F.sha2(canonical_json(kind), 256)
 
 
-def event_id_any() -> Column:
-    """P6-P8 for a mixed frame: picks the variant per row; other types NULL.
+def no_such_type(kind: Column) -> Column:
+    """An event of any other type fails the plan."""
+    return F.raise_error(F.concat(F.lit("no identity fields for event type "), F.coalesce(kind, F.lit("NULL")))).cast(
+        "string"
+    )
 
-    The stream path routes NULL ids to the dead letter instead of failing.
-    """
-    return (
-        F.when(F.col("event_type") == "forecast", event_id("forecast"))
-        .when(F.col("event_type") == "observation", event_id("observation"))
+
+def event_id_any(strict: bool = True) -> Column:
+    """P6-P8 for a mixed frame: picks the variant by row. Other types fail
+    the plan, or get NULL if not ``strict``."""
+    known = F.when(F.col("event_type") == "forecast", event_id("forecast")).when(
+        F.col("event_type") == "observation", event_id("observation")
     )
+    return known.otherwise(no_such_type(F.col("event_type"))) if strict else known
 
 
 MEASURE_DECIMAL = "decimal(18,6)"
@@ -105,8 +109,10 @@ def surrogate_key(*parts: str | Column) -> Column:
 
 
 def revision_key() -> Column:
-    """Key of one SCD2 row: the natural key plus the start of its validity."""
-    return surrogate_key(
+    """Key of one SCD2 row: the natural key plus the start of its validity, as
+    full SHA-256 text. There is one for each revision ever, so 60 bits would
+    collide at scale; they are enough for the names of a dimension."""
+    return F.sha2(
         F.concat_ws(
             "|",
             F.col("source_key").cast("string"),
@@ -114,5 +120,6 @@ def revision_key() -> Column:
             epoch_micros("issued_at").cast("string"),
             epoch_micros("forecast_timestamp").cast("string"),
             epoch_micros("effective_from").cast("string"),
-        )
+        ),
+        256,
     )

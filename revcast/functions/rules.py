@@ -73,7 +73,7 @@ def rules_for(kind: str, temperature_range=TEMPERATURE_RANGE_C) -> list[Rule]:
         return forecast_rules(temperature_range)
     if kind == "observation":
         return observation_rules(temperature_range)
-    raise ValueError(f"Unsupported event_type={kind}")
+    raise ValueError(f"no rules for event type {kind}")
 
 
 def all_hold(rules: list[Rule]) -> Column:
@@ -85,7 +85,6 @@ def all_hold(rules: list[Rule]) -> Column:
 
 
 def failed_names(rules: list[Rule]) -> Column:
-    """Comma-separated names of the rules a row breaks, in rule order."""
-    return F.concat_ws(
-        ",", *[F.when(~r.holds(), F.lit(r.name)) for r in rules]
-    )
+    """Names of the rules a row breaks, in rule order."""
+    names = F.array(*[F.when(~r.holds(), F.lit(r.name)) for r in rules])
+    return F.filter(names, lambda n: n.isNotNull())

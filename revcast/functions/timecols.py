@@ -85,12 +85,6 @@ def lead_bucket(lead: str | Column) -> Column:
     return expr.otherwise(F.lit(LEAD_BUCKET_REST))
 
 
-def lead_bucket_sql(lead: str) -> str:
-    """The same rule as SQL text, for oracles and views written in SQL."""
-    arms = " ".join(f"WHEN {lead} <= {b} THEN '{label}'" for b, label in LEAD_BUCKETS)
-    return f"CASE {arms} ELSE '{LEAD_BUCKET_REST}' END"
-
-
 def partition_parts(ts: str | Column) -> dict[str, Column]:
     """P10: zero-padded ``year/month/day/hour`` text of a UTC timestamp."""
     ts = col(ts)

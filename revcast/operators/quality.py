@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import rules as R
-from ..functions.stats import exact_mean
 
 FKEY = schemas.FORECAST_KEY
 OKEY = schemas.OBSERVATION_KEY
@@ -108,7 +107,7 @@ def ingestion_lag(forecasts: DataFrame, observations: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.min("lag_seconds").alias("min_lag_seconds"),
         F.max("lag_seconds").alias("max_lag_seconds"),
-        exact_mean("lag_seconds").alias("avg_lag_seconds"),
+        F.avg("lag_seconds").alias("avg_lag_seconds"),
     )
 
 
@@ -134,6 +133,16 @@ def rule_violations(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RA
     )
 
 
+def gate_report(checks: dict[str, DataFrame]) -> DataFrame:
+    """Name, number of violations and verdict of each check."""
+    out = None
+    for name, violations in checks.items():
+        n = F.count(F.lit(1))
+        row = violations.agg(n.alias("violations"), (n == 0).alias("passed")).select(F.lit(name).alias("gate"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def gate(violations: DataFrame, name: str) -> int:
     """Q10: fail the run when a check returns rows.
 

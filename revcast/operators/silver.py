@@ -44,13 +44,13 @@ def _malformed() -> Column:
 
 
 def flag(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE_C) -> DataFrame:
-    """Adds ``_valid`` (never NULL, D6) and ``failed_rules`` (text)."""
+    """Adds ``_valid`` (never NULL, D6) and ``failed_rules`` (array)."""
     rules = R.rules_for(kind, temperature_range)
     valid = R.all_hold(rules)
     failed = R.failed_names(rules)
     if schemas.CORRUPT in df.columns:
         valid = valid & ~_malformed()
-        failed = F.concat_ws(",", F.when(_malformed(), F.lit("malformed_record")), failed)
+        failed = F.when(_malformed(), F.concat(F.array(F.lit("malformed_record")), failed)).otherwise(failed)
     return df.withColumn("_valid", valid).withColumn("failed_rules", failed)
 
 
@@ -67,9 +67,11 @@ def split_valid(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE_
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Top-1 row per key by ``order`` (greatest wins).
 
-    A ``max_by`` aggregate instead of a ranking window: it combines map-side,
-    so a key delivered millions of times is reduced before the shuffle and a
-    hot key never lands whole in one task.
+    A ``max_by`` aggregate instead of a ranking window: it reduces each task's
+    rows of a key to one before the shuffle, so a key delivered millions of
+    times never lands whole in one task. Its buffer is a struct, so Spark
+    sorts for it on both sides; a ranking window with its group limit sorts
+    twice as well and was no faster on 3.3 million rows.
     """
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(

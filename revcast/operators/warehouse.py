@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.ids import FORECAST_MEASURES, record_hash, revision_key, surrogate_key
 from ..functions.timecols import epoch_micros
-from ..session import shared_dir
 from .silver import latest_per_key
 
 FKEY = schemas.FORECAST_KEY
@@ -65,10 +64,12 @@ def _staged_names(*staged: DataFrame) -> DataFrame:
 
 def city_candidates(*staged: DataFrame) -> DataFrame:
     """One row per city name: the earliest sighting by (ingested_at, lat,
-    lon) (D19). ``min_by`` combines map-side, so 4 cities over billions of
-    rows aggregate without a hot reducer."""
+    lon) (D19). All rows meet only in a hash aggregate with a fixed-width
+    buffer, combined before the shuffle; choosing among a city's few
+    positions is left to its small result."""
     rows = _staged_names(*staged).where(F.col("city").isNotNull())
-    first = rows.groupBy("city").agg(
+    positions = rows.groupBy("city", "latitude", "longitude").agg(F.min("ingested_at").alias("ingested_at"))
+    first = positions.groupBy("city").agg(
         F.min_by(
             F.struct("latitude", "longitude"),
             F.struct("ingested_at", "latitude", "longitude"),
@@ -82,27 +83,33 @@ def city_candidates(*staged: DataFrame) -> DataFrame:
     )
 
 
+def new_cities(existing: DataFrame | None, *staged: DataFrame, batch_ts=None) -> DataFrame:
+    """Rows of city names not stored yet."""
+    new = city_candidates(*staged).withColumn("created_at", batch_literal(batch_ts))
+    return new if existing is None else new.join(existing.select("city_name"), "city_name", "left_anti").select(*new.columns)
+
+
 def upsert_dim_city(existing: DataFrame | None, *staged: DataFrame, batch_ts=None) -> DataFrame:
     """Insert names not yet present; stored attributes never change."""
-    new = city_candidates(*staged).withColumn("created_at", batch_literal(batch_ts))
-    if existing is None:
-        return new
-    fresh = new.join(existing.select("city_name"), "city_name", "left_anti")  # J9
-    return existing.unionByName(fresh)
+    fresh = new_cities(existing, *staged, batch_ts=batch_ts)
+    return fresh if existing is None else existing.unionByName(fresh)
 
 
-def upsert_dim_source(existing: DataFrame | None, *staged: DataFrame, batch_ts=None) -> DataFrame:
-    """U4: distinct source names (A9) inserted if absent."""
+def new_sources(existing: DataFrame | None, *staged: DataFrame, batch_ts=None) -> DataFrame:
+    """Rows of source names (A9) not stored yet."""
     names = _staged_names(*staged).where(F.col("source").isNotNull()).select("source").distinct()
     new = names.select(
         surrogate_key("source").alias("source_key"),
         F.col("source").alias("source_name"),
         batch_literal(batch_ts).alias("created_at"),
     )
-    if existing is None:
-        return new
-    fresh = new.join(existing.select("source_name"), "source_name", "left_anti")  # J9
-    return existing.unionByName(fresh)
+    return new if existing is None else new.join(existing.select("source_name"), "source_name", "left_anti").select(*new.columns)
+
+
+def upsert_dim_source(existing: DataFrame | None, *staged: DataFrame, batch_ts=None) -> DataFrame:
+    """U4: distinct source names inserted if absent."""
+    fresh = new_sources(existing, *staged, batch_ts=batch_ts)
+    return fresh if existing is None else existing.unionByName(fresh)
 
 
 def dim_time(spark, *timestamps: DataFrame) -> DataFrame:
@@ -178,25 +185,84 @@ def _sightings_from_history(history: DataFrame) -> DataFrame:
     return first.unionByName(last)
 
 
-# A natural key with more sightings than this is ordered in several tasks
-# (time chunks) instead of one; see :func:`build_chains`.
-HOT_KEY_ROWS = 2_000_000
-# Hot-key chunk bounds come from approximate quantiles; the chunk count per
-# hot key is capped so the bounds table stays small.
-MAX_CHUNKS = 4096
-QUANTILE_ACCURACY = 10_000
-# The hot-key list is broadcast only below this many rows (it is at most
-# sightings / HOT_KEY_ROWS rows); beyond it the joins shuffle and AQE splits.
-HOT_KEYS_BROADCAST_ROWS = 100_000
+# Width of the time slices a chain is ordered in. A task orders one key's
+# sightings of one slice (a day: two dozen hourly runs), however long the
+# key's history is.
+SLICE_HOURS = 24
 
 
-def _tie_order():
-    """Equal-time sightings of a key: the greatest ``source_event_id`` wins;
-    a stored sighting (``created_at`` set) wins over an identical replay."""
-    return [F.col("source_event_id").desc(), F.col("created_at").asc_nulls_last()]
+def _slice(seen_at: str = "seen_at") -> Column:
+    return F.floor(epoch_micros(seen_at) / F.lit(SLICE_HOURS * 3_600_000_000)).cast("long")
 
 
-def _chain_output(closed: DataFrame, batch_ts) -> DataFrame:
+def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
+    """Revision chain per natural key from time-stamped sightings.
+
+    1. Equal-time sightings of a key collapse to their winner, the greatest
+       ``source_event_id`` (a stored sighting wins over its own replay), in an
+       aggregate that combines before the shuffle.
+    2. Each (key, time slice) is ordered by itself: a sighting whose hash
+       equals the previous one's is a repeat (F6 in reverse), which only
+       extends ``last_seen_at`` of the open revision; others start one.
+    3. Slices are stitched from one row each: the last hash and time before a
+       slice, the first start after it.
+    4. ``effective_to`` = start of the next revision; current = open.
+
+    One plan for every size; no job runs while it is built.
+    """
+    rest = [c for c in sightings.columns if c not in FKEY and c != "seen_at"]
+    winners = (
+        sightings.groupBy(*FKEY, "seen_at")
+        .agg(F.max_by(F.struct(*rest), F.struct("source_event_id", F.col("created_at").isNotNull())).alias("_w"))
+        .select(*FKEY, "seen_at", _slice().alias("_c"), "_w.*")
+    )
+    in_slice = Window.partitionBy(*FKEY, "_c").orderBy("seen_at")
+    by_slice = Window.partitionBy(*FKEY).orderBy("_c")
+    later = by_slice.rowsBetween(1, Window.unboundedFollowing)
+    local = (
+        winners.withColumn("_prev_hash", F.lag("record_hash").over(in_slice))
+        .withColumn("_prev_time", F.lag("seen_at").over(in_slice))
+        .withColumn("_start", F.coalesce(F.col("_prev_hash") != F.col("record_hash"), F.lit(True)))
+        # a slice's last sighting speaks for it to the next slice
+        .withColumn("_last", F.lead("seen_at").over(in_slice).isNull())
+        .where(F.col("_start") | F.col("_last"))
+        # among starts and last sightings, what comes before the next start
+        .withColumn("_next_start", F.lead(F.when(F.col("_start"), F.col("seen_at"))).over(in_slice))
+        .withColumn("_next_prev", F.lead(F.when(F.col("_start"), F.col("_prev_time"))).over(in_slice))
+    )
+    # One row per slice: how it begins and ends, and its first start behind
+    # the opening sighting, which may yet turn out a repeat.
+    opening = F.col("_prev_hash").isNull() & F.col("_start")
+    ends = local.groupBy(*FKEY, "_c").agg(
+        F.min(F.when(opening, F.col("seen_at"))).alias("_open_time"),
+        F.max(F.when(opening, F.col("record_hash"))).alias("_open_hash"),
+        F.max(F.when(F.col("_last"), F.col("record_hash"))).alias("_end_hash"),
+        F.max("seen_at").alias("_end_time"),
+        F.min(F.when(F.col("_start") & ~opening, F.struct("seen_at", "_prev_time"))).alias("_inner"),
+    )
+    before = ends.withColumn("_before_hash", F.lag("_end_hash").over(by_slice)).withColumn(
+        "_before_time", F.lag("_end_time").over(by_slice)
+    )
+    opens = F.col("_before_hash").isNull() | (F.col("_before_hash") != F.col("_open_hash"))
+    first_start = F.when(opens, F.struct(F.col("_open_time").alias("seen_at"), F.col("_before_time").alias("_prev_time"))).otherwise(F.col("_inner"))
+    around = before.withColumn("_opens", opens).withColumn("_first", first_start).select(
+        *FKEY, "_c", "_opens", "_before_time",
+        F.min("_first").over(later).alias("_after"),
+        F.max("_end_time").over(Window.partitionBy(*FKEY)).alias("_key_end"),
+    )
+    starts = local.join(around, [*FKEY, "_c"]).where(F.col("_start") & (F.col("_prev_hash").isNotNull() | F.col("_opens")))
+    # the next start is in the slice, or the first one after it
+    closed = starts.select(
+        *FKEY,
+        *REVISION_COLUMNS,
+        F.col("seen_at").alias("effective_from"),
+        F.coalesce("_next_start", "_after.seen_at").alias("effective_to"),
+        F.when(F.col("_next_start").isNotNull(), F.col("_next_prev"))
+        .when(F.col("_after").isNotNull(), F.col("_after._prev_time"))
+        .otherwise(F.col("_key_end"))
+        .alias("last_seen_at"),
+        "created_at",
+    )
     return closed.select(
         revision_key().alias("forecast_revision_key"),
         *FKEY,
@@ -212,162 +278,7 @@ def _chain_output(closed: DataFrame, batch_ts) -> DataFrame:
     )
 
 
-def _chains_by_key(sightings: DataFrame, batch_ts=None) -> DataFrame:
-    """Chains of keys that fit one task: one shuffle on the key, one sort.
-
-    Every step uses the same window (natural key, ordered by time) and the
-    filters keep that order, so no step adds an exchange or a sort."""
-    w = Window.partitionBy(*FKEY).orderBy(F.col("seen_at"), *_tie_order())
-    winners = (
-        sightings.withColumn("_prev_seen", F.lag("seen_at").over(w))
-        .where(F.coalesce(F.col("_prev_seen") != F.col("seen_at"), F.lit(True)))
-        .drop("_prev_seen")
-    )
-    starts = winners.withColumn(
-        "_start", F.coalesce(F.lag("record_hash").over(w) != F.col("record_hash"), F.lit(True))
-    )
-    # A row ends its run when the next row starts a new one (or there is none).
-    edges = starts.withColumn("_end", F.coalesce(F.lead("_start").over(w), F.lit(True))).where(
-        F.col("_start") | F.col("_end")
-    )
-    # Among starts and ends only, a start that does not end its own run is
-    # directly followed by the end of that run.
-    seen = edges.withColumn(
-        "last_seen_at",
-        F.when(F.col("_end"), F.col("seen_at")).otherwise(F.lead("seen_at").over(w)),
-    ).where(F.col("_start"))
-    closed = seen.withColumn("effective_to", F.lead("seen_at").over(w)).withColumnRenamed(
-        "seen_at", "effective_from"
-    )
-    return _chain_output(closed, batch_ts)
-
-
-def _small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= HOT_KEYS_BROADCAST_ROWS else df
-
-
-def _chains_chunked(heavy: DataFrame, batch_ts, chunks: int, n_keys: int) -> DataFrame:
-    """Chains of hot keys, ordered in ``chunks`` time slices per key.
-
-    1. Equal-time sightings collapse to their winner in an aggregate that
-       combines map-side (redelivered copies shrink before any shuffle).
-    2. Chunk bounds per key are approximate time quantiles (a sketch
-       aggregate, also combined map-side); chunk = number of bounds before
-       the sighting, so chunks are consecutive time ranges.
-    3. Each (key, chunk) is ordered in its own task; a chunk learns the
-       last hash/time of the chunk before it, and every start the next
-       start after its chunk, from per-chunk summaries (one row per chunk).
-    """
-    rest = [c for c in heavy.columns if c not in FKEY and c != "seen_at"]
-    winners = heavy.groupBy(*FKEY, "seen_at").agg(
-        F.max_by(
-            F.struct(*rest),
-            F.struct("source_event_id", F.col("created_at").isNotNull()),
-        ).alias("_w")
-    ).select(*FKEY, "seen_at", "_w.*")
-
-    t = epoch_micros("seen_at")
-    probs = [i / chunks for i in range(1, chunks)]
-    bounds = winners.groupBy(*FKEY).agg(
-        F.percentile_approx(t, probs, QUANTILE_ACCURACY).alias("_bounds")
-    )
-    chunked = winners.join(_small_or_shuffled(bounds, n_keys), FKEY).withColumn(
-        "_c", F.size(F.filter("_bounds", lambda b: b < t))
-    ).drop("_bounds")
-
-    in_chunk = Window.partitionBy(*FKEY, "_c").orderBy("seen_at")
-    by_chunk = Window.partitionBy(*FKEY).orderBy("_c")
-    local = chunked.withColumn("_lh", F.lag("record_hash").over(in_chunk)).withColumn(
-        "_lt", F.lag("seen_at").over(in_chunk)
-    )
-    summary = chunked.groupBy(*FKEY, "_c").agg(
-        F.max_by("record_hash", "seen_at").alias("_last_hash"),
-        F.max("seen_at").alias("_last_time"),
-    )
-    summary = summary.select(
-        *FKEY,
-        "_c",
-        F.lag("_last_hash").over(by_chunk).alias("_prev_hash"),
-        F.lag("_last_time").over(by_chunk).alias("_prev_time"),
-        F.max("_last_time").over(Window.partitionBy(*FKEY)).alias("_key_last"),
-    )
-    n_chunks = n_keys * chunks
-    rows = local.join(_small_or_shuffled(summary, n_chunks), FKEY + ["_c"])
-    prev_hash = F.coalesce(F.col("_lh"), F.col("_prev_hash"))
-    starts = rows.withColumn("_pt", F.coalesce(F.col("_lt"), F.col("_prev_time"))).where(
-        prev_hash.isNull() | (prev_hash != F.col("record_hash"))
-    )
-    # Next start inside the chunk, else the first start of the next chunk
-    # that has one; its predecessor's time is where this run was last seen.
-    starts = starts.withColumn("_ns_t", F.lead("seen_at").over(in_chunk)).withColumn(
-        "_ns_pt", F.lead("_pt").over(in_chunk)
-    )
-    firsts = starts.groupBy(*FKEY, "_c").agg(
-        F.min("seen_at").alias("_fs_t"), F.min_by("_pt", "seen_at").alias("_fs_pt")
-    )
-    nexts = firsts.select(
-        *FKEY,
-        "_c",
-        F.lead("_fs_t").over(by_chunk).alias("_nfs_t"),
-        F.lead("_fs_pt").over(by_chunk).alias("_nfs_pt"),
-    )
-    linked = starts.join(_small_or_shuffled(nexts, n_chunks), FKEY + ["_c"])
-    closed = linked.select(
-        *FKEY,
-        *REVISION_COLUMNS,
-        "created_at",
-        F.col("seen_at").alias("effective_from"),
-        F.coalesce(F.col("_ns_t"), F.col("_nfs_t")).alias("effective_to"),
-        F.coalesce(F.col("_ns_pt"), F.col("_nfs_pt"), F.col("_key_last")).alias("last_seen_at"),
-    )
-    return _chain_output(closed, batch_ts)
-
-
-def build_chains(sightings: DataFrame, batch_ts=None, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """Revision chain per natural key from time-stamped sightings.
-
-    1. Equal-time sightings of a key: the greatest ``source_event_id`` wins.
-    2. A sighting whose hash equals the previous one is a repeat (F6 in
-       reverse): it only extends ``last_seen_at`` of the open revision.
-    3. ``effective_to`` = start of the next revision; current = open.
-
-    Keys are first counted (an aggregate that combines map-side, so a hot
-    key costs nothing extra). If no key has more than ``hot_key_rows``
-    sightings, every chain is built in one shuffle on the key. Otherwise the
-    hot keys (at most ``sightings / hot_key_rows`` of them) are split off
-    and ordered in time chunks over many tasks (:func:`_chains_chunked`),
-    the rest take the one-shuffle path. Only two numbers reach the driver.
-    ``hot_key_rows=None`` skips the check.
-    """
-    if hot_key_rows is None:
-        return _chains_by_key(sightings, batch_ts)
-    counts = sightings.groupBy(*FKEY).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_key_rows)
-    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("top")).first()
-    if not stats["keys"]:
-        return _chains_by_key(sightings, batch_ts)
-    chunks = min(MAX_CHUNKS, max(2, -(-stats["top"] // hot_key_rows)))
-    # The sightings feed three branches below: materialise them once in the
-    # shared checkpoint folder (reliable, survives executor loss) instead of
-    # recomputing the lineage three times.
-    shared_dir(sightings.sparkSession)
-    sightings = sightings.checkpoint(eager=True)
-    counts = sightings.groupBy(*FKEY).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_key_rows)
-    hot_keys = _small_or_shuffled(hot.select(*FKEY), stats["keys"])
-    normal = sightings.join(hot_keys, FKEY, "left_anti")
-    heavy = sightings.join(hot_keys, FKEY, "left_semi")
-    return _chains_by_key(normal, batch_ts).unionByName(
-        _chains_chunked(heavy, batch_ts, chunks, stats["keys"])
-    )
-
-
-def scd2_apply(
-    history: DataFrame | None,
-    incoming: DataFrame,
-    batch_ts=None,
-    hot_key_rows: int | None = HOT_KEY_ROWS,
-) -> DataFrame:
+def scd2_apply(history: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
     """Close changed current rows, insert new or changed revisions, leave
     repeats alone; replay-safe and independent of how time-ordered batches
     are split.
@@ -375,10 +286,9 @@ def scd2_apply(
     ``history`` holds the stored rows of the partitions the batch touches
     (the history key includes the target date, so that is all it needs).
     Stored revisions go back in as their first and last sightings and every
-    chain of those partitions is rebuilt in the same single shuffle on the
-    natural key: a chain the batch does not touch comes out unchanged, so
-    no semi/anti join over the history is needed to find affected keys, and
-    the partitions are rewritten whole anyway.
+    chain of those partitions is rebuilt: a chain the batch does not touch
+    comes out unchanged, so no semi/anti join over the history is needed to
+    find affected keys, and the partitions are rewritten whole anyway.
     """
     sightings = incoming.select(
         *FKEY,
@@ -388,7 +298,7 @@ def scd2_apply(
     )
     if history is not None:
         sightings = sightings.unionByName(_sightings_from_history(history))
-    return build_chains(sightings, batch_ts, hot_key_rows)
+    return build_chains(sightings, batch_ts)
 
 
 # --- Observation upsert (U2, D17b) -------------------------------------------------

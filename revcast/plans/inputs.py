@@ -1,13 +1,11 @@
 """Engine inputs and intermediate tables derived from the test tables.
 
-Each function is lazy: it returns a plan over the Parquet files, never a
-collected result, so every query built from them scales with the tables.
+Each function is lazy: it returns a plan over the Parquet files and runs no
+job, so every query built from them scales with the tables.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,69 +15,52 @@ from ..operators import warehouse as wh
 from ..sources import fixtures as fx
 
 
-def _memo(fn):
-    """Builds each input plan once per (session, folder, kind).
-
-    The test tables are read-only, so a plan built for one query is valid
-    for the next; reusing it also keeps a single relation per table inside
-    one query, which lets Spark reuse its scan and exchanges."""
-    return functools.lru_cache(maxsize=256)(fn)
-
-
-@_memo
 def raw(spark: SparkSession, d: str, kind: str) -> DataFrame:
     if kind == "forecast":
         return fx.forecast_events(spark, d)
     return fx.observation_events(spark, d)
 
 
-@_memo
 def normalized(spark: SparkSession, d: str, kind: str) -> DataFrame:
     return sv.normalize(raw(spark, d, kind), kind)
 
 
-@_memo
 def valid(spark: SparkSession, d: str, kind: str) -> DataFrame:
     good, _ = sv.split_valid(normalized(spark, d, kind), kind)
     return good
 
 
-@_memo
 def silver(spark: SparkSession, d: str, kind: str) -> DataFrame:
     return sv.dedup(valid(spark, d, kind))
 
 
-@_memo
 def redelivery(spark: SparkSession, d: str) -> DataFrame:
     """Valid forecasts with every tenth one delivered twice (R3s)."""
     return fx.redelivered(valid(spark, d, "forecast"))
 
 
-@_memo
 def staged(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    return wh.stage(silver(spark, d, kind), kind)
+    """Staging rows: valid events before W1, so a value that returns keeps
+    all its sightings (§7.4)."""
+    return wh.stage(valid(spark, d, kind), kind)
 
 
-@_memo
 def fact_forecast(spark: SparkSession, d: str) -> DataFrame:
     return wh.scd2_apply(None, wh.incoming_revisions(staged(spark, d, "forecast")))
 
 
-@_memo
 def fact_observation(spark: SparkSession, d: str) -> DataFrame:
     return wh.upsert_observations(
         None, wh.incoming_observations(staged(spark, d, "observation"))
     )
 
 
-@_memo
 def dims(spark: SparkSession, d: str):
     f = staged(spark, d, "forecast")
     o = staged(spark, d, "observation")
     return wh.upsert_dim_city(None, f, o), wh.upsert_dim_source(None, f, o)
 
 
-@_memo
 def gold(spark: SparkSession, d: str) -> DataFrame:
     obs = acc.latest_observations(silver(spark, d, "observation"))
     return acc.gold_rows(silver(spark, d, "forecast"), obs)

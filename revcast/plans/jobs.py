@@ -4,15 +4,20 @@ One run handles one landed batch (e.g. one ingestion hour or day):
 
 1. silver: normalise + validate once (persisted, reused by every output),
    merge the valid rows with the stored rows of the *target dates the batch
-   touches*, deduplicate (W1) and rewrite those dates only (D1, D10);
-   rejected rows replace the quarantine folder of the process date (D7);
-   input / valid / invalid / deduplicated counts are recorded (K4).
-2. warehouse: dimensions insert-if-absent (versioned), SCD2 forecast
-   revisions and observation upsert for the touched dates. The SCD2 input is
-   the batch's valid rows *before* W1, so a value that returns (A, B, A) is
-   kept as three sightings; history is never rebuilt from silver.
-3. gold: score the touched target dates again and replace them (D5), then
-   refresh the summary table from the stored gold rows (no second join).
+   touches*, deduplicate (W1) and replace those dates only (D1, D10);
+   rejected rows and the counts (K4) go to folders of this batch (D7).
+2. warehouse: dimensions insert-if-absent (a new version only for new
+   names), SCD2 forecast revisions and observation upsert for the touched
+   dates. The SCD2 input is the batch's valid rows *before* W1, so a value
+   that returns (A, B, A) is kept as three sightings; history is never
+   rebuilt from silver.
+3. gold: score the touched target dates again and replace them (D5), and
+   their partial sums (K6); the summary adds up the partials, so its cost
+   doesn't grow with the gold rows.
+
+Each table is published by one committed manifest; the batch's marker comes
+last. A run lost anywhere leaves whole tables, and running it again ends in
+the same state, as every merge is replay-safe.
 """
 
 from __future__ import annotations
@@ -51,6 +56,10 @@ class Layout:
     def metrics(self) -> str:
         return f"{self.root}/metrics"
 
+    @property
+    def batches(self) -> str:
+        return f"{self.root}/batches"
+
     @property
     def dim_city(self) -> str:
         return f"{self.root}/warehouse/dim_city"
@@ -72,23 +81,70 @@ class Layout:
         return f"{self.root}/gold/forecast_accuracy"
 
     @property
-    def gold_summary(self) -> str:
-        return f"{self.root}/gold/forecast_accuracy_summary"
+    def gold_partials(self) -> str:
+        return f"{self.root}/gold/forecast_accuracy_partials"
 
 
 def new_layout(spark: SparkSession, name: str = "lake") -> Layout:
     return Layout(scratch_path(spark, name))
 
 
+# --- stored tables, each read with its declared schema (K9) -------------------------
+
+
+def read_silver(spark: SparkSession, lay: Layout, kind: str, dates: list | None = None) -> DataFrame | None:
+    return st.read_partitions(spark, lay.silver(kind), DATE[kind], schemas.SILVER[kind], dates)
+
+
+def read_fact_forecast(spark: SparkSession, lay: Layout, dates: list | None = None) -> DataFrame | None:
+    return st.read_partitions(spark, lay.fact_forecast, "forecast_date", schemas.FACT_FORECAST_REVISION, dates)
+
+
+def read_fact_observation(spark: SparkSession, lay: Layout, dates: list | None = None) -> DataFrame | None:
+    return st.read_partitions(spark, lay.fact_observation, "observation_date", schemas.FACT_OBSERVATION, dates)
+
+
+def read_gold(spark: SparkSession, lay: Layout, dates: list | None = None) -> DataFrame | None:
+    return st.read_partitions(spark, lay.gold, "target_date", schemas.GOLD, dates)
+
+
+def read_dim_city(spark: SparkSession, lay: Layout) -> DataFrame | None:
+    return st.read_versioned(spark, lay.dim_city, schemas.DIM_CITY)
+
+
+def read_dim_source(spark: SparkSession, lay: Layout) -> DataFrame | None:
+    return st.read_versioned(spark, lay.dim_source, schemas.DIM_SOURCE)
+
+
+def read_summary(spark: SparkSession, lay: Layout) -> DataFrame | None:
+    """A1 from the stored partial sums of all dates."""
+    partials = st.read_partitions(spark, lay.gold_partials, "target_date", schemas.GOLD_PARTIALS)
+    return None if partials is None else acc.summary_of_partials(partials)
+
+
 # --- silver ------------------------------------------------------------------------
 
 
+def merge_silver(spark: SparkSession, good: DataFrame, kind: str, lay: Layout) -> list:
+    """W1 against the stored rows of the touched dates; returns the dates. An
+    event's id fixes its target date, so its copies always meet there."""
+    dates = st.touched_dates(good, DATE[kind])
+    if dates:
+        stored = read_silver(spark, lay, kind, dates)
+        merged = good if stored is None else stored.select(*good.columns).unionByName(good)
+        st.write_partitions(
+            sv.dedup(merged), lay.silver(kind), DATE[kind], schemas.SILVER[kind], dates, [TARGET[kind], "city"]
+        )
+    return dates
+
+
 def run_silver(
     spark: SparkSession,
     events: DataFrame,
     kind: str,
     lay: Layout,
     process_date: str,
+    batch: str = "0",
     temperature_range=R.TEMPERATURE_RANGE_C,
 ) -> tuple[DataFrame, list, DataFrame]:
     """Returns the batch's valid rows (before W1), the target dates it
@@ -102,26 +158,15 @@ def run_silver(
         good = good.drop(schemas.CORRUPT)
     bad = flagged.where(~F.col("_valid")).drop("_valid")
 
-    dates = st.touched_dates(good, DATE[kind])
-    stored = st.read_partitions(spark, lay.silver(kind), DATE[kind], dates)
-    merged = good if stored is None else stored.select(*good.columns).unionByName(good)
-    if dates:
-        st.write_partitions(sv.dedup(merged), lay.silver(kind), DATE[kind], [TARGET[kind], "city"])
-
-    st.write_quarantine(bad, lay.quarantine, kind, process_date)
-
+    dates = merge_silver(spark, good, kind, lay)
+    st.write_quarantine(bad, lay.quarantine, kind, process_date, batch)
     counts = flagged.agg(
         F.count(F.lit(1)).alias("input_count"),
         F.count(F.when(F.col("_valid"), 1)).alias("valid_count"),
         F.count(F.when(~F.col("_valid"), 1)).alias("invalid_count"),
         F.count_distinct(F.when(F.col("_valid"), F.col("event_id"))).alias("deduplicated_count"),
-    ).select(F.lit(kind).alias("event_type"), F.lit(process_date).alias("process_date"), "*")
-    (
-        counts.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_type", "process_date")
-        .parquet(lay.metrics)
     )
+    st.write_metrics(counts, lay.metrics, kind, process_date, batch)
     return good, dates, flagged
 
 
@@ -131,11 +176,46 @@ def run_silver(
 def stage_from_silver(spark: SparkSession, lay: Layout, kind: str, dates: list) -> DataFrame | None:
     """staging = the stored silver rows of the given target dates,
     selected by name (D9); every date the batch touched, not only the
-    process date (D10). The date filter prunes partitions."""
-    rows = st.read_partitions(spark, lay.silver(kind), DATE[kind], dates)
+    process date (D10)."""
+    rows = read_silver(spark, lay, kind, dates)
     return None if rows is None else wh.stage(rows, kind)
 
 
+def merge_forecasts(spark: SparkSession, lay: Layout, staged: DataFrame, dates: list, batch_ts=None) -> None:
+    """U1 for the given dates; the gates (Q7, Q8, Q10) see the new rows
+    before anybody else does."""
+    history = read_fact_forecast(spark, lay, dates)
+    fact = wh.scd2_apply(history, wh.incoming_revisions(staged), batch_ts)
+    schema = schemas.FACT_FORECAST_REVISION
+    run = st.stage_partitions(fact, lay.fact_forecast, "forecast_date", schema, ["forecast_timestamp", "city_key"])
+    new = spark.read.schema(schema).parquet(f"{lay.fact_forecast}/data/run={run}")
+    dq.gate(dq.duplicate_current(new), "one_current_row_per_key")
+    dq.gate(dq.invalid_intervals(new), "valid_intervals")
+    st.publish(spark, lay.fact_forecast, "forecast_date", run, dates)
+
+
+def merge_observations(spark: SparkSession, lay: Layout, staged: DataFrame, dates: list, batch_ts=None) -> None:
+    """U2 for the given dates, gated by Q9."""
+    existing = read_fact_observation(spark, lay, dates)
+    upserted = wh.upsert_observations(existing, wh.incoming_observations(staged, batch_ts))
+    schema = schemas.FACT_OBSERVATION
+    run = st.stage_partitions(
+        upserted, lay.fact_observation, "observation_date", schema, ["observation_timestamp", "city_key"]
+    )
+    new = spark.read.schema(schema).parquet(f"{lay.fact_observation}/data/run={run}")
+    dq.gate(dq.duplicate_observations(new), "one_observation_per_key")
+    st.publish(spark, lay.fact_observation, "observation_date", run, dates)
+
+
+def merge_dimension(existing: DataFrame | None, new: DataFrame, root: str, schema) -> None:
+    """A new version only if there are new names."""
+    if existing is not None and new.isEmpty():
+        return
+    rows = new if existing is None else existing.unionByName(new)
+    names = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    st.write_versioned(rows.select(*names).coalesce(1), root)
+
+
 def run_warehouse(
     spark: SparkSession,
     lay: Layout,
@@ -149,48 +229,38 @@ def run_warehouse(
     stg_f = wh.stage(forecasts, "forecast")
     stg_o = wh.stage(observations, "observation")
 
-    city = wh.upsert_dim_city(st.read_versioned(spark, lay.dim_city), stg_f, stg_o, batch_ts=batch_ts)
-    st.write_versioned(city, lay.dim_city)
-    source = wh.upsert_dim_source(
-        st.read_versioned(spark, lay.dim_source), stg_f, stg_o, batch_ts=batch_ts
+    city, source = read_dim_city(spark, lay), read_dim_source(spark, lay)
+    merge_dimension(city, wh.new_cities(city, stg_f, stg_o, batch_ts=batch_ts), lay.dim_city, schemas.DIM_CITY)
+    merge_dimension(
+        source, wh.new_sources(source, stg_f, stg_o, batch_ts=batch_ts), lay.dim_source, schemas.DIM_SOURCE
     )
-    st.write_versioned(source, lay.dim_source)
-
     if forecast_dates:
-        history = st.read_partitions(spark, lay.fact_forecast, "forecast_date", forecast_dates)
-        fact = wh.scd2_apply(history, wh.incoming_revisions(stg_f), batch_ts)
-        st.write_partitions(fact, lay.fact_forecast, "forecast_date", ["forecast_timestamp", "city_key"])
-        stored = st.read_partitions(spark, lay.fact_forecast, "forecast_date", forecast_dates)
-        dq.gate(dq.duplicate_current(stored), "one_current_row_per_key")  # Q7/Q10
-        dq.gate(dq.invalid_intervals(stored), "valid_intervals")  # Q8
-
+        merge_forecasts(spark, lay, stg_f, forecast_dates, batch_ts)
     if observation_dates:
-        existing = st.read_partitions(
-            spark, lay.fact_observation, "observation_date", observation_dates
-        )
-        upserted = wh.upsert_observations(existing, wh.incoming_observations(stg_o, batch_ts))
-        st.write_partitions(
-            upserted, lay.fact_observation, "observation_date", ["observation_timestamp", "city_key"]
-        )
+        merge_observations(spark, lay, stg_o, observation_dates, batch_ts)
 
 
 # --- gold --------------------------------------------------------------------------------
 
 
 def run_gold(spark: SparkSession, lay: Layout, target_dates: list) -> None:
-    """Recompute the touched target dates (D10) and replace them."""
+    """Recompute the touched target dates (D10) and replace them (D5), rows
+    and partial sums."""
     configure(spark)
-    if target_dates:
-        forecasts = st.read_partitions(spark, lay.silver("forecast"), "forecast_date", target_dates)
-        observations = st.read_partitions(
-            spark, lay.silver("observation"), "observation_date", target_dates
-        )
-        if forecasts is not None and observations is not None:
-            rows = acc.gold_rows(forecasts, acc.latest_observations(observations))
-            st.write_partitions(rows, lay.gold, "target_date", ["city", "forecast_timestamp"])
-    gold = st.read_partitions(spark, lay.gold, "target_date")
-    if gold is not None:
-        st.write_versioned(acc.summary(gold), lay.gold_summary)  # K6
+    if not target_dates:
+        return
+    forecasts = read_silver(spark, lay, "forecast", target_dates)
+    observations = read_silver(spark, lay, "observation", target_dates)
+    if forecasts is None or observations is None:
+        return
+    rows = acc.gold_rows(forecasts, acc.latest_observations(observations))
+    st.write_partitions(rows, lay.gold, "target_date", schemas.GOLD, target_dates, ["city", "forecast_timestamp"])
+    scored = read_gold(spark, lay, target_dates)
+    if scored is None:
+        scored = spark.createDataFrame([], schemas.GOLD)
+    st.write_partitions(
+        acc.partials(scored), lay.gold_partials, "target_date", schemas.GOLD_PARTIALS, target_dates
+    )
 
 
 def run_batch(
@@ -200,16 +270,20 @@ def run_batch(
     observation_events: DataFrame,
     process_date: str,
     batch_ts=None,
-) -> None:
+    batch: str = "0",
+) -> bool:
     """Silver for both types, then warehouse, then gold for the dates the
-    batch touched."""
-    f_good, f_dates, f_cached = run_silver(spark, forecast_events, "forecast", lay, process_date)
-    o_good, o_dates, o_cached = run_silver(
-        spark, observation_events, "observation", lay, process_date
-    )
+    batch touched. False if this batch of the day was finished before."""
+    marker = f"{process_date}-{batch}"
+    if st.is_processed(spark, lay.batches, marker):
+        return False
+    f_good, f_dates, f_cached = run_silver(spark, forecast_events, "forecast", lay, process_date, batch)
+    o_good, o_dates, o_cached = run_silver(spark, observation_events, "observation", lay, process_date, batch)
     try:
         run_warehouse(spark, lay, f_good, o_good, f_dates, o_dates, batch_ts)
         run_gold(spark, lay, sorted(set(f_dates) | set(o_dates)))
     finally:
         f_cached.unpersist()
         o_cached.unpersist()
+    st.mark_processed(spark, lay.batches, marker)
+    return True

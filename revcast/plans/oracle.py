@@ -1,24 +1,40 @@
 """DuckDB SQL oracles for the named queries.
 
 Each statement recomputes a query from the raw test tables (views
-``events``, ``region``, …) with plain SQL, independently of the Spark code:
+``events``, ``region``, …) with plain SQL; nothing of the engine is imported:
 the FIXTURES mapping, validation, dedup, chain building and scoring are
 spelled out again here. Every query has an entry.
 """
 
 from __future__ import annotations
 
-from ..functions.stats import exact_mean_sql as MEAN
-from ..functions.timecols import lead_bucket_sql
-
 SPLIT_AT = "TIMESTAMP '2024-01-15 00:00:00'"
 COVERAGE_THRESHOLD = 0.5
 
 
+def MEAN(expr: str) -> str:
+    return f"round(avg({expr}), 6)"
+
+
+def RMS(expr: str) -> str:
+    return f"round(sqrt(avg({expr})), 6)"
+
+
+def BUCKET(lead: str) -> str:
+    return (
+        f"CASE WHEN {lead} <= 6 THEN '00-06h' WHEN {lead} <= 12 THEN '07-12h' WHEN {lead} <= 24 THEN '13-24h' "
+        f"WHEN {lead} <= 48 THEN '25-48h' WHEN {lead} <= 72 THEN '49-72h' ELSE '72h+' END"
+    )
+
+
 def SK(x: str) -> str:
     return f"CAST(('0x' || substr(sha256({x}), 1, 15)) AS BIGINT)"
 
 
+def WIDE(x: str) -> str:
+    return f"sha256({x})"
+
+
 def HASH(*cols: str) -> str:
     parts = " || '|' || ".join(
         f"coalesce(CAST(CAST({c} AS DECIMAL(18,6)) AS VARCHAR), '')" for c in cols
@@ -121,7 +137,7 @@ gold AS (
   SELECT f.event_id, f.source, o.source AS observation_source, f.city, f.issued_at,
          f.forecast_timestamp,
          {LEAD_EXACT} AS lead_hours,
-         {lead_bucket_sql(LEAD_EXACT)} AS lead_time_bucket,
+         {BUCKET(LEAD_EXACT)} AS lead_time_bucket,
          f.temperature_2m_c AS forecast_temperature_c,
          o.temperature_2m_c AS observed_temperature_c,
          f.temperature_2m_c - o.temperature_2m_c AS temperature_error_c,
@@ -137,7 +153,7 @@ gold AS (
 
 MEASURES = f"""count(*) AS matched_forecasts,
   {MEAN('temperature_absolute_error_c')} AS temperature_mae_c,
-  sqrt({MEAN('temperature_squared_error')}) AS temperature_rmse_c,
+  {RMS('temperature_squared_error')} AS temperature_rmse_c,
   {MEAN('temperature_error_c')} AS temperature_bias_c"""
 
 
@@ -173,7 +189,7 @@ def chain(src: str, name: str = "fact") -> str:
   SELECT *, lead(seen_at) OVER (PARTITION BY {FKEY} ORDER BY seen_at) AS effective_to
   FROM {name}_ls WHERE st = 1),
 {name} AS (
-  SELECT {SK("concat_ws('|', CAST(source_key AS VARCHAR), CAST(city_key AS VARCHAR), "
+  SELECT {WIDE("concat_ws('|', CAST(source_key AS VARCHAR), CAST(city_key AS VARCHAR), "
              "CAST(epoch_us(issued_at) AS VARCHAR), CAST(epoch_us(forecast_timestamp) AS VARCHAR), "
              "CAST(epoch_us(seen_at) AS VARCHAR))")} AS forecast_revision_key,
          {FKEY}, {F_MEASURES}, source_event_id, seen_at AS effective_from, effective_to,
@@ -368,9 +384,9 @@ JOIN dim_source s ON s.source_key = f.source_key
 WHERE f.is_current""",
     "v_temperature_accuracy": W(*WAREHOUSE, V_ACC) + "\nSELECT * FROM v_acc",
     "v_accuracy_by_city_lead": W(*WAREHOUSE, V_ACC) + f"""
-SELECT city_name, {lead_bucket_sql('lead_hours')} AS lead_time_bucket,
+SELECT city_name, {BUCKET('lead_hours')} AS lead_time_bucket,
        count(*) AS sample_count, {MEAN('absolute_error_c')} AS mae_c,
-       sqrt({MEAN('error_c * error_c')}) AS rmse_c, {MEAN('error_c')} AS bias_c
+       {RMS('error_c * error_c')} AS rmse_c, {MEAN('error_c')} AS bias_c
 FROM v_acc GROUP BY 1, 2""",
     "accuracy_by_source": W(*SILVER_BOTH, OB_LATEST, GOLD) + f"""
 SELECT source, {MEASURES} FROM gold GROUP BY source ORDER BY source""",
@@ -444,7 +460,66 @@ ORACLE["warehouse_incremental"] = ORACLE["scd2_revisions"]
 ORACLE["warehouse_observation_incremental"] = ORACLE["observation_upsert"]
 ORACLE["gold_incremental"] = ORACLE["gold_accuracy_rows"]
 
+ORACLE["gold_summary_stored"] = ORACLE["gold_accuracy_summary"]
+ORACLE["payload_files"] = ORACLE["hourly_explode"]
+
+ORACLE["scd2_hot_key"] = W(*BASE_F, FC_VALID, REDELIVERY) + f""",
+hot AS (SELECT * REPLACE ('all' AS source, 'EVERYWHERE' AS city, {SPLIT_AT} AS issued_at,
+                          {SPLIT_AT} AS forecast_timestamp) FROM redelivery),
+{incoming("hot").strip()},
+{chain("inc").strip()}
+SELECT {FACT_OUT} FROM fact"""
+
+ORACLE["unsupported_type"] = W(EV, FC_RAW) + """
+SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 107 = 0 THEN 'radar' ELSE event_type END AS event_type,
+       CAST(event_id AS BIGINT) % 107 <> 0 AS has_content_id
+FROM fc_raw"""
+
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+
+ORACLE["serialised_records"] = W(EV, FC_RAW) + f"""
+SELECT city AS key, event_id, strftime(forecast_timestamp, {ISO}) AS forecast_timestamp,
+       'event_id,event_type,source,city,latitude,longitude,issued_at,forecast_timestamp,temperature_2m_c,'
+       || 'precipitation_probability_pct,wind_speed_10m_kmh,ingested_at' AS fields, false AS has_blanks
+FROM fc_raw"""
+
+ORACLE["city_config"] = """
+SELECT r_name AS city, r_regionkey * 10.0::DOUBLE AS latitude, r_regionkey * 15.0::DOUBLE - 30.0 AS longitude,
+       'Etc/GMT+' || r_regionkey AS timezone
+FROM region"""
+
+ORACLE["quarantine_stored"] = W(*BASE_F) + f"""
+SELECT event_id, city, temperature_2m_c, {QUARANTINE_F} AS failed_rules, 'day' AS process_date, '2' AS batch
+FROM fc_norm WHERE NOT {FC_OK} AND ingested_at >= {SPLIT_AT}"""
+
+_COUNTS = f"""count(*) AS input_count, count(*) FILTER (WHERE {FC_OK}) AS valid_count,
+  count(*) FILTER (WHERE NOT {FC_OK}) AS invalid_count,
+  count(DISTINCT CASE WHEN {FC_OK} THEN event_id END) AS deduplicated_count,
+  'forecast' AS event_type, 'day' AS process_date"""
+ORACLE["metrics_stored"] = W(*BASE_F) + f"""
+SELECT {_COUNTS}, '1' AS batch FROM fc_norm WHERE ingested_at < {SPLIT_AT} AND {FC_OK}
+UNION ALL
+SELECT {_COUNTS}, '2' AS batch FROM fc_norm WHERE ingested_at >= {SPLIT_AT}"""
+
+ORACLE["dims_two_batches"] = W(*BASE_F, FC_VALID) + f"""
+SELECT {SK('city')} AS city_key, city AS city_name,
+       CAST(latitude AS DECIMAL(9,6)) AS latitude, CAST(longitude AS DECIMAL(9,6)) AS longitude,
+       CASE WHEN city < 'B' THEN TIMESTAMP '2024-01-15 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS created_at
+FROM fc_valid
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY ingested_at, latitude, longitude) = 1"""
+
+ORACLE["gate_report"] = W(*BASE_F, FC_VALID, REDELIVERY, incoming("redelivery"), *SILVER_O, FACT_OBS) + f""",
+n AS (
+  SELECT (SELECT count(*) FROM (SELECT 1 FROM inc GROUP BY {FKEY} HAVING count(*) > 1)) AS f,
+         (SELECT count(*) FROM (SELECT 1 FROM obs_inc GROUP BY source_key, city_key, observation_timestamp
+                                HAVING count(*) > 1)) AS o)
+SELECT gate, violations, violations = 0 AS passed FROM (
+  SELECT 'one_current_row_per_key' AS gate, 0::BIGINT AS violations
+  UNION ALL SELECT 'valid_intervals', 0
+  UNION ALL SELECT 'one_observation_per_key', 0
+  UNION ALL SELECT 'one_current_row_per_key, unmerged', f FROM n
+  UNION ALL SELECT 'one_observation_per_key, unmerged', o FROM n)"""
+
 STREAM_ROWS = f"""
 recs AS (
   SELECT event_id, event_type, source, city, latitude, longitude, temperature_2m_c,
@@ -453,36 +528,49 @@ recs AS (
          strftime(forecast_timestamp, {ISO}) AS forecast_timestamp,
          precipitation_probability_pct,
          CAST(NULL AS VARCHAR) AS observation_timestamp, CAST(NULL AS DOUBLE) AS precipitation_mm,
-         ingested_at AS ts, city AS key
+         ingested_at AS ts, city AS key, CAST(event_id AS BIGINT) AS n
   FROM fc_raw
   UNION ALL
   SELECT event_id, event_type, source, city, latitude, longitude, temperature_2m_c,
          wind_speed_10m_kmh, strftime(ingested_at, {ISO}), NULL, NULL, NULL,
-         strftime(observation_timestamp, {ISO}), precipitation_mm, ingested_at, city
+         strftime(observation_timestamp, {ISO}), precipitation_mm, ingested_at, city, CAST(event_id AS BIGINT)
   FROM ob_raw)"""
+LANDED = "n % 101 <> 0 AND n % 103 <> 0 AND n % 107 <> 0 AND n % 109 <> 0"
 
-ORACLE["stream_bronze"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + """
-SELECT event_id, source, city, latitude, longitude, temperature_2m_c, wind_speed_10m_kmh,
+ORACLE["stream_bronze"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + f"""
+SELECT event_id, source, city, latitude, longitude,
+       CASE WHEN n % 113 <> 0 THEN temperature_2m_c END AS temperature_2m_c, wind_speed_10m_kmh,
        ingested_at, issued_at, forecast_timestamp, precipitation_probability_pct,
        observation_timestamp, precipitation_mm, event_type,
        strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
        strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
 FROM recs
-WHERE CAST(event_id AS BIGINT) % 101 <> 0 AND CAST(event_id AS BIGINT) % 103 <> 0"""
-
-ORACLE["stream_dead_letter"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + """
+WHERE {LANDED}"""
+
+ORACLE["bronze_roundtrip"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + f"""
+SELECT event_id, event_type, CASE WHEN n % 7 = 0 THEN 's1' END AS sensor,
+       CASE WHEN n % 113 = 0 THEN 'mild' END AS temperature_word
+FROM recs WHERE {LANDED}"""
+
+ORACLE["bronze_scan_day"] = W(EV, FC_RAW, FC_NORM) + f""",
+landed AS (SELECT *, CAST(event_id AS BIGINT) AS n FROM fc_norm)
+SELECT event_id, event_type, source, city, latitude, longitude, issued_at, forecast_timestamp,
+       CASE WHEN n % 113 <> 0 THEN temperature_2m_c END AS temperature_2m_c, precipitation_probability_pct,
+       wind_speed_10m_kmh, ingested_at, forecast_date, n % 113 = 0 AS malformed
+FROM landed
+WHERE {LANDED} AND CAST(ingested_at AS DATE) = DATE '2024-01-15'"""
+
+ORACLE["stream_dead_letter"] = W(EV, FC_RAW, OB_RAW, STREAM_ROWS) + f"""
 SELECT event_id AS record_id, key,
-       CASE WHEN CAST(event_id AS BIGINT) % 101 = 0 THEN 'bad_base64' ELSE 'bad_json' END AS error
+       CASE WHEN n % 101 = 0 THEN 'bad_base64' WHEN n % 103 = 0 THEN 'bad_json'
+            WHEN n % 107 = 0 THEN 'unsupported_event_type' ELSE 'bad_ingested_at' END AS error
 FROM recs
-WHERE CAST(event_id AS BIGINT) % 101 = 0 OR CAST(event_id AS BIGINT) % 103 = 0"""
+WHERE NOT ({LANDED})"""
 
 ORACLE["stream_scd2"] = ORACLE["scd2_apply_incremental"]
 ORACLE["stream_upsert"] = ORACLE["observation_upsert"]
-
-ORACLE["stream_dedup"] = W(*BASE_F, FC_VALID) + """
-SELECT DISTINCT event_id, event_type, source, city, latitude, longitude, issued_at,
-       forecast_timestamp, temperature_2m_c, precipitation_probability_pct, wind_speed_10m_kmh
-FROM fc_valid"""
+ORACLE["stream_dedup"] = ORACLE["silver_dedup"]
+ORACLE["stream_dedup_late"] = ORACLE["silver_dedup"]
 
 ORACLE["events_per_city"] = W(EV, FC_RAW, OB_RAW) + """
 SELECT city, event_type, count(*) AS events FROM (

@@ -1,6 +1,7 @@
 """Declared schemas.
 
-Nothing is inferred: every reader is handed one of these. Engine timestamps
+Nothing is inferred: every table is read with one of these, and what the
+batch jobs write is cast to it. Engine timestamps
 are ``timestamp_ntz`` holding UTC wall-clock time, so results do not depend
 on the session or Python process zone.
 """
@@ -104,6 +105,36 @@ TIMESTAMP_COLUMNS = {
     "observation": ["observation_timestamp", "ingested_at"],
 }
 
+_TYPES = {
+    "latitude": D, "longitude": D, "temperature_2m_c": D, "precipitation_probability_pct": D,
+    "precipitation_mm": D, "wind_speed_10m_kmh": D, "issued_at": TS, "forecast_timestamp": TS,
+    "observation_timestamp": TS, "ingested_at": TS, "forecast_date": T.DateType(), "observation_date": T.DateType(),
+}
+
+
+def _typed(names: list[str]) -> T.StructType:
+    return T.StructType(_fields(*((n, _TYPES.get(n, S)) for n in names)))
+
+
+SILVER = {
+    "forecast": _typed([*FORECAST_COLUMNS, "forecast_date"]),
+    "observation": _typed([*OBSERVATION_COLUMNS, "observation_date"]),
+}
+# Rejected rows as JSON, times as text; the names of the rules each one breaks.
+QUARANTINE = {
+    kind: T.StructType(
+        [T.StructField(f.name, D if f.dataType == D else S) for f in schema.fields]
+        + [T.StructField("failed_rules", T.ArrayType(S))]
+    )
+    for kind, schema in SILVER.items()
+}
+METRICS = T.StructType(
+    _fields(
+        *((n, T.LongType()) for n in ("input_count", "valid_count", "invalid_count", "deduplicated_count")),
+        ("event_type", S), ("process_date", S), ("batch", S),
+    )
+)
+
 # --- Stream record (M4) and hourly payload (M2) ------------------------------
 
 STREAM_RECORD = T.StructType(_fields(("record_id", S), ("key", S), ("value", S)))
@@ -201,7 +232,7 @@ OBSERVATION_KEY = ["source_key", "city_key", "observation_timestamp"]
 
 FACT_FORECAST_REVISION = T.StructType(
     [
-        T.StructField("forecast_revision_key", T.LongType(), False),
+        T.StructField("forecast_revision_key", S, False),
         T.StructField("source_key", T.LongType(), False),
         T.StructField("city_key", T.LongType(), False),
         T.StructField("issued_at", TS, False),
@@ -255,3 +286,21 @@ GOLD_COLUMNS = [
     "observed_wind_kmh",
     "target_date",
 ]
+
+GOLD = T.StructType(
+    _fields(
+        *(
+            (n, TS if n in ("issued_at", "forecast_timestamp") else T.DateType() if n == "target_date"
+             else S if n in ("event_id", "source", "observation_source", "city", "lead_time_bucket") else D)
+            for n in GOLD_COLUMNS
+        )
+    )
+)
+
+# What the summary needs of one day: rows and sums by city and lead bucket.
+GOLD_PARTIALS = T.StructType(
+    _fields(
+        ("city", S), ("lead_time_bucket", S), ("matched_forecasts", T.LongType()),
+        ("sum_absolute_error", D), ("sum_squared_error", D), ("sum_error", D), ("target_date", T.DateType()),
+    )
+)

@@ -7,7 +7,9 @@ inside a session somebody else built (a cluster job, the driver's checker).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,8 +26,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Writes replace only the partitions present in the written frame.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -69,7 +69,7 @@ def shared_dir(spark: SparkSession) -> str:
     smoke check) gets a fresh folder of its own under the system temp dir.
     """
     sc = spark.sparkContext
-    known = _ROOTS.get(id(sc))
+    known = _ROOTS.get(sc.applicationId)
     if known:
         return known
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -82,6 +82,7 @@ def shared_dir(spark: SparkSession) -> str:
         root = configured.rstrip("/")
     elif sc.master.startswith("local"):
         root = tempfile.mkdtemp(prefix="revcast-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     else:
         raise RuntimeError(
             "spark.checkpoint.dir must name a shared folder on a cluster; "
@@ -89,7 +90,7 @@ def shared_dir(spark: SparkSession) -> str:
         )
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(f"{root}/_checkpoints")
-    _ROOTS[id(sc)] = root
+    _ROOTS[sc.applicationId] = root
     return root
 
 
@@ -99,16 +100,3 @@ _ROOTS: dict[int, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df, *keys: str):
-    """Spread an input that arrives in fewer partitions than the session can
-    run in parallel (a single unsplittable row group, say), so the per-row
-    work after the scan is not serialised on one core. Hashing on ``keys``
-    (unique ids) needs no pre-sort, unlike round-robin. At scale the input
-    already has far more partitions than cores and this is a no-op; only
-    the partition count is looked at, no data is read."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -28,7 +28,7 @@ def validated(df: DataFrame, required: list[str] = schemas.CITY_REQUIRED) -> Dat
         F.size(missing) > 0,
         F.raise_error(
             F.concat(
-                F.lit("City config missing fields ["),
+                F.lit("incomplete city entry, without ["),
                 F.array_join(missing, ", "),
                 F.lit("]: "),
                 F.to_json(F.struct(*[F.col(c) for c in df.columns])),
@@ -38,6 +38,13 @@ def validated(df: DataFrame, required: list[str] = schemas.CITY_REQUIRED) -> Dat
     return df.where(failure.isNull())
 
 
+def write_cities(cities: DataFrame, path: str) -> None:
+    """A config as :func:`load_cities` reads it: one JSON array. A config is
+    a list somebody keeps by hand, so it fits one row."""
+    rows = F.array_sort(F.collect_list(F.struct(*schemas.CITY_REQUIRED)))
+    cities.agg(F.to_json(rows).alias("value")).write.mode("overwrite").text(path)
+
+
 def load_cities(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema(schemas.CITY_CONFIG).option("multiLine", True).json(path)
     return validated(raw)

@@ -7,11 +7,10 @@ it scales with ``events`` and keeps Parquet column pruning: only the six
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import add_hours, floor_hours
-from ..session import spread
 
 # Fixed values of the mapping.
 NULL_TEMPERATURE_EVERY = 53
@@ -32,9 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _events_with_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    e = spread(
-        events.select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id"
-    ).withColumn("_rk", (F.col("user_id") % 5).cast("int"))
+    e = events.select("event_id", "ts", "user_id", "event_type", "value", "props").withColumn(
+        "_rk", (F.col("user_id") % 5).cast("int")
+    )
     # No hint: the planner broadcasts region from its file size (a measured
     # bound, under autoBroadcastJoinThreshold) and falls back to a shuffle
     # join above it.
@@ -113,24 +112,41 @@ def redelivered(valid_forecasts: DataFrame) -> DataFrame:
     return valid_forecasts.unionByName(again)
 
 
-# Which mapped events are delivered damaged on the stream.
+# Which mapped events are delivered damaged, or unusual but fine.
 BAD_BASE64_EVERY = 101
 BAD_JSON_EVERY = 103
 BAD_JSON_PREFIX = 20
+UNKNOWN_TYPE_EVERY = 107
+BAD_TIME_EVERY = 109
+LEADING_BLANK_EVERY = 5
+UNDECLARED_KEY_EVERY = 7
+MISTYPED_EVERY = 113
 
 
 def stream_records(events: DataFrame, columns: list[str]) -> DataFrame:
-    """Events as stream records (``record_id, key, value`` = base64 JSON),
-    with some deliveries damaged so the dead letter has work: every 101st
-    value is not base64, every 103rd carries cut-off JSON."""
+    """Events as stream records (``record_id, key, value`` = base64 JSON).
+
+    Some deliveries are damaged, one kind for each reason of the dead letter:
+    not base64, cut-off JSON, an unknown type, an unreadable ingestion time.
+    Others are fine but unusual: a blank before the JSON, a key that no schema
+    declares, a temperature that is text."""
     from ..operators.ingest import JSON_OPTIONS
 
     n = F.col("event_id").cast("bigint")
+
+    def every(k: int) -> Column:
+        return n % k == 0
+
     text = F.to_json(F.struct(*columns), JSON_OPTIONS)
+    text = F.when(every(UNKNOWN_TYPE_EVERY), F.regexp_replace(text, '"event_type":"[a-z]+"', '"event_type":"radar"')).otherwise(text)
+    text = F.when(every(BAD_TIME_EVERY), F.regexp_replace(text, '"ingested_at":"[^"]+"', '"ingested_at":"soon"')).otherwise(text)
+    text = F.when(every(MISTYPED_EVERY), F.regexp_replace(text, '"temperature_2m_c":[^,}]+', '"temperature_2m_c":"mild"')).otherwise(text)
+    text = F.when(every(UNDECLARED_KEY_EVERY), F.regexp_replace(text, "}$", ',"sensor":"s1"}')).otherwise(text)
+    text = F.when(every(LEADING_BLANK_EVERY), F.concat(F.lit("  "), text)).otherwise(text)
     good = F.base64(text.cast("binary"))
     value = (
-        F.when(n % BAD_BASE64_EVERY == 0, F.concat(F.lit("!"), good))
-        .when(n % BAD_JSON_EVERY == 0, F.base64(F.substring(text, 1, BAD_JSON_PREFIX).cast("binary")))
+        F.when(every(BAD_BASE64_EVERY), F.concat(F.lit("!"), good))
+        .when(every(BAD_JSON_EVERY), F.base64(F.substring(text, 1, BAD_JSON_PREFIX).cast("binary")))
         .otherwise(good)
     )
     return events.select(
@@ -139,3 +155,14 @@ def stream_records(events: DataFrame, columns: list[str]) -> DataFrame:
         value.alias("value"),
         "ingested_at",
     )
+
+
+def city_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A city list from ``region``: name, position, a zone west to east."""
+    rk = F.col("r_regionkey").cast("double")
+    return table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("city"),
+        (rk * 10.0).alias("latitude"),
+        (rk * 15.0 - 30.0).alias("longitude"),
+        F.concat(F.lit("Etc/GMT+"), F.col("r_regionkey").cast("string")).alias("timezone"),
+    )

@@ -10,16 +10,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.ingest import PAYLOAD_TIME_FORMAT
+from ..functions.timecols import parse_utc
+from ..operators.ingest import PAYLOAD_TIME_FORMAT, issue_hour
 from ..operators.silver import latest_per_key
 
 PAYLOAD_KEY = ["source", "city", "issued_at", "target_date"]
 
 
+LANDED = T.StructType(
+    [T.StructField(n, T.StringType(), True) for n in ("source", "issued_at", "ingested_at")]
+    + list(schemas.HOURLY_PAYLOAD.fields)
+)
+
+
+def write_payloads(payloads: DataFrame, path: str) -> None:
+    """Land payloads as JSON lines; NULL arrays are left out, as a provider
+    leaves out a measure it doesn't have."""
+    times = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for c in ("issued_at", "ingested_at")}
+    payloads.withColumns(times).select(*LANDED.names).write.mode("overwrite").json(path)
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.HOURLY_PAYLOAD).option("multiLine", False).json(path)
+    """Landed payload files with their declared schema; the fetch time is
+    cut to its hour, which is the issue time (P4)."""
+    rows = spark.read.schema(LANDED).json(path)
+    return rows.withColumn("issued_at", issue_hour(parse_utc("issued_at"))).withColumn(
+        "ingested_at", parse_utc("ingested_at")
+    )
 
 
 def _array(points: str, field: str):

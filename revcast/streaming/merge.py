@@ -1,97 +1,58 @@
-"""Stream → warehouse via ``foreachBatch`` (R5s, R6s).
-
-Each micro-batch is applied with the same pure functions as the batch jobs
-(U1 for forecast revisions, U2 for observations) against the stored rows
-of the target dates it touches, then those dates are replaced. Both
-functions are replay-safe, so a micro-batch that is re-run after a failure
-(at-least-once delivery into ``foreachBatch``) leaves the same tables.
+"""Stream → silver and warehouse via ``foreachBatch`` (R4s-R6s).
+
+Each micro-batch is applied with the same functions as the batch jobs against
+the stored rows of the target dates it touches (W1 for silver, U1 for
+forecast revisions, U2 for observations), and published by one manifest.
+All three are replay-safe, so a micro-batch that is run again after a failure
+leaves the same tables. An event is deduplicated against everything stored of
+its target date: none is lost for arriving late, however late.
+
+A micro-batch rewrites the dates it touches, so triggers should be wide
+enough to bring a date's events together (an hour of arrivals touches a few
+days of targets).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import warehouse as wh
+from ..plans import jobs
 from ..plans import storage as st
 
 
-def _apply_forecasts(fact_root: str):
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            dates = st.touched_dates(rows, "forecast_date")
-            if not dates:
-                return
-            history = st.read_partitions(spark, fact_root, "forecast_date", dates)
-            incoming = wh.incoming_revisions(wh.stage(rows, "forecast"))
-            st.write_partitions(
-                wh.scd2_apply(history, incoming), fact_root, "forecast_date",
-                ["forecast_timestamp", "city_key"],
-            )
-        finally:
-            rows.unpersist()
+def merge_silver(lay: jobs.Layout, kind: str) -> Callable[[DataFrame], None]:
+    return lambda rows: jobs.merge_silver(rows.sparkSession, rows, kind, lay)
+
+
+def merge_facts(lay: jobs.Layout, kind: str) -> Callable[[DataFrame], None]:
+    merge = jobs.merge_forecasts if kind == "forecast" else jobs.merge_observations
+
+    def apply(rows: DataFrame) -> None:
+        dates = st.touched_dates(rows, jobs.DATE[kind])
+        if dates:
+            merge(rows.sparkSession, lay, wh.stage(rows, kind), dates)
 
     return apply
 
 
-def _apply_observations(fact_root: str):
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+def start(stream: DataFrame, apply: Callable[[DataFrame], None], checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """``stream``: typed, valid rows of one event type with the date column."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            dates = st.touched_dates(rows, "observation_date")
-            if not dates:
-                return
-            existing = st.read_partitions(spark, fact_root, "observation_date", dates)
-            incoming = wh.incoming_observations(wh.stage(rows, "observation"))
-            st.write_partitions(
-                wh.upsert_observations(existing, incoming), fact_root, "observation_date",
-                ["observation_timestamp", "city_key"],
-            )
+            apply(rows)
         finally:
             rows.unpersist()
 
-    return apply
-
-
-def start_merge(
-    stream: DataFrame,
-    kind: str,
-    fact_root: str,
-    checkpoint: str,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """``stream``: typed silver rows of one event type (with the date
-    column). Returns the running query."""
-    fn = _apply_forecasts(fact_root) if kind == "forecast" else _apply_observations(fact_root)
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
-    return (
-        stream.writeStream.foreachBatch(fn)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def read_silver_stream(spark: SparkSession, landing: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(landing)
-
-
-def dedup_stream(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """R4s: drop redelivered copies of an event inside the stream.
-
-    State per ``event_id`` lives until the watermark on ``ingested_at``
-    passes the first sighting plus ``delay``; the delay must cover the
-    longest redelivery gap. Unlike W1 (last sighting wins) this keeps the
-    first sighting: same measures, possibly an earlier ``ingested_at``."""
-    # Watermarks need an instant (TIMESTAMP); ingested_at is UTC wall time.
-    timed = stream.withColumn("_event_time", F.col("ingested_at").cast("timestamp"))
-    return (
-        timed.withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .drop("_event_time")
-    )

@@ -50,40 +50,40 @@ def t(s: str) -> dt.datetime:
 
 def forecast(
     event_id="f1",
-    source="model_a",
-    city="Pune",
-    issued="2026-08-24 04:00",
-    target="2026-08-25 04:00",
-    temp=26.4,
-    prob=35.0,
-    wind=13.1,
-    ingested="2026-08-24 04:05:30",
-    lat=18.5204,
-    lon=73.8567,
+    source="north",
+    city="Oslo",
+    issued="2031-03-02 06:00",
+    target="2031-03-03 09:00",
+    temp=4.0,
+    prob=60.0,
+    wind=22.0,
+    ingested="2031-03-02 06:12",
+    lat=59.5,
+    lon=10.5,
 ):
     return (
         event_id, "forecast", source, city, lat, lon,
         t(issued) if issued else None, t(target) if target else None,
         temp, prob, wind, t(ingested) if ingested else None,
-    )
+    )
 
 
 def observation(
     event_id="o1",
-    source="model_a",
-    city="Pune",
-    at="2026-08-25 04:00",
-    temp=25.0,
-    precip=0.2,
-    wind=10.0,
-    ingested="2026-08-25 05:00",
-    lat=18.5204,
-    lon=73.8567,
+    source="north",
+    city="Oslo",
+    at="2031-03-03 09:00",
+    temp=2.5,
+    precip=0.0,
+    wind=18.0,
+    ingested="2031-03-03 10:20",
+    lat=59.5,
+    lon=10.5,
 ):
     return (
         event_id, "observation", source, city, lat, lon,
         t(at), temp, precip, wind, t(ingested) if ingested else None,
-    )
+    )
 
 
 def forecasts(spark, rows):

@@ -67,6 +67,7 @@ def compare(spark, name: str, sf_dir: str) -> dict:
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     out = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
+    out["plan"] = sdf._jdf.queryExecution().executedPlan().toString()
     sql = entry.oracle_sql().get(name)
     if sql is None:
         out["status"] = "rows-only"
@@ -110,7 +111,7 @@ def main(argv):
             res = {"name": name, "status": "ERROR", "error": str(exc).splitlines()[0][:300]}
         if res["status"] not in ("ok", "rows-only"):
             bad += 1
-        print(res, flush=True)
+        print({k: v for k, v in res.items() if k != "plan"}, flush=True)
     print(f"{len(names) - bad}/{len(names)} ok")
     return 1 if bad else 0
 

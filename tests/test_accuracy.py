@@ -14,12 +14,12 @@ from .helpers import forecast, forecasts, observation, observations
 @pytest.mark.parametrize(
     "issued,target,exact,boundary,bucket",
     [
-        ("2026-08-24 00:00", "2026-08-24 06:00", 6.0, 6, "00-06h"),
-        ("2026-08-24 00:30", "2026-08-24 07:00", 6.5, 7, "07-12h"),
-        ("2026-08-24 00:00", "2026-08-24 12:00", 12.0, 12, "07-12h"),
-        ("2026-08-24 00:00", "2026-08-27 00:00", 72.0, 72, "49-72h"),
-        ("2026-08-24 00:00", "2026-08-27 00:30", 72.5, 72, "72h+"),
-        ("2026-08-24 00:59", "2026-08-24 01:01", 2 / 60, 1, "00-06h"),
+        ("2029-05-24 00:00", "2029-05-24 06:00", 6.0, 6, "00-06h"),
+        ("2029-05-24 00:30", "2029-05-24 07:00", 6.5, 7, "07-12h"),
+        ("2029-05-24 00:00", "2029-05-24 12:00", 12.0, 12, "07-12h"),
+        ("2029-05-24 00:00", "2029-05-27 00:00", 72.0, 72, "49-72h"),
+        ("2029-05-24 00:00", "2029-05-27 00:30", 72.5, 72, "72h+"),
+        ("2029-05-24 00:59", "2029-05-24 01:01", 2 / 60, 1, "00-06h"),
     ],
 )
 def test_lead_hours_two_definitions(spark, issued, target, exact, boundary, bucket):  # D14
@@ -49,9 +49,9 @@ def test_name_join_has_one_city_column(spark):  # D4
     g = _gold(spark, [forecast()], [observation()])
     assert g.columns.count("city") == 1 and len(g.columns) == 18
     r = g.first()
-    assert r.temperature_error_c == pytest.approx(1.4)
-    assert r.temperature_squared_error == pytest.approx(1.96)
-    assert r.lead_time_bucket == "13-24h" and str(r.target_date) == "2026-08-25"
+    assert r.temperature_error_c == pytest.approx(1.5)
+    assert r.temperature_squared_error == pytest.approx(2.25)
+    assert r.lead_time_bucket == "25-48h" and str(r.target_date) == "2031-03-03"
 
 
 def test_two_observing_sources_score_twice_unless_filtered(spark):  # D18
@@ -62,18 +62,30 @@ def test_two_observing_sources_score_twice_unless_filtered(spark):  # D18
 
 def test_corrected_hour_scored_once(spark):  # D21
     obs = [
-        observation("o1", temp=25.0, ingested="2026-08-25 05:00"),
-        observation("o2", temp=24.0, ingested="2026-08-25 07:00"),
+        observation("o1", temp=1.0, ingested="2031-03-03 10:00"),
+        observation("o2", temp=3.0, ingested="2031-03-03 12:00"),
     ]
     rows = _gold(spark, [forecast()], obs).collect()
-    assert len(rows) == 1 and rows[0].observed_temperature_c == 24.0
+    assert len(rows) == 1 and rows[0].observed_temperature_c == 3.0
 
 
 def test_summary_measures(spark):  # A1
-    f = [forecast("a", temp=20.0), forecast("b", temp=24.0, issued="2026-08-24 22:00")]
-    g = _gold(spark, f, [observation(temp=22.0)])
+    f = [forecast("a", temp=-1.0), forecast("b", temp=7.0, issued="2031-03-03 05:00")]
+    g = _gold(spark, f, [observation(temp=2.0)])
     s = {r.lead_time_bucket: r for r in acc.summary(g).collect()}
-    assert s["13-24h"].temperature_mae_c == pytest.approx(2.0)
-    assert s["00-06h"].temperature_bias_c == pytest.approx(2.0)
+    assert s["25-48h"].temperature_mae_c == pytest.approx(3.0)
+    assert s["00-06h"].temperature_bias_c == pytest.approx(5.0)
+    from_parts = acc.summary_of_partials(acc.partials(g)).collect()
+    assert [tuple(r) for r in from_parts] == [tuple(r) for r in acc.summary(g).collect()]
     cuts = acc.grouping_sets(g).collect()
     assert {r.grouping_level for r in cuts} == {2, 3, 5, 6}
+
+
+@pytest.mark.parametrize("value", [4e-7, 1e13])
+def test_means_round_nothing_and_take_any_size(spark, value):  # A1
+    rows = spark.createDataFrame([("x", "b", value)] * 2, "city string, lead_time_bucket string, e double").select(
+        "city", "lead_time_bucket", F.col("e").alias("temperature_absolute_error_c"),
+        (F.col("e") * F.col("e")).alias("temperature_squared_error"), F.col("e").alias("temperature_error_c"),
+    )
+    r = acc.summary(rows).first()
+    assert r.temperature_mae_c == value and r.temperature_bias_c == value and r.temperature_rmse_c == pytest.approx(value)

@@ -1,152 +1,144 @@
-"""Payload explode, event split, ids, stream decoding, city config (P1-P10,
-F10, D11, D13, S5, K7) — including the reference's own test cases."""
+"""Payload explode, event split, ids, serialisation, decoding, city config
+(P1-P10, F10, D11, D13, S5, S8, K7, K8)."""
 
 import base64
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from revcast import schemas
-from revcast.functions.ids import event_id
+from revcast.functions.ids import canonical_json, event_id
 from revcast.operators import ingest
 from revcast.sources import cities
 
-FORECAST_EVENT = {
-    "event_type": "forecast",
-    "source": "model_a",
-    "city": "Pune",
-    "issued_at": "2026-08-24T04:00:00+00:00",
-    "forecast_timestamp": "2026-08-25T04:00:00+00:00",
-    "temperature_2m_c": 26.4,
-    "precipitation_probability_pct": 35.0,
-    "wind_speed_10m_kmh": 13.1,
-}
-
-
-def _ids(spark, events):
-    rows = []
-    for e in events:
-        rows.append(
-            (
-                e["event_type"], e["source"], e["city"], e["issued_at"], e["forecast_timestamp"],
-                e["temperature_2m_c"], e["precipitation_probability_pct"], e["wind_speed_10m_kmh"],
-            )
-        )
-    df = spark.createDataFrame(
-        rows,
-        "event_type string, source string, city string, issued_at string, "
-        "forecast_timestamp string, temperature_2m_c double, "
-        "precipitation_probability_pct double, wind_speed_10m_kmh double",
-    ).withColumn("issued_at", F.try_to_timestamp("issued_at").cast("timestamp_ntz")).withColumn(
-        "forecast_timestamp", F.try_to_timestamp("forecast_timestamp").cast("timestamp_ntz")
-    )
-    return [r[0] for r in df.select(event_id("forecast")).collect()]
+from .helpers import FORECAST, OBSERVATION, forecast, forecasts, observation, observations
 
+NULLABLE = dict(prob=None, wind=None)
 
-def test_forecast_event_id_is_stable(spark):  # reference: ids are stable
-    a, b = _ids(spark, [FORECAST_EVENT, dict(FORECAST_EVENT)])
-    assert a == b and len(a) == 64
 
+def ids(spark, rows, kind="forecast"):
+    frame = (forecasts if kind == "forecast" else observations)(spark, rows)
+    return [r[0] for r in frame.select(event_id(kind)).collect()]
 
-def test_forecast_id_changes_when_value_changes(spark):  # reference
-    changed = dict(FORECAST_EVENT, temperature_2m_c=27.0)
-    a, b = _ids(spark, [FORECAST_EVENT, changed])
-    assert a != b
 
+@pytest.mark.parametrize(
+    "kind,make,schema", [("forecast", forecast, FORECAST), ("observation", observation, OBSERVATION)]
+)
+def test_id_is_the_hash_of_sorted_compact_json(spark, kind, make, schema):  # P6, P7, D11
+    import hashlib
 
-def test_event_id_canonical_text_matches_sorted_compact_json(spark):  # D11
-    df = spark.createDataFrame([FORECAST_EVENT]).select(
-        F.to_timestamp("issued_at").cast("timestamp_ntz").alias("issued_at"),
-        F.to_timestamp("forecast_timestamp").cast("timestamp_ntz").alias("forecast_timestamp"),
-        *[F.col(c) for c in FORECAST_EVENT if c not in ("issued_at", "forecast_timestamp")],
-    )
-    from revcast.functions.ids import canonical_json
+    from revcast.functions.ids import IDENTITY
+
+    for row in (make(), make(temp=None), make(city='Zürich "old"')):
+        frame = spark.createDataFrame([row], schema)
+        own = dict(zip(schema.names, row))
+        event = {k: own[k].isoformat() + "+00:00" if isinstance(own[k], dt.datetime) else own[k] for k in IDENTITY[kind]}
+        text = json.dumps(event, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        assert frame.select(canonical_json(kind)).first()[0] == text
+        assert frame.select(event_id(kind)).first()[0] == hashlib.sha256(text.encode()).hexdigest()
 
-    text = df.select(canonical_json("forecast")).first()[0]
-    expected = json.dumps(FORECAST_EVENT, sort_keys=True, separators=(",", ":"))
-    assert text == expected
+
+def test_redelivery_keeps_the_id_and_a_correction_changes_it(spark):
+    first, again, moved, warmer, unknown = ids(
+        spark,
+        [forecast(), forecast("other", ingested="2031-03-09 00:00"), forecast(lat=0.0), forecast(temp=4.5), forecast(**NULLABLE)],
+    )
+    assert first == again == moved and len({first, warmer, unknown}) == 3
+    o, wet = ids(spark, [observation(), observation(precip=None)], "observation")
+    assert o != wet and o != first
 
 
-def _payload_df(spark, hourly):
-    return spark.createDataFrame(
-        [("Pune", 1.0, 2.0, hourly)], schemas.HOURLY_PAYLOAD
-    ).withColumn("issued_at", F.lit("2026-08-24T02:00").cast("timestamp_ntz")).withColumn(
-        "source", F.lit("model_a")
+def test_another_type_fails_or_gets_no_id(spark):  # P8
+    mixed = forecasts(spark, [forecast()]).withColumn("event_type", F.lit("radar")).withColumns(
+        {"observation_timestamp": F.lit(None).cast("timestamp_ntz"), "precipitation_mm": F.lit(None).cast("double")}
     )
+    assert ingest.with_event_id(mixed, strict=False).first()["event_id"] is None
+    for plan in (lambda: ingest.with_event_id(mixed).select("event_id"), lambda: mixed.select(event_id("radar"))):
+        with pytest.raises(Exception, match="no identity fields for event type radar"):
+            plan().collect()
 
 
-def test_missing_empty_and_short_arrays_give_null(spark):  # P1, P2
+def test_arrays_of_any_length_become_rows(spark):  # P1, P2
+    hours = [f"2031-03-02T0{h}:00" for h in range(4)]
     hourly = {
-        "time": ["2026-08-24T00:00", "2026-08-24T01:00", "2026-08-24T02:00"],
-        "temperature_2m": [20.0, 21.0],  # short
-        "precipitation_probability": [],  # empty
-        "precipitation": None,  # missing
-        "wind_speed_10m": [1.0, 2.0, 3.0],
+        "time": hours, "temperature_2m": [1.0], "precipitation_probability": None,
+        "precipitation": [], "wind_speed_10m": [5.0, None, 7.0, 8.0, 9.0],
+    }
+    payload = spark.createDataFrame([("Quito", -0.25, -78.5, hourly)], schemas.HOURLY_PAYLOAD).withColumn(
+        "issued_at", F.lit("2031-03-02T02:00").cast("timestamp_ntz")
+    )
+    rows = ingest.explode_hourly(payload, ["city", "issued_at"]).orderBy("pos")
+    got = [(r.pos, r.event_ts.hour, r.temperature_2m_c, r.precipitation_probability_pct, r.precipitation_mm, r.wind_speed_10m_kmh) for r in rows.collect()]
+    assert got == [(0, 0, 1.0, None, None, 5.0), (1, 1, None, None, None, None), (2, 2, None, None, None, 7.0), (3, 3, None, None, None, 8.0)]
+    split = ingest.split_events(rows.withColumn("source", F.lit("s")))  # P3: from the issue hour on a forecast
+    assert sorted((r.event_type, (r.forecast_timestamp or r.observation_timestamp).hour) for r in split.collect()) == [
+        ("forecast", 2), ("forecast", 3), ("observation", 0), ("observation", 1),
+    ]
+
+
+def test_issue_hour_is_cut(spark):  # P4
+    df = spark.createDataFrame([(dt.datetime(2031, 3, 2, 6, 59, 59, 999999),)], "at timestamp_ntz")
+    assert df.select(ingest.issue_hour("at")).first()[0] == dt.datetime(2031, 3, 2, 6)
+
+
+# --- records --------------------------------------------------------------------
+
+
+def packed(text: str) -> str:
+    return base64.b64encode(text.encode()).decode()
+
+
+def event(**change) -> str:
+    return json.dumps({"event_type": "observation", "event_id": "k9", "ingested_at": "2031-12-31T23:30:00-01:00"} | change)
+
+
+def decoded(spark, *values):
+    rows = [(str(i), "Oslo", v) for i, v in enumerate(values)]
+    return ingest.decode_records(spark.createDataFrame(rows, schemas.STREAM_RECORD))
+
+
+def test_each_failure_has_its_reason(spark):  # F10, R2s
+    bad = {
+        "bad_base64": ["*not base64*"],
+        "bad_json": [packed(t) for t in ("", "{", "[1]", "7", '"text"', event()[:-3])],
+        "unsupported_event_type": [packed(event(event_type=x)) for x in ("radar", None, 5)],
+        "bad_ingested_at": [packed(event(ingested_at=x)) for x in ("soon", None, "")],
     }
-    rows = ingest.explode_hourly(_payload_df(spark, hourly), ["city", "issued_at", "source"])
-    got = [(r.pos, r.temperature_2m_c, r.precipitation_probability_pct, r.precipitation_mm, r.wind_speed_10m_kmh)
-           for r in rows.orderBy("pos").collect()]
-    assert got == [(0, 20.0, None, None, 1.0), (1, 21.0, None, None, 2.0), (2, None, None, None, 3.0)]
-    split = ingest.split_events(rows).orderBy("event_type").collect()  # P3
-    assert [r.event_type for r in split] == ["forecast", "observation", "observation"]
-
-
-def _record(spark, rows):
-    return spark.createDataFrame(rows, schemas.STREAM_RECORD)
-
-
-def _b64(obj) -> str:
-    return base64.b64encode(json.dumps(obj).encode()).decode()
-
-
-def test_consumer_partition_path(spark):  # reference consumer test
-    event = dict(FORECAST_EVENT, event_id="abc", latitude=18.5204, longitude=73.8567,
-                 ingested_at="2026-08-24T04:05:30+00:00")
-    decoded = ingest.decode_records(_record(spark, [("1", "Pune", _b64(event))]))
-    assert ingest.dead_letter(decoded).count() == 0
-    r = ingest.bronze_rows(decoded).first()
-    assert (r.event_type, r.year, r.month, r.day, r.hour) == ("forecast", "2026", "08", "24", "04")
-
-
-def test_failed_records_go_to_dead_letter(spark):  # F10, R2s, P8
-    good = dict(FORECAST_EVENT, event_id="e", ingested_at="2026-08-24T04:05:30Z")
-    rows = [
-        ("1", "Pune", "!!not base64!!"),
-        ("2", "Pune", base64.b64encode(b'{"event_id": "x", broken').decode()),
-        ("3", "Pune", _b64(dict(good, ingested_at=None))),
-        ("4", "Pune", _b64(dict(good, event_type="radar"))),
-        ("5", "Pune", _b64(good)),
-        (None, "Pune", "@@@"),
-    ]
-    decoded = ingest.decode_records(_record(spark, rows))
-    errors = {r.record_id: r.error for r in ingest.dead_letter(decoded).collect() if r.record_id in "1234"}
-    assert errors == {"1": "bad_base64", "2": "bad_json", "3": "bad_ingested_at", "4": "unsupported_event_type"}
-    assert ingest.bronze_rows(decoded).count() == 1
-    no_id = [r for r in ingest.dead_letter(decoded).collect() if r.record_id not in "12345"]
-    assert len(no_id) == 1 and len(no_id[0].record_id) == 36  # random id when absent
-
-
-def test_partition_hour_is_utc(spark):  # D13
-    a = dict(FORECAST_EVENT, event_id="z", ingested_at="2026-08-24T04:05:30Z")
-    b = dict(FORECAST_EVENT, event_id="k", ingested_at="2026-08-24T09:35:30+05:30")
-    decoded = ingest.decode_records(_record(spark, [("1", "P", _b64(a)), ("2", "P", _b64(b))]))
-    hours = {r.event_id: (r.day, r.hour) for r in ingest.bronze_rows(decoded).collect()}
-    assert hours == {"z": ("24", "04"), "k": ("24", "04")}
-
-
-def test_serialisation_is_compact_json_keyed_by_city(spark):  # K7, K8
-    df = spark.createDataFrame([("Pune", 1)], "city string, x int")
-    r = ingest.to_records(df, ["city", "x"]).first()
-    assert r.key == "Pune" and '"city":"Pune"' in r.value and " " not in r.value
-
-
-def test_city_config_requires_all_fields(spark, tmp_path):  # S5, Q12
-    ok = tmp_path / "ok.json"
-    ok.write_text('[{"city": "Pune", "latitude": 18.5, "longitude": 73.8, "timezone": "Asia/Kolkata"}]')
-    assert cities.load_cities(spark, str(ok)).count() == 1
-    bad = tmp_path / "bad.json"
-    bad.write_text('[{"city": "Pune", "longitude": 73.8}]')
-    with pytest.raises(Exception) as err:
-        cities.load_cities(spark, str(bad)).collect()
-    assert "missing fields [latitude, timezone]" in str(err.value)
+    for reason, values in bad.items():
+        dead = ingest.dead_letter(decoded(spark, *values)).collect()
+        assert [r.error for r in dead] == [reason] * len(values), reason
+        assert [r.value for r in dead] == values
+    unnamed = spark.createDataFrame([(None, "Oslo", "*"), (None, "Oslo", "*")], schemas.STREAM_RECORD)
+    named = [r.record_id for r in ingest.dead_letter(ingest.decode_records(unnamed)).collect()]
+    assert len(set(named)) == 2 and all(len(x) == 36 for x in named)
+
+
+def test_good_records_keep_their_text_and_get_utc_partitions(spark):  # P9, P10, D13, K1
+    texts = [event(), "\n  " + event(extra={"deep": [1]}, temperature_2m_c="mild"), event(ingested_at="2032-01-01T00:30:00Z")]
+    rows = ingest.bronze_rows(decoded(spark, *map(packed, texts))).collect()
+    assert {(r.event_type, r.year, r.month, r.day, r.hour) for r in rows} == {("observation", "2032", "01", "01", "00")}
+    assert [json.loads(r.value) for r in rows] == [json.loads(t) for t in texts]
+    assert all("\n" not in r.value for r in rows)
+
+
+def test_lines_are_compact_and_keyed_by_city(spark):  # K7, K8
+    df = forecasts(spark, [forecast(city="Quito", prob=None)])
+    record = ingest.to_records(df, ["city", "precipitation_probability_pct", "issued_at"]).first()
+    assert record.key == "Quito"
+    assert record.value == '{"city":"Quito","precipitation_probability_pct":null,"issued_at":"2031-03-02T06:00:00.000000"}'
+    assert ingest.to_lines(df, ["city"]).first().value == '{"city":"Quito"}'
+
+
+def test_city_list_needs_every_field(spark, tmp_path):  # S5, Q12
+    full = {"city": "Quito", "latitude": -0.25, "longitude": -78.5, "timezone": "Etc/GMT+5"}
+    root = str(tmp_path / "cities")
+    cities.write_cities(spark.createDataFrame([tuple(full.values()), ("Oslo", 59.5, 10.5, "Etc/GMT-1")], schemas.CITY_CONFIG), root)
+    assert sorted(r.city for r in cities.load_cities(spark, root).collect()) == ["Oslo", "Quito"]
+    for left_out in (["latitude"], ["timezone", "city"]):
+        part = tmp_path / f"{left_out[0]}.json"
+        part.write_text(json.dumps([full, {k: v for k, v in full.items() if k not in left_out}]))
+        with pytest.raises(Exception) as err:
+            cities.load_cities(spark, str(part)).collect()
+        assert f"incomplete city entry, without [{', '.join(sorted(left_out))}]" in str(err.value)

@@ -1,6 +1,8 @@
 """Validation, routing and dedup."""
 
-from pyspark.sql import functions as F
+import json
+
+import pytest
 
 from revcast import schemas
 from revcast.operators import silver as sv
@@ -8,100 +10,74 @@ from revcast.operators import silver as sv
 from .helpers import forecast, forecasts, observation, observations
 
 
-def _split(spark, rows, kind="forecast"):
-    df = forecasts(spark, rows) if kind == "forecast" else observations(spark, rows)
-    good, bad = sv.split_valid(sv.normalize(df, kind), kind)
-    return good, bad
-
-
-def test_null_temperature_is_quarantined_not_dropped(spark):  # D6
-    rows = [
-        forecast("a", temp=None),
-        forecast("b", temp=70.0),
-        forecast("c", temp=70.1),
-        forecast("d", temp=-100.0),
-    ]
-    good, bad = _split(spark, rows)
-    assert sorted(r.event_id for r in good.collect()) == ["b", "d"]
-    bad_rows = {r.event_id: r.failed_rules for r in bad.collect()}
-    assert bad_rows == {"a": "temperature_in_range", "c": "temperature_in_range"}
+def routed(spark, rows, kind="forecast"):
+    frame = (forecasts if kind == "forecast" else observations)(spark, rows)
+    good, bad = sv.split_valid(sv.normalize(frame, kind), kind)
+    return sorted(r.event_id for r in good.collect()), {r.event_id: r.failed_rules for r in bad.collect()}
+
+
+@pytest.mark.parametrize(
+    "change,rule",
+    [
+        ({"temp": None}, "temperature_in_range"),  # D6: NULL fails, it doesn't vanish
+        ({"temp": 70.0001}, "temperature_in_range"),
+        ({"temp": -100.5}, "temperature_in_range"),
+        ({"prob": -0.1}, "precipitation_probability_in_range"),
+        ({"prob": 101.0}, "precipitation_probability_in_range"),
+        ({"city": None}, "city_present"),
+        ({"event_id": None}, "event_id_present"),
+        ({"target": "2031-03-02 05:59"}, "target_not_before_issue"),
+    ],
+)
+def test_one_broken_rule_is_named(spark, change, rule):  # F1, Q1-Q4, Q11
+    good, bad = routed(spark, [forecast(**change), forecast("fine")])
+    assert good == ["fine"] and list(bad.values()) == [[rule]]
+
+
+@pytest.mark.parametrize(
+    "change", [{"temp": 70.0}, {"temp": -100.0}, {"prob": None}, {"prob": 0.0}, {"prob": 100.0}, {"target": "2031-03-02 06:00"}]
+)
+def test_bounds_are_inclusive(spark, change):
+    assert routed(spark, [forecast(**change)])[0] == ["f1"]
+
+
+def test_observation_rules_and_several_at_once(spark):  # F2
+    good, bad = routed(spark, [observation("a"), observation("b", temp=None, city=None)], "observation")
+    assert good == ["a"] and bad == {"b": ["city_present", "temperature_in_range"]}
+
+
+def test_landed_text_is_parsed_trimmed_or_marked(spark, tmp_path):  # D3, P11-P13
+    def line(event_id, **change):
+        event = {
+            "event_id": event_id, "event_type": "forecast", "source": "  NORTH", "city": "Oslo ", "temperature_2m_c": -3.5,
+            "issued_at": "2031-03-02T07:00:00+01:00", "forecast_timestamp": "2031-03-02T12:00:00Z",
+            "ingested_at": "2031-03-02T06:30:00Z",
+        }
+        return json.dumps(event | change)
+
+    rows = [line("ok"), line("time", issued_at="yesterday"), line("typed", temperature_2m_c="cold"), '{"event_id": "cut']
+    (tmp_path / "day.json").write_text("\n".join(rows))
+    raw = spark.read.schema(schemas.with_corrupt(schemas.BRONZE_FORECAST)).json(str(tmp_path / "day.json"))
+    good, bad = sv.split_valid(sv.normalize(raw, "forecast"), "forecast")
+    (ok,) = good.collect()
+    assert (ok.event_id, ok.source, ok.city, ok.issued_at.hour, str(ok.forecast_date)) == ("ok", "north", "Oslo", 6, "2031-03-02")
+    reasons = {r.event_id: r.failed_rules for r in bad.collect()}
+    assert reasons["time"] == ["issued_at_parses", "target_not_before_issue"]
+    assert reasons["typed"][0] == "malformed_record" and any("malformed_record" in r for r in reasons.values())
     assert good.count() + bad.count() == len(rows)
 
 
-def test_probability_bounds(spark):  # F1, Q11
-    rows = [
-        forecast("n", prob=None),
-        forecast("z", prob=0.0),
-        forecast("h", prob=100.0),
-        forecast("x", prob=100.1),
-    ]
-    good, bad = _split(spark, rows)
-    assert sorted(r.event_id for r in good.collect()) == ["h", "n", "z"]
-    assert [r.event_id for r in bad.collect()] == ["x"]
-
-
-def test_target_not_before_issue(spark):  # F1, F8
+def test_dedup_keeps_the_last_sighting_then_the_greatest_place(spark):  # W1, D20
     rows = [
-        forecast("eq", issued="2026-08-24 04:00", target="2026-08-24 04:00"),
-        forecast("lt", issued="2026-08-24 04:00", target="2026-08-24 03:00"),
-    ]
-    good, bad = _split(spark, rows)
-    assert [r.event_id for r in good.collect()] == ["eq"]
-    assert [r.failed_rules for r in bad.collect()] == ["target_not_before_issue"]
-
-
-def test_junk_timestamp_and_malformed_json_go_to_quarantine(spark, tmp_path):  # D3
-    path = tmp_path / "bronze.json"
-    path.write_text(
-        '{"event_id":"a","event_type":"forecast","source":" Model_A ","city":" Pune ",'
-        '"issued_at":"junk","forecast_timestamp":"2026-08-25T04:00:00+00:00",'
-        '"temperature_2m_c":20.0,"ingested_at":"2026-08-24T04:05:30Z"}\n'
-        '{"event_id": "b", broken\n'
-        '{"event_id":"c","event_type":"forecast","source":"model_a","city":"Pune",'
-        '"issued_at":"2026-08-24T04:00:00+00:00","forecast_timestamp":"2026-08-25T04:00:00+00:00",'
-        '"temperature_2m_c":20.0,"ingested_at":"2026-08-24T04:05:30+00:00"}\n'
-    )
-    raw = spark.read.schema(schemas.with_corrupt(schemas.BRONZE_FORECAST)).json(str(path))
-    good, bad = sv.split_valid(sv.normalize(raw, "forecast"), "forecast")
-    assert [r.event_id for r in good.collect()] == ["c"]
-    reasons = sorted(r.failed_rules for r in bad.collect())
-    assert any(x.startswith("malformed_record") for x in reasons)
-    assert "issued_at_parses,target_not_before_issue" in reasons
-    # P11/P12 normalisation happened on the bad row too
-    a = [r for r in bad.collect() if r.event_id == "a"][0]
-    assert (a.city, a.source) == ("Pune", "model_a")
+        forecast("x", ingested="2031-03-02 09:00", lat=1.0), forecast("x", ingested="2031-03-02 08:00", lat=9.0),
+        forecast("y", lat=3.0), forecast("y", lat=4.0), forecast("y", lat=4.0), forecast("z"),
+    ]
+    once = sv.dedup(forecasts(spark, rows))
+    assert {r.event_id: r.latitude for r in once.collect()} == {"x": 1.0, "y": 4.0, "z": 59.5}
+    assert sorted(map(tuple, sv.dedup(once).collect())) == sorted(map(tuple, once.collect()))
 
 
-def test_dedup_keeps_latest_and_breaks_ties_by_coordinates(spark):  # W1, D20
-    rows = [
-        forecast("a", ingested="2026-08-24 04:05:30", temp=1.0),
-        forecast("a", ingested="2026-08-24 05:05:30", temp=1.0),
-        forecast("b", ingested="2026-08-24 04:05:30", lat=1.0),
-        forecast("b", ingested="2026-08-24 04:05:30", lat=2.0),
-    ]
-    out = {r.event_id: r for r in sv.dedup(forecasts(spark, rows)).collect()}
-    assert out["a"].ingested_at.hour == 5
-    assert out["b"].latitude == 2.0
-    # idempotent
-    again = sv.dedup(sv.dedup(forecasts(spark, rows)))
-    assert again.count() == 2
-
-
-def test_metrics_reconcile(spark):  # A8, D7
-    rows = [forecast("a"), forecast("a", ingested="2026-08-24 06:00"), forecast("b", temp=None)]
+def test_counts_add_up(spark):  # A8, D7
+    rows = [forecast("p"), forecast("p"), forecast("q"), forecast("r", temp=99.0)]
     m = sv.metrics(forecasts(spark, rows), "forecast").first()
-    assert (m.input_count, m.valid_count, m.invalid_count, m.deduplicated_count) == (3, 2, 1, 1)
-
-
-def test_observation_rules(spark):  # F2
-    rows = [observation("a"), observation("b", temp=None), observation("c", city=None)]
-    good, bad = _split(spark, rows, "observation")
-    assert [r.event_id for r in good.collect()] == ["a"]
-    assert sorted(r.failed_rules for r in bad.collect()) == ["city_present", "temperature_in_range"]
-
-
-def test_no_python_udf_in_silver_plan(spark):
-    df = sv.silver(forecasts(spark, [forecast()]), "forecast")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert df.where(F.col("event_id") == "f1").count() == 1
+    assert (m.input_count, m.valid_count, m.invalid_count, m.deduplicated_count) == (4, 3, 1, 2)

@@ -1,79 +1,143 @@
-"""Partition-scoped writes, versioned tables, quarantine (K2-K6, U7, D1,
-D5, D7, D10)."""
+"""Manifest-published tables, versioned tables, quarantine, markers (K2-K6,
+K10, U7, D1, D5, D7, D10)."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
+from revcast import schemas
 from revcast.plans import jobs
 from revcast.plans import storage as st
+from revcast.session import scratch_path
 
 from .helpers import forecast, forecasts, observation, observations
 
+DAY3, DAY4 = dt.date(2031, 3, 3), dt.date(2031, 3, 4)
+
 
-def _silver_run(spark, lay, rows, day):
-    _, dates, cached = jobs.run_silver(spark, forecasts(spark, rows), "forecast", lay, day)
+def silver(spark, lay, rows, day="d", batch="0"):
+    _, dates, cached = jobs.run_silver(spark, forecasts(spark, rows), "forecast", lay, day, batch)
     cached.unpersist()
     return dates
 
 
-def test_later_run_keeps_earlier_issues_for_the_same_target(spark):  # D1
+def test_a_later_run_keeps_earlier_issues_of_a_target(spark):  # D1
     lay = jobs.new_layout(spark, "t-d1")
-    d1 = forecast("a", issued="2026-08-24 04:00", target="2026-08-25 04:00", ingested="2026-08-24 04:05")
-    d2 = forecast("b", issued="2026-08-25 01:00", target="2026-08-25 04:00", ingested="2026-08-25 01:05")
-    other = forecast("c", issued="2026-08-24 04:00", target="2026-08-26 04:00", ingested="2026-08-24 04:05")
-    _silver_run(spark, lay, [d1, other], "2026-08-24")
-    touched = _silver_run(spark, lay, [d2], "2026-08-25")
-    assert [str(x) for x in touched] == ["2026-08-25"]
-    stored = st.read_partitions(spark, lay.silver("forecast"), "forecast_date")
-    assert sorted(r.event_id for r in stored.collect()) == ["a", "b", "c"]
+    assert silver(spark, lay, [forecast("a"), forecast("far", target="2031-03-04 00:00")]) == [DAY3, DAY4]
+    assert silver(spark, lay, [forecast("b", issued="2031-03-03 01:00")]) == [DAY3]
+    assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["a", "b", "far"]
+    assert [r.event_id for r in jobs.read_silver(spark, lay, "forecast", [DAY4]).collect()] == ["far"]
+    assert jobs.read_silver(spark, lay, "forecast", [dt.date(2040, 1, 1)]) is None
+    stg = jobs.stage_from_silver(spark, lay, "forecast", [DAY4])  # S7, D9
+    assert stg.columns == schemas.STG_FORECAST_COLUMNS and stg.count() == 1
+
+
+def test_a_one_date_read_opens_that_date_only(spark):  # R1, S3
+    lay = jobs.new_layout(spark, "t-list")
+    silver(spark, lay, [forecast(str(d), target=f"2031-04-{d:02d} 00:00") for d in range(1, 20)])
+    one = jobs.read_silver(spark, lay, "forecast", [dt.date(2031, 4, 7)])
+    assert [f.split("forecast_date=")[1][:10] for f in one.inputFiles()] == ["2031-04-07"]
+    assert len(jobs.read_silver(spark, lay, "forecast").inputFiles()) == 19
+
+
+def test_a_writer_lost_before_publishing_leaves_the_old_table(spark, monkeypatch):  # U7
+    lay = jobs.new_layout(spark, "t-crash")
+    first = [forecast("a", temp=1.0, ingested="2031-03-02 07:00")]
+    second = [forecast("b", temp=2.0, ingested="2031-03-02 08:00")]
+    none = observations(spark, [])
+    jobs.run_batch(spark, lay, forecasts(spark, first), none, "one")
+    before = sorted(map(str, jobs.read_fact_forecast(spark, lay).collect()))
+    publish = st.publish
+
+    def lost(spark_, root, *rest):
+        if root == lay.fact_forecast:
+            raise RuntimeError("driver lost")
+        publish(spark_, root, *rest)
+
+    monkeypatch.setattr(st, "publish", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        jobs.run_batch(spark, lay, forecasts(spark, second), none, "two")
+    assert sorted(map(str, jobs.read_fact_forecast(spark, lay).collect())) == before
+    monkeypatch.undo()
+    assert jobs.run_batch(spark, lay, forecasts(spark, second), none, "two") is True
+    fact = {r.source_event_id: r for r in jobs.read_fact_forecast(spark, lay).collect()}
+    assert fact["a"].effective_to == fact["b"].effective_from and fact["b"].is_current and len(fact) == 2
+    assert len(st.vacuum(spark, lay.fact_forecast)) == 2  # the lost run and the replaced one
+    assert jobs.read_fact_forecast(spark, lay).count() == 2
+
+
+def test_a_finished_batch_is_not_run_again(spark):  # K10
+    lay = jobs.new_layout(spark, "t-marker")
+    rows, none = forecasts(spark, [forecast("a")]), observations(spark, [])
+    assert jobs.run_batch(spark, lay, rows, none, "day", batch="06") is True
+    assert jobs.run_batch(spark, lay, forecasts(spark, [forecast("x")]), none, "day", batch="06") is False
+    assert jobs.run_batch(spark, lay, forecasts(spark, [forecast("y")]), none, "day", batch="07") is True
+    assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["a", "y"]
+
+
+def test_quarantine_and_counts_by_batch(spark):  # K3, K4, D7
+    lay = jobs.new_layout(spark, "t-d7")
+    silver(spark, lay, [forecast("a", temp=None), forecast("b")], "day", "1")
+    silver(spark, lay, [forecast("c", prob=400.0, city=None)], "day", "2")
+    silver(spark, lay, [forecast("a", temp=None), forecast("b")], "day", "1")  # rerun
 
+    def quarantined():
+        rows = st.read_quarantine(spark, lay.quarantine, "forecast", schemas.QUARANTINE["forecast"]).collect()
+        return sorted((r.batch, r.event_id, r.failed_rules) for r in rows)
 
-def test_quarantine_rerun_replaces_its_day(spark):  # D7
-    lay = jobs.new_layout(spark, "t-d7")
-    rows = [forecast("a", temp=None), forecast("b")]
-    _silver_run(spark, lay, rows, "2026-08-24")
-    _silver_run(spark, lay, rows, "2026-08-24")
-    q = spark.read.json(f"{lay.quarantine}/forecast")
-    assert q.count() == 1
-    m = spark.read.parquet(lay.metrics).collect()
-    assert [(r.input_count, r.valid_count, r.invalid_count) for r in m] == [(2, 1, 1)]
+    both = [("1", "a", ["temperature_in_range"]), ("2", "c", ["city_present", "precipitation_probability_in_range"])]
+    assert quarantined() == both
+    silver(spark, lay, [forecast("b")], "day", "1")  # a clean rerun leaves nothing of the old one
+    assert quarantined() == both[1:]
+    counts = st.read_metrics(spark, lay.metrics, schemas.METRICS).collect()
+    assert sorted((r.batch, r.input_count, r.invalid_count) for r in counts) == [("1", 1, 0), ("2", 1, 1)]
 
 
-def test_gold_dates_are_replaced_one_by_one(spark):  # D5, D10
+def test_gold_and_summary_follow_the_touched_dates(spark):  # D5, D10, K6
     lay = jobs.new_layout(spark, "t-d5")
-    f1 = forecast("a", target="2026-08-25 04:00")
-    f2 = forecast("b", target="2026-08-26 04:00")
-    o1 = observation("o1", at="2026-08-25 04:00")
-    o2 = observation("o2", at="2026-08-26 04:00", ingested="2026-08-26 05:00")
-    jobs.run_batch(spark, lay, forecasts(spark, [f1]), observations(spark, [o1]), "p1")
-    jobs.run_batch(spark, lay, forecasts(spark, [f2]), observations(spark, [o2]), "p2")
-    gold = st.read_partitions(spark, lay.gold, "target_date")
-    assert sorted(str(r.target_date) for r in gold.collect()) == ["2026-08-25", "2026-08-26"]
-    # a late observation for the first date re-scores that date only
-    late = observation("o3", at="2026-08-25 04:00", temp=30.0, ingested="2026-08-27 00:00")
-    jobs.run_batch(spark, lay, forecasts(spark, []), observations(spark, [late]), "p3")
-    rows = {str(r.target_date): r for r in st.read_partitions(spark, lay.gold, "target_date").collect()}
-    assert rows["2026-08-25"].observed_temperature_c == 30.0 and len(rows) == 2
-    summary = st.read_versioned(spark, lay.gold_summary)
-    assert summary.agg(F.sum("matched_forecasts")).first()[0] == 2
-    fact = st.read_partitions(spark, lay.fact_observation, "observation_date")
-    assert fact.count() == 2
-
-
-def test_versioned_table_reads_latest_committed(spark, tmp_path):  # U7
-    root = str(tmp_path / "dim")
-    assert st.read_versioned(spark, root) is None
-    st.write_versioned(spark.range(3), root)
-    st.write_versioned(spark.range(5), root)
+    o3, o4 = observation("o3", temp=0.0), observation("o4", at="2031-03-04 09:00", temp=1.0, ingested="2031-03-04 10:00")
+    jobs.run_batch(spark, lay, forecasts(spark, [forecast("a")]), observations(spark, [o3]), "p1")
+    jobs.run_batch(spark, lay, forecasts(spark, [forecast("b", target="2031-03-04 09:00")]), observations(spark, [o4]), "p2")
+    assert {str(r.target_date): r.temperature_error_c for r in jobs.read_gold(spark, lay).collect()} == {"2031-03-03": 4.0, "2031-03-04": 3.0}
+    fixed = observation("o5", temp=10.0, ingested="2031-03-05 00:00")
+    jobs.run_batch(spark, lay, forecasts(spark, []), observations(spark, [fixed]), "p3")
+    assert {str(r.target_date): r.temperature_error_c for r in jobs.read_gold(spark, lay).collect()} == {"2031-03-03": -6.0, "2031-03-04": 3.0}
+    summary = jobs.read_summary(spark, lay).collect()
+    assert sum(r.matched_forecasts for r in summary) == 2
+    assert sorted(r.temperature_mae_c for r in summary) == [3.0, 6.0]
+    assert jobs.read_fact_observation(spark, lay).count() == 2
+
+
+def test_a_date_can_become_empty(spark):
+    root = scratch_path(spark, "t-empty")
+    schema = schemas.GOLD_PARTIALS
+    row = ("Oslo", "00-06h", 1, 1.0, 1.0, 1.0)
+    rows = spark.createDataFrame([(*row, DAY3), (*row, DAY4)], schema)
+    st.write_partitions(rows, root, "target_date", schema, [DAY3, DAY4])
+    st.write_partitions(rows.limit(0), root, "target_date", schema, [DAY3])
+    assert [r.target_date for r in st.read_partitions(spark, root, "target_date", schema).collect()] == [DAY4]
+
+
+def test_readers_take_the_newest_committed_version_and_few_are_kept(spark, tmp_path):  # U7
+    root, schema = str(tmp_path / "dim"), spark.range(1).schema
+    assert st.read_versioned(spark, root, schema) is None
+    for n in range(1, 7):
+        st.write_versioned(spark.range(n), root)
     (tmp_path / "dim" / "v=00000009").mkdir()  # a run that never committed
-    assert st.read_versioned(spark, root).count() == 5
-
-
-def test_staging_reads_only_touched_dates_by_name(spark):  # S7, D9, D10
-    import datetime as dt
-
-    lay = jobs.new_layout(spark, "t-s7")
-    rows = [forecast("a", target="2026-08-25 04:00"), forecast("b", target="2026-08-26 04:00")]
-    _silver_run(spark, lay, rows, "p")
-    stg = jobs.stage_from_silver(spark, lay, "forecast", [dt.date(2026, 8, 26)])
-    assert [r.event_id for r in stg.collect()] == ["b"]
-    assert "event_type" not in stg.columns and "forecast_date" not in stg.columns
+    assert st.read_versioned(spark, root, schema).count() == 6
+    st.write_versioned(spark.range(20), root)
+    assert st.read_versioned(spark, root, schema).count() == 20
+    committed = [p.name for p in (tmp_path / "dim").iterdir() if (p / "_SUCCESS").exists()]
+    assert len(committed) <= st.KEEP_VERSIONS and "v=00000010" in committed
+
+
+def test_dimensions_get_a_new_version_only_for_new_names(spark):  # J9, U6
+    lay = jobs.new_layout(spark, "t-dims")
+    none = observations(spark, [])
+    for batch, (city, at) in enumerate([("Oslo", "2031-03-02"), ("Oslo", "2031-03-03"), ("Quito", "2031-03-04")]):
+        jobs.run_batch(spark, lay, forecasts(spark, [forecast(city, city=city)]), none, "p", f"{at} 00:00:00", str(batch))
+    assert len(st._children(spark, lay.dim_city, "v=")) == 2 and len(st._children(spark, lay.dim_source, "v=")) == 1
+    assert {r.city_name: str(r.created_at)[:10] for r in jobs.read_dim_city(spark, lay).collect()} == {"Oslo": "2031-03-02", "Quito": "2031-03-04"}
+    assert jobs.read_dim_city(spark, lay).schema.names == schemas.DIM_CITY.names
+    assert jobs.read_fact_forecast(spark, lay).where(F.col("created_at").isNull()).count() == 0

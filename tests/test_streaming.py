@@ -6,102 +6,88 @@ import json
 from pyspark.sql import functions as F
 
 from revcast import schemas
+from revcast.operators import silver as sv
 from revcast.operators import warehouse as wh
-from revcast.plans import storage as st
+from revcast.plans import jobs
 from revcast.session import scratch_path
 from revcast.streaming import bronze, merge
 
 from .helpers import forecast, forecasts
 
 
-def _b64(obj) -> str:
-    return base64.b64encode(json.dumps(obj).encode()).decode()
+def record(n: int, **change) -> tuple:
+    event = {"event_type": "forecast", "event_id": f"e{n}", "city": "Quito", "ingested_at": f"2031-03-0{n}T01:00:00Z"}
+    return (str(n), "Quito", base64.b64encode(json.dumps(event | change).encode()).decode())
 
 
-EVENT = {
-    "event_id": "e1", "event_type": "forecast", "source": "model_a", "city": "Pune",
-    "latitude": 18.5, "longitude": 73.8, "issued_at": "2026-08-24T04:00:00+00:00",
-    "forecast_timestamp": "2026-08-25T04:00:00+00:00", "temperature_2m_c": 26.4,
-    "precipitation_probability_pct": 35.0, "wind_speed_10m_kmh": 13.1,
-    "ingested_at": "2026-08-24T04:05:30+00:00",
-}
+def land(spark, root, records):
+    spark.createDataFrame(records, schemas.STREAM_RECORD).write.mode("append").json(f"{root}/landing")
+    bronze.await_end(bronze.start_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/dead", f"{root}/cp"))
 
 
-def test_bronze_restart_adds_nothing_and_bad_records_land_in_dead_letter(spark):
+def test_records_land_once_and_failed_ones_apart(spark):
     root = scratch_path(spark, "t-stream")
-    records = spark.createDataFrame(
-        [("1", "Pune", _b64(EVENT)), ("2", "Pune", "%%%"), ("3", "Pune", _b64(dict(EVENT, event_id="e2")))],
-        schemas.STREAM_RECORD,
-    )
-    records.write.json(f"{root}/landing")
-
-    def run():
-        bronze.await_all(
-            bronze.start_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/dead", f"{root}/cp")
-        )
-
-    run()
-    first = bronze.read_bronze(spark, f"{root}/bronze")
-    assert sorted(r.event_id for r in first.collect()) == ["e1", "e2"]
-    run()  # restart from the checkpoint with no new files
-    assert bronze.read_bronze(spark, f"{root}/bronze").count() == 2
+    land(spark, root, [record(1), ("2", "Quito", "??"), record(3, temperature_2m_c="mild", note="kept")])
+    land(spark, root, [record(4), record(5, event_type="tide")])
+    bronze.await_end(bronze.start_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/dead", f"{root}/cp"))
+    texts = {json.loads(r.value)["event_id"]: json.loads(r.value) for r in bronze.read_bronze_text(spark, f"{root}/bronze").collect()}
+    assert set(texts) == {"e1", "e3", "e4"} and texts["e3"]["note"] == "kept" and texts["e3"]["temperature_2m_c"] == "mild"
     dead = bronze.read_dead_letter(spark, f"{root}/dead").collect()
-    assert [(r.record_id, r.error) for r in dead] == [("2", "bad_base64")]
-    # the bronze batch reader sees the same rows by day, phantom hour dropped later
-    day = bronze.read_bronze_batch(spark, f"{root}/bronze", "forecast", "2026-08-24")
-    assert day.count() == 2 and "_corrupt_record" in day.columns
+    assert sorted((r.record_id, r.error) for r in dead) == [("2", "bad_base64"), ("5", "unsupported_event_type")]
+    typed = {r.event_id: r for r in bronze.read_bronze(spark, f"{root}/bronze").collect()}
+    assert typed["e3"]._corrupt_record is not None and typed["e3"].city == "Quito" and typed["e1"]._corrupt_record is None
+    assert [r.event_id for r in bronze.read_bronze_batch(spark, f"{root}/bronze", "forecast", "2031-03-04").collect()] == ["e4"]
+    assert bronze.read_bronze_batch(spark, f"{root}/bronze", "forecast", "2031-03-07").isEmpty()
 
 
-def test_foreach_batch_scd2_equals_batch_result_and_replays_safely(spark):
-    root = scratch_path(spark, "t-merge")
-    rows = [
-        forecast("A", temp=20.0, ingested="2026-08-24 05:00"),
-        forecast("B", temp=21.0, ingested="2026-08-24 06:00"),
-        forecast("A", temp=20.0, ingested="2026-08-24 07:00"),
-    ]
+def test_a_replayed_batch_replaces_itself(spark):  # R3s
+    root = scratch_path(spark, "t-replay")
+    rows = spark.createDataFrame([record(1), record(2), ("9", "Quito", "??")], schemas.STREAM_RECORD)
+    for stream, batch in (("a", 0), ("a", 0), ("b", 0), ("a", 1)):
+        bronze._land(f"{root}/bronze", f"{root}/dead", stream)(rows, batch)
+    assert bronze.read_bronze_text(spark, f"{root}/bronze").count() == 3 * 2
+    assert bronze.read_dead_letter(spark, f"{root}/dead").count() == 3
 
-    def typed(part):
-        return forecasts(spark, part).withColumn("forecast_date", F.to_date("forecast_timestamp"))
-
-    schema = typed(rows).schema
-    for part in ([rows[0]], rows[1:]):  # two deliveries, one stream restart
-        typed(part).write.mode("append").parquet(f"{root}/landing")
-        q = merge.start_merge(
-            merge.read_silver_stream(spark, f"{root}/landing", schema), "forecast",
-            f"{root}/fact", f"{root}/cp",
-        )
-        q.awaitTermination()
-    streamed = st.read_partitions(spark, f"{root}/fact", "forecast_date")
-    batch = wh.scd2_apply(None, wh.incoming_revisions(wh.stage(typed(rows), "forecast")))
-    cols = ["source_event_id", "effective_from", "effective_to", "is_current", "last_seen_at"]
 
-    def rows_of(df):
-        return sorted(map(tuple, df.select(cols).collect()))
+def test_one_days_read_lists_only_that_day(spark):  # S2
+    root = scratch_path(spark, "t-day")
+    land(spark, root, [record(n) for n in range(1, 9)])
+    day = bronze.read_bronze_batch(spark, f"{root}/bronze", "forecast", "2031-03-05")
+    assert len(day.inputFiles()) == 1 and len(bronze.read_bronze(spark, f"{root}/bronze").inputFiles()) == 8
+
 
-    assert rows_of(streamed) == rows_of(batch)
-    # replaying the whole input as one more batch leaves the table unchanged
-    history = st.read_partitions(spark, f"{root}/fact", "forecast_date").cache()
-    replay = wh.scd2_apply(history, wh.incoming_revisions(wh.stage(typed(rows), "forecast")))
-    assert rows_of(replay) == rows_of(batch)
+def typed(spark, rows):
+    return forecasts(spark, rows).withColumn("forecast_date", F.to_date("forecast_timestamp"))
 
 
-def test_watermark_dedup_drops_redelivered_copies(spark):  # R4s
-    root = scratch_path(spark, "t-dedup")
+def run_merge(spark, lay, deliveries, apply):
+    for rows in deliveries:
+        df = typed(spark, rows)
+        df.write.mode("append").parquet(f"{lay.root}/landing")
+        stream = merge.read_silver_stream(spark, f"{lay.root}/landing", df.schema)
+        bronze.await_end(merge.start(stream, apply, f"{lay.root}/cp"))
+
+
+def test_stream_merge_equals_batch_and_replays_safely(spark):  # R6s
     rows = [
-        forecast("a", ingested="2026-08-24 05:00"),
-        forecast("b", ingested="2026-08-24 05:10"),
-        forecast("a", ingested="2026-08-24 06:00"),  # redelivered an hour later
+        forecast("u", temp=1.0, ingested="2031-03-02 07:00"),
+        forecast("v", temp=2.0, ingested="2031-03-03 07:00"),
+        forecast("u", temp=1.0, ingested="2031-03-04 07:00"),
+        forecast("w", temp=3.0, city="Quito"),
     ]
-    df = forecasts(spark, rows)
-    for part in ([rows[0], rows[1]], [rows[2]]):  # copy arrives in a later batch
-        forecasts(spark, part).write.mode("append").parquet(f"{root}/landing")
-        q = (
-            merge.dedup_stream(merge.read_silver_stream(spark, f"{root}/landing", df.schema))
-            .writeStream.format("parquet")
-            .option("checkpointLocation", f"{root}/cp")
-            .trigger(availableNow=True)
-            .start(f"{root}/out")
-        )
-        q.awaitTermination()
-    out = spark.read.schema(df.schema).parquet(f"{root}/out").collect()
-    assert sorted((r.event_id, r.ingested_at.hour) for r in out) == [("a", 5), ("b", 5)]
+    cols = ["source_event_id", "effective_from", "effective_to", "is_current", "last_seen_at"]
+    want = wh.scd2_apply(None, wh.incoming_revisions(wh.stage(typed(spark, rows), "forecast")))
+    want = sorted(map(str, want.select(cols).collect()))
+    lay = jobs.new_layout(spark, "t-merge")
+    run_merge(spark, lay, [rows[:1], rows[1:], rows], merge.merge_facts(lay, "forecast"))
+    assert sorted(map(str, jobs.read_fact_forecast(spark, lay).select(cols).collect())) == want and len(want) == 4
+
+
+def test_no_event_is_lost_for_arriving_late(spark):  # R4s
+    newest = [forecast("m", ingested="2031-03-02 20:00"), forecast("n", ingested="2031-03-02 20:30")]
+    older = [forecast("m", ingested="2031-03-02 05:00"), forecast("p", ingested="2031-03-01 05:00")]
+    lay = jobs.new_layout(spark, "t-late")
+    run_merge(spark, lay, [newest, older, newest], merge.merge_silver(lay, "forecast"))
+    got = sorted(map(tuple, jobs.read_silver(spark, lay, "forecast").collect()))
+    assert got == sorted(map(tuple, sv.dedup(typed(spark, newest + older)).collect()))
+    assert [(r[0], r[11].hour) for r in got] == [("m", 20), ("n", 20), ("p", 5)]

@@ -1,164 +1,165 @@
-"""SCD2 revisions, observation upsert, dimensions (U1-U5, D12, D16, D17,
-D17b, D19, D20)."""
+"""SCD2 revisions, observation upsert, dimensions, gates (U1-U6, D12, D16,
+D17, D17b, D19, D20, Q7, Q10)."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from revcast.functions.ids import revision_key, surrogate_key
+from revcast.operators import quality as dq
 from revcast.operators import warehouse as wh
 
-from .helpers import forecast, forecasts, observation, observations
+from .helpers import forecast, forecasts, observation, observations, t
 
-COLS = ["temperature_2m_c", "effective_from", "effective_to", "is_current", "last_seen_at"]
+COLS = ["source_event_id", "effective_from", "effective_to", "is_current", "last_seen_at"]
 
 
-def _incoming(spark, rows):
+def revisions(spark, rows):
     return wh.incoming_revisions(wh.stage(forecasts(spark, rows), "forecast"))
 
 
-def _chain(df):
-    return [tuple(r) for r in df.orderBy("effective_from").select(*COLS).collect()]
-
-
-def _apply_in_batches(spark, batches):
-    history = None
-    for rows in batches:
-        history = wh.scd2_apply(history, _incoming(spark, rows))
-        history = history.cache()
-        history.count()
-    return history
-
-
-A1 = forecast("A", temp=20.0, ingested="2026-08-24 05:00")
-B2 = forecast("B", temp=21.0, ingested="2026-08-24 06:00")
-A3 = forecast("A", temp=20.0, ingested="2026-08-24 07:00")
-
-
-def test_batch_with_two_values_on_current_row(spark):  # D17
-    first = _apply_in_batches(spark, [[A1]])
-    both = wh.scd2_apply(first, _incoming(spark, [B2, A3]))
-    chain = _chain(both)
-    assert [r[3] for r in chain] == [False, False, True]
-    assert both.where("is_current").count() == 1
-    # replay of the same batch changes nothing
-    again = wh.scd2_apply(both.cache(), _incoming(spark, [B2, A3]))
-    assert _chain(again) == chain
-
-
-@pytest.mark.parametrize("cut", [0, 1, 2, 3])
-def test_every_time_ordered_split_gives_the_same_table(spark, cut):  # D17, D20
-    rows = [A1, B2, A3]
-    whole = _chain(wh.scd2_apply(None, _incoming(spark, rows)))
-    batches = [b for b in (rows[:cut], rows[cut:]) if b]
-    assert _chain(_apply_in_batches(spark, batches)) == whole
-    assert len(whole) == 3 and whole[-1][3] is True
-
-
-def test_late_row_between_two_sightings(spark):  # §7.4 last_seen_at
-    stored = _apply_in_batches(spark, [[A1, A3]])
-    assert _chain(stored)[0][4].hour == 7  # last_seen_at kept the repeat
-    late = wh.scd2_apply(stored, _incoming(spark, [B2]))
-    chain = _chain(late)
-    assert [r[0] for r in chain] == [20.0, 21.0, 20.0]
-    assert chain[-1][3] is True and chain[-1][0] == 20.0
-
-
-def test_equal_time_tie_keeps_greatest_event_id(spark):  # D17
-    x = forecast("x1", temp=1.0, ingested="2026-08-24 05:00")
-    y = forecast("y1", temp=2.0, ingested="2026-08-24 05:00")
-    out = wh.scd2_apply(None, _incoming(spark, [x, y])).collect()
-    assert len(out) == 1 and out[0].source_event_id == "y1" and out[0].is_current
-
-
-def test_intervals_never_empty(spark):  # Q8
-    rows = [forecast(str(i), temp=float(i % 3), ingested=f"2026-08-24 0{i}:00") for i in range(1, 9)]
-    fact = wh.scd2_apply(None, _incoming(spark, rows))
-    assert fact.where("effective_to IS NOT NULL AND effective_to <= effective_from").count() == 0
-    assert fact.where("is_current").count() == 1
-
-
-def test_any_arrival_order_keeps_the_right_current_row(spark):
-    rows = [A1, B2, A3, forecast("C", temp=22.0, ingested="2026-08-24 08:00")]
-    whole = wh.scd2_apply(None, _incoming(spark, rows)).where("is_current").first()
-    for perm in itertools.islice(itertools.permutations(rows), 0, 24, 5):
-        stored = _apply_in_batches(spark, [[r] for r in perm])
-        cur = stored.where("is_current").collect()
-        assert len(cur) == 1 and cur[0].source_event_id == whole.source_event_id
-
-
-def test_upsert_latest_reading_wins(spark):  # U2, D17b
-    old = observation("o1", temp=20.0, ingested="2026-08-25 05:00")
-    newer = observation("o2", temp=21.0, ingested="2026-08-25 06:00")
-    stale = observation("o0", temp=19.0, ingested="2026-08-25 04:00")
-    inc = lambda rows: wh.incoming_observations(wh.stage(observations(spark, rows), "observation"))
-    stored = wh.upsert_observations(None, inc([old])).cache()
-    assert stored.count() == 1
-    up = wh.upsert_observations(stored, inc([newer])).collect()
-    assert [(r.temperature_2m_c, r.source_event_id) for r in up] == [(21.0, "o2")]
-    kept = wh.upsert_observations(stored, inc([stale])).collect()
-    assert [r.temperature_2m_c for r in kept] == [20.0]
-
-
-def test_dim_city_one_row_per_name_insert_only(spark):  # D19, U3
-    a = forecast("a", city="Pune", lat=1.0, ingested="2026-08-24 05:00")
-    b = forecast("b", city="Pune", lat=2.0, ingested="2026-08-24 04:00")
-    stg = wh.stage(forecasts(spark, [a, b]), "forecast")
-    first = wh.upsert_dim_city(None, stg)
-    dim = first.collect()
-    assert len(dim) == 1 and float(dim[0].latitude) == 2.0
-    later = wh.stage(forecasts(spark, [forecast("c", city="Pune", lat=9.0, ingested="2026-08-23 00:00")]), "forecast")
-    dim2 = wh.upsert_dim_city(spark.createDataFrame(dim, first.schema), later).collect()
-    assert len(dim2) == 1 and float(dim2[0].latitude) == 2.0
-
-
-def test_surrogate_key_matches_duckdb(spark):  # D12
-    import duckdb
-
-    from revcast.functions.ids import surrogate_key
-    from revcast.plans.oracle import SK
-
-    spark_key = spark.createDataFrame([("Pune",)], "name string").select(surrogate_key("name")).first()[0]
-    duck_key = duckdb.connect().execute(f"SELECT {SK(chr(39) + 'Pune' + chr(39))}").fetchone()[0]
-    assert spark_key == duck_key and 0 < spark_key < 2**60
-
-
-def test_dim_time_attributes(spark):  # P27, D16
-    df = spark.createDataFrame([(A1[6],), (A1[7],)], "t timestamp_ntz")
-    dim = wh.dim_time(spark, df).orderBy("full_timestamp").collect()
-    assert len(dim) == 25
-    first = dim[0]
-    assert first.time_key == 2026082404 and first.day_of_week == 1  # Monday
-
-
-def test_hot_key_chunks_give_the_same_chain(spark):  # skew: one key, many revisions
-    rows = [
-        forecast(f"e{i:03d}", temp=float((i * 7) % 3), ingested=f"2026-08-24 {i // 60:02d}:{i % 60:02d}")
-        for i in range(0, 600)
-    ]
-    rows += [forecast("e000", temp=0.0, ingested="2026-08-24 00:00")]  # exact copy
-    rows += [forecast("zzz", temp=5.0, ingested="2026-08-24 03:00")]  # equal-time tie
-    inc = _incoming(spark, rows)
-    simple = wh.scd2_apply(None, inc, hot_key_rows=None)
-    chunked = wh.scd2_apply(None, inc, hot_key_rows=40)  # ~15 time chunks
-    cols = ["source_event_id", "effective_from", "effective_to", "is_current", "last_seen_at", "record_hash"]
-    a = sorted(map(tuple, simple.select(cols).collect()))
-    b = sorted(map(tuple, chunked.select(cols).collect()))
-    assert a == b and sum(1 for r in a if r[3]) == 1
-    # and incrementally, with the stored chain fed back as history
-    first = _incoming(spark, rows[:300])
-    second = _incoming(spark, rows[300:])
-    stored = wh.scd2_apply(None, first, hot_key_rows=40).cache()
-    again = wh.scd2_apply(stored, second, hot_key_rows=40)
-    assert sorted(map(tuple, again.select(cols).collect())) == a
-
-
-def test_gate_fails_the_run_on_violations(spark):  # Q7, Q10
-    from revcast.operators import quality as dq
-
-    rows = [forecast("a", temp=1.0), forecast("b", temp=2.0)]
-    appended = _incoming(spark, rows).withColumn("is_current", F.lit(True))
-    assert dq.gate(dq.duplicate_current(wh.scd2_apply(None, _incoming(spark, rows))), "ok") == 0
-    with pytest.raises(Exception) as err:
-        dq.gate(dq.duplicate_current(appended), "one_current_row_per_key")
-    assert "quality gate one_current_row_per_key failed: 1 rows" in str(err.value)
+def chain(df):
+    return sorted(tuple(map(str, r)) for r in df.select("city_key", *COLS, "record_hash").collect())
+
+
+def by_rule(rows):
+    """The chain spelled out: (city, id, from, to, last seen) of each revision."""
+    out = []
+    for city in {r[3] for r in rows}:
+        seen = {}
+        for r in rows:
+            if r[3] == city:
+                seen[r[11]] = max(seen.get(r[11], r), r, key=lambda x: x[0])
+        runs = []
+        for at in sorted(seen):
+            value = seen[at][8:11]
+            if runs and runs[-1][1] == value:
+                runs[-1][3] = at
+            else:
+                runs.append([seen[at][0], value, at, at])
+        for i, (event, _, start, last) in enumerate(runs):
+            out.append((city, event, start, runs[i + 1][2] if i + 1 < len(runs) else None, last))
+    return sorted(out, key=str)
+
+
+def built(spark, df):
+    keys = {r[1]: r[0] for r in spark.createDataFrame([("Oslo",), ("Quito",)], "c string").select("c", surrogate_key("c")).collect()}
+    return sorted(
+        ((keys[r.city_key], r.source_event_id, r.effective_from, r.effective_to, r.last_seen_at) for r in df.collect()), key=str
+    )
+
+
+def sightings(seed, n, hours):
+    """Few values, over many days, with ties, gaps and exact copies."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        h = rng.randrange(hours)
+        rows.append(
+            forecast(f"e{i:04d}", city=rng.choice(["Oslo", "Oslo", "Quito"]), temp=float(rng.randrange(3)),
+                     ingested=f"2031-03-{1 + h // 24:02d} {h % 24:02d}:00")
+        )
+    return rows + rng.sample(rows, n // 10)
+
+
+@pytest.mark.parametrize("seed,n,hours", [(1, 40, 24), (2, 300, 24 * 25), (3, 300, 24 * 6), (4, 12, 24 * 28), (5, 200, 30)])
+def test_chain_follows_the_rule_across_slices(spark, seed, n, hours):  # D17, F6
+    rows = sightings(seed, n, hours)
+    fact = wh.scd2_apply(None, revisions(spark, rows))
+    assert built(spark, fact) == by_rule(rows)
+    assert dq.gate(dq.duplicate_current(fact), "current") == 0 and dq.gate(dq.invalid_intervals(fact), "intervals") == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_time_ordered_batches_and_replays_give_the_same_chain(spark, seed):  # D17, D20
+    rows = sorted(sightings(seed, 60, 24 * 9), key=lambda r: r[11])
+    cut = random.Random(seed).randrange(len(rows))
+    while 0 < cut < len(rows) and rows[cut][11] == rows[cut - 1][11]:
+        cut += 1
+    whole = chain(wh.scd2_apply(None, revisions(spark, rows)))
+    stored = wh.scd2_apply(None, revisions(spark, rows[:cut])).cache()
+    both = wh.scd2_apply(stored, revisions(spark, rows[cut:])).cache()
+    assert chain(both) == whole
+    assert chain(wh.scd2_apply(both, revisions(spark, rows[cut:]))) == whole
+
+
+U = forecast("u", temp=1.0, ingested="2031-03-01 07:00")
+V = forecast("v", temp=2.0, ingested="2031-03-02 07:00")
+W = forecast("w", temp=1.0, ingested="2031-03-05 07:00")
+X = forecast("x", temp=9.0, ingested="2031-03-05 09:00")
+
+
+def test_late_row_between_two_sightings_of_one_value(spark):  # §7.4 last_seen_at
+    stored = wh.scd2_apply(None, revisions(spark, [U, W])).cache()
+    assert [r.last_seen_at for r in stored.collect()] == [W[11]]
+    late = wh.scd2_apply(stored, revisions(spark, [V])).orderBy("effective_from").collect()
+    assert [r.temperature_2m_c for r in late] == [1.0, 2.0, 1.0]
+    assert [r.effective_to for r in late] == [V[11], W[11], None]
+
+
+def test_any_arrival_order_ends_in_the_same_current_row(spark):
+    for order in itertools.islice(itertools.permutations([U, V, W, X]), 1, 24, 6):
+        stored = None
+        for row in order:
+            stored = wh.scd2_apply(stored, revisions(spark, [row])).cache()
+        assert [r.source_event_id for r in stored.where("is_current").collect()] == ["x"]
+
+
+def test_building_the_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "none expected")
+    wh.scd2_apply(wh.scd2_apply(None, revisions(spark, [U])), revisions(spark, [V, W]))
+    assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_newest_reading_survives(spark):  # U2, D17b
+    def incoming(*rows):
+        return wh.incoming_observations(wh.stage(observations(spark, list(rows)), "observation"), "2031-04-01 00:00:00")
+
+    stored = wh.upsert_observations(None, incoming(observation("b", temp=5.0, ingested="2031-03-03 12:00"))).cache()
+    newer = observation("a", temp=6.0, ingested="2031-03-03 13:00")
+    older = observation("z", temp=7.0, ingested="2031-03-03 11:00")
+    tie = observation("c", temp=8.0, ingested="2031-03-03 12:00")
+    for row, want in ((newer, ("a", 6.0)), (older, ("b", 5.0)), (tie, ("c", 8.0))):
+        (r,) = wh.upsert_observations(stored, incoming(row)).collect()
+        assert (r.source_event_id, r.temperature_2m_c) == want and str(r.observation_date) == "2031-03-03"
+    assert wh.upsert_observations(stored, incoming(observation(at="2031-03-03 11:00"))).count() == 2
+
+
+def test_city_keeps_its_first_position(spark):  # D19, U3
+    rows = [forecast(lat=3.0, ingested="2031-03-02 08:00"), forecast(lat=2.0, ingested="2031-03-02 07:00"), forecast(lat=1.0, ingested="2031-03-02 07:00")]
+    first = wh.upsert_dim_city(None, wh.stage(forecasts(spark, rows), "forecast"))
+    assert [(r.city_name, float(r.latitude)) for r in first.collect()] == [("Oslo", 1.0)]
+    later = [forecast(lat=0.0, ingested="2030-01-01 00:00"), forecast(city="Quito", lat=-0.25), forecast(city=None)]
+    dim = wh.upsert_dim_city(first, wh.stage(forecasts(spark, later), "forecast")).collect()
+    assert {r.city_name: float(r.latitude) for r in dim} == {"Oslo": 1.0, "Quito": -0.25}
+
+
+def test_keys_are_hashes_of_the_name_and_of_the_whole_revision(spark):  # D12, U5
+    import hashlib
+
+    name = spark.createDataFrame([("Zürich",)], "n string").select(surrogate_key("n")).first()[0]
+    assert name == int(hashlib.sha256("Zürich".encode()).hexdigest()[:15], 16) < 2**60
+    fact = wh.scd2_apply(None, revisions(spark, [U, V]))
+    keys = [r[0] for r in fact.select("forecast_revision_key").collect()]
+    assert all(len(k) == 64 for k in keys) and len(set(keys)) == 2
+    assert sorted(r[0] for r in fact.select(revision_key()).collect()) == sorted(keys)
+
+
+def test_calendar(spark):  # P27, D16
+    df = spark.createDataFrame([(t("2031-02-28 22:30"),), (t("2031-03-01 01:10"),)], "t timestamp_ntz")
+    hours = wh.dim_time(spark, df).orderBy("full_timestamp").collect()
+    assert [h.time_key for h in hours] == [2031022822, 2031022823, 2031030100, 2031030101]
+    assert [h.day_of_week for h in hours] == [5, 5, 6, 6]  # Friday, Saturday
+    assert wh.dim_time(spark, df.limit(0)).count() == 0
+
+
+def test_gate_stops_the_run_and_the_report_names_it(spark):  # Q7, Q10
+    appended = revisions(spark, [U, V]).withColumn("is_current", F.lit(True))
+    with pytest.raises(Exception, match="quality gate one_current failed: 1 rows"):
+        dq.gate(dq.duplicate_current(appended), "one_current")
+    report = dq.gate_report({"bad": dq.duplicate_current(appended), "good": dq.duplicate_current(appended.limit(1))})
+    assert sorted(map(tuple, report.collect())) == [("bad", 1, False), ("good", 0, True)]
