@@ -299,7 +299,10 @@ def learn(
     known = known.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).dropna()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(FIT_PART))
-    counted = rows.filter(part != 0).join(known.filter(part != 0), "doc_id").select("text", "toxic")
+    # few long counting tasks: a gram is passed on once for each (memory is
+    # bounded by HELD, however long a task is)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    counted = rows.filter(part != 0).join(known.filter(part != 0), "doc_id").select("text", "toxic").coalesce(tasks)
     counts = written(count(counted), "toxicity-counts")
     totals = counts.agg(F.sum("toxic"), F.sum("plain")).first()
     if not totals[0] or not totals[1]:
