@@ -50,8 +50,7 @@ from pyspark.sql import functions as F
 from .common import U64, Words, _powers, blocks, mix, prepare, seeds, texts, window_hashes, written
 
 WINDOW = 50
-#: Rounds of recompression; the levels that may represent a window.
-ROUNDS = 5
+#: Levels, one for each round of recompression, that may represent a window.
 LEVELS = (5, 4, 3, 2)
 #: Words handled at once; longer texts are taken in overlapping slices.
 SLICE = 1 << 18
@@ -297,8 +296,11 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
         .filter(F.col("lo") < F.col("hi"))
         .select("context", "lo", (F.col("s1") != F.col("s2")).alias("differ"))
     )
+    # both written, so that joins on a context that a third of all documents
+    # share have plain exchanges on both sides, which can be split
+    repeated = written(repeated, "substrings-repeated")
     shared = written(anchor.join(repeated, "context"), "substrings-shared")
-    holder = shared.groupBy("context", "span").agg(F.min("doc_id").alias("holder"))
+    holder = written(shared.groupBy("context", "span").agg(F.min("doc_id").alias("holder")), "substrings-holders")
     spans = (
         shared.join(holder, ["context", "span"])
         .filter((F.col("doc_id") > F.col("holder")) | F.col("differ"))
