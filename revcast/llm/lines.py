@@ -70,14 +70,21 @@ def _parts(words: Column) -> Column:
 
 def _left_out(words: Column) -> Column:
     """Every deletion variant with the place of the word left out, and the
-    whole line (place -1)."""
+    whole line (place -1), over the hashes of the words."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
 
-    def variant(i: Column) -> Column:
-        rest = F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words)))
-        return F.struct(i.alias("place"), *_two(rest))
+    def rest(h: Column, i: Column) -> Column:
+        return F.struct(i.alias("place"), F.concat(F.slice(h, F.lit(1), i), F.slice(h, i + 2, F.size(h))).alias("rest"))
 
-    whole = F.struct(F.lit(-1).alias("place"), *_two(words))
-    return F.concat(F.array(whole), F.transform(F.sequence(F.lit(0), F.size(words) - 1), variant))
+    def keyed(v: Column) -> Column:
+        return F.struct(v["place"].alias("place"), *_two(v["rest"]))
+
+    def variants(h: Column) -> Column:
+        whole = F.struct(F.lit(-1).alias("place"), h.alias("rest"))
+        return F.concat(F.array(whole), F.transform(F.sequence(F.lit(0), F.size(h) - 1), lambda i: rest(h, i)))
+
+    # a one-element array names the hashes, so that they're made once
+    return F.transform(F.flatten(F.transform(F.array(hashes), variants)), keyed)
 
 
 def found_lines(documents: DataFrame) -> DataFrame:
@@ -126,14 +133,14 @@ def near_lines(documents: DataFrame, parts: DataFrame, first: DataFrame) -> Data
         .dropDuplicates(["h1", "h2"]),
         "lines-candidates",
     )
-    me = F.struct(*place)
+    # a line is known by its first hash here and ordered by its place; the
+    # words decide in the end
+    order = ["doc_id", "pos", "l1"]
     key = written(
-        line.select("h1", "h2", *place, F.explode(_left_out(F.col("w"))).alias("v")).select(
-            *place, F.col("h1").alias("l1"), F.col("h2").alias("l2"), "v.*"
-        ),
+        line.select(F.col("h1").alias("l1"), "doc_id", "pos", F.explode(_left_out(F.col("w"))).alias("v")).select(*order, "v.*"),
         "lines-variants",
     )
-    earliest = F.min(F.struct(*place, "l1", "l2"))
+    me, earliest = F.struct(*order), F.min(F.struct(*order))
     replaced = key.filter("place >= 0").groupBy("h1", "h2", "place").agg(earliest.alias("by"), F.count("*").alias("n")).filter("n > 1")
     met = key.join(replaced.select("h1", "h2", "place", "by"), ["h1", "h2", "place"])
     whole = key.filter("place < 0").groupBy("h1", "h2").agg(earliest.alias("by"))
@@ -142,18 +149,16 @@ def near_lines(documents: DataFrame, parts: DataFrame, first: DataFrame) -> Data
     met_longer = key.filter("place < 0").join(longer, ["h1", "h2"])
     pair = None
     for m in (met, met_whole, met_longer):
-        m = m.filter(F.struct(*(F.col(f"by.{c}") for c in place)) < me).select(
-            "l1", "l2", F.col("by.l1").alias("e1"), F.col("by.l2").alias("e2")
-        )
+        m = m.filter(F.col("by") < me).select("l1", F.col("by.l1").alias("e1"))
         pair = m if pair is None else pair.unionByName(m)
     words = line.select("h1", "h2", "w")
     checked = (
         pair.distinct()
-        .join(words.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("w").alias("a")), ["l1", "l2"])
-        .join(words.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("w").alias("b")), ["e1", "e2"])
+        .join(words.select(F.col("h1").alias("l1"), "h2", F.col("w").alias("a")), "l1")
+        .join(words.select(F.col("h1").alias("e1"), F.col("w").alias("b")), "e1")
         .filter(within_one(F.col("a"), F.col("b")))
     )
-    return checked.select(F.col("l1").alias("h1"), F.col("l2").alias("h2")).distinct()
+    return checked.select(F.col("l1").alias("h1"), "h2").distinct()
 
 
 #: Bits of the filter of rows (1 MB in all).
