@@ -23,14 +23,18 @@ rows with null or repeated ids are judged one by one; learning rows without
 text or label are left out; other columns are ignored.
 
 Scale: counts, continuation counts and probabilities are Spark aggregates
-over all learning documents. Scoring needs a bounded model: ``2 ** BITS``
-places for grams and as many for contexts (6 bytes each, 48 MB in all); where
-two grams claim a place, the one with more weight (count times evidence) has
-it. The curve is fitted on at most ``FIT_ROWS`` documents, taken by hash.
+over all learning documents, and every gram and context keeps its evidence
+in a written table. A model of up to ``HELD_MODEL`` grams and contexts (16
+bytes each, 64 MB) is held by every scoring task; a larger one is joined: the
+grams of each distinct word of the texts scored meet the tables, words add
+them up, and texts add up their words. Both ways give the same evidence. The
+curve is fitted on at most ``FIT_ROWS`` documents, taken by hash.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,14 +43,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, mix, prepare, texts, written
+from .common import ALNUM, U64, blocks, prepare, texts, written
 from .grams import Grams
 
 ORDER = 6
 #: Absolute discount.
 DISCOUNT = 0.75
-#: Places of the model's tables.
-BITS = 22
+#: Grams and contexts of a model that scoring tasks hold; more are joined.
+HELD_MODEL = 1 << 22
 #: Evidence of one word counts up to this much, and is strong from STRONG.
 MOST = 8.0
 STRONG = 2.5
@@ -181,68 +185,63 @@ def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seen, other
 
 
+#: Sorted codes and their evidence.
+Table = tuple[np.ndarray, np.ndarray]
+
+
 @dataclass
 class Model:
-    """Tables of evidence by place, with a check of the gram; the curve."""
+    """(gram, evidence) of grams seen and of contexts; both as sorted arrays,
+    if they are few enough; the curve."""
 
-    seen: tuple[np.ndarray, np.ndarray]
-    other: tuple[np.ndarray, np.ndarray]
+    seen: DataFrame
+    other: DataFrame
+    held: tuple[Table, Table] | None
     curve: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
-    def of(self, grams: Grams) -> np.ndarray:
-        """Evidence of every word."""
-        value = _look(self.other, (grams.code >> U64(8)) * U64(8) + grams.order.astype(U64))[0]
-        own, known = _look(self.seen, grams.code)
-        return np.clip(grams.sums(np.where(known, own, value).astype(np.float64)), -MOST, MOST)
+    def score(self, n, mean, strong) -> F.Column:
+        z = F.lit(float(self.curve[2][0]))
+        for x, m, s, w in zip(curve_columns(n, mean, strong), *(c.tolist() for c in self.curve[:2]), self.curve[2][1:].tolist()):
+            z = z + (x - F.lit(m)) / F.lit(s) * F.lit(w)
+        return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        mean, scale, weight = self.curve
-        x = (features - mean) / scale
-        return 1 / (1 + np.exp(-np.clip(x @ weight[1:] + weight[0], -30, 30)))
 
+def model_of(counts: DataFrame) -> Model:
+    seen, other = evidence(counts)
+    seen = written(seen.select("gram", "evidence"), "toxicity-seen")
+    other = written(other.select("gram", "evidence"), "toxicity-contexts")
+    few = seen.count() + other.count() <= HELD_MODEL
+    return Model(seen, other, (_sorted(seen), _sorted(other)) if few else None)
 
-def _look(tables: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    check, value = tables
-    h = mix(code)
-    at = (h >> U64(64 - BITS)).astype(np.int64)
-    known = check[at] == (h & U64(0xFFFF)).astype(np.uint16)
-    return np.where(known, value[at], np.float32(0)), known
 
+def _sorted(rows: DataFrame) -> Table:
+    found = rows.toArrow()
+    code, value = found["gram"].to_numpy().view(U64), found["evidence"].to_numpy()
+    order = np.argsort(code)
+    return code[order], value[order]
 
-def _table(rows: DataFrame, contexts: bool) -> tuple[np.ndarray, np.ndarray]:
-    """At most one row for each place passes the driver."""
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            code = batch.column(0).to_numpy().view(U64)
-            if contexts:
-                code = code * U64(8) + batch.column(3).to_numpy().astype(U64)
-            h = mix(code)
-            value = batch.column(1).to_numpy()
-            weight = np.abs(value) * batch.column(2).to_numpy()
-            cols = [(h >> U64(64 - BITS)).astype(np.int32), (h & U64(0xFFFF)).astype(np.int32), value.astype(np.float32), weight]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["place", "check", "value", "weight"])
-
-    best = (
-        rows.mapInArrow(place, "place int, check int, value float, weight double")
-        .groupBy("place")
-        .agg(F.max(F.struct("weight", "check", "value")).alias("best"))
-        .select("place", "best.check", "best.value")
-    )
-    found = best.toArrow()
-    # a check of a place nobody has matches one gram in 65,536: its value is 0
-    check, value = np.zeros(1 << BITS, np.uint16), np.zeros(1 << BITS, np.float32)
-    at = found["place"].to_numpy()
-    check[at], value[at] = found["check"].to_numpy(), found["value"].to_numpy()
-    return check, value
+def _look(table: Table, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, value = table
+    at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+    known = keys[at] == code
+    return np.where(known, value[at], 0.0), known
+
 
+def of(held: tuple[Table, Table], grams: Grams) -> np.ndarray:
+    """Evidence of every word."""
+    code, at = np.unique(grams.code, return_inverse=True)
+    own, known = _look(held[0], code)
+    value = np.where(known, own, _look(held[1], code >> U64(8))[0])
+    return np.clip(grams.sums(value[at]), -MOST, MOST)
 
-def features(model: Model, items: list[bytes | None]) -> np.ndarray:
+
+def features(held: tuple[Table, Table], items: list[bytes | None]) -> np.ndarray:
     """(words, mean evidence, mean strong evidence) of each text."""
     grams = Grams(items, ORDER)
     out = np.zeros((len(items), 3))
     if len(grams.code):
-        word = model.of(grams)
+        word = of(held, grams)
         total = np.concatenate(([0.0], np.cumsum(word)))
         strong = np.concatenate(([0.0], np.cumsum(np.where(word > STRONG, word, 0))))
         n = np.diff(grams.words)
@@ -274,18 +273,91 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return mean, scale, w
 
 
-def _map_features(rows: DataFrame, model: Model, schema: str, finish) -> DataFrame:
-    shared_model = rows.sparkSession.sparkContext.broadcast(model)
+def curve_columns(n, mean, strong) -> list[F.Column]:
+    """``curve_of`` over columns."""
+    strong = F.greatest(strong, F.lit(0.0))
+    return [mean, F.sqrt(strong), F.log1p(strong * n)]
+
+
+def featured(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, n, mean, strong) for rows (row, text)."""
+    if model.held is None:
+        return _joined(rows, model)
+    shared_model = rows.sparkSession.sparkContext.broadcast(model.held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = texts(batch.column(batch.schema.get_field_index("text")))
+            items = texts(batch.column(1))
             for a, b in blocks(items):
-                yield finish(batch.slice(a, b - a), shared_model.value, features(shared_model.value, items[a:b]))
+                x = features(shared_model.value, items[a:b])
+                cols = [batch.column(0).slice(a, b - a), *(pa.array(c) for c in x.T)]
+                yield pa.RecordBatch.from_arrays(cols, ["row", "n", "mean", "strong"])
 
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, n double, mean double, strong double"
     return rows.mapInArrow(run, schema)
 
 
+def _split(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(ALNUM).split()
+
+
+def _name(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=16).digest()
+
+
+def _joined(rows: DataFrame, model: Model) -> DataFrame:
+    """``featured`` by joins; equal texts have equal features."""
+    key = ["t1", "t2"]
+    rows = rows.select("row", "text", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = texts(batch.column(2))
+            for a, b in blocks(items):
+                at, name, n = [], [], []
+                for d in range(a, b):
+                    for word, k in Counter(_split(items[d])).items():
+                        at.append(d)
+                        name.append(_name(word))
+                        n.append(k)
+                at = pa.array(at, pa.int64())
+                cols = [batch.column(0).take(at), batch.column(1).take(at), pa.array(name, pa.binary()), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["t1", "t2", "word", "n"])
+
+    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = texts(batch.column(0))
+            for a, b in blocks(items):
+                own = list({w for t in items[a:b] for w in _split(t)})
+                cols = [pa.array([_name(w) for w in own], pa.binary()), pa.array(own, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["word", "bytes"])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch.column(1).to_pylist()
+            for a, b in blocks(items):
+                grams = Grams(items[a:b], ORDER)
+                at = pa.array(np.repeat(np.arange(a, b), np.diff(grams.first)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(grams.code.view(np.int64))], ["word", "gram"])
+
+    posted = rows.select(*key, "text").mapInArrow(post, "t1 long, t2 long, word binary, n long")
+    posted = written(posted.dropDuplicates([*key, "word"]), "toxicity-posted")
+    words = written(rows.select("text").mapInArrow(vocabulary, "word binary, bytes binary").dropDuplicates(["word"]), "toxicity-vocabulary")
+    grams = written(words.mapInArrow(spell, "word binary, gram long"), "toxicity-spelled")
+    seen = model.seen.withColumnRenamed("evidence", "own")
+    other = model.other.select(F.col("gram").alias("context"), F.col("evidence").alias("rest"))
+    grams = written(grams.join(seen, "gram", "left").select("word", _context(F.col("gram")).alias("context"), "own"), "toxicity-own")
+    value = grams.join(other, "context", "left").groupBy("word").agg(F.sum(F.coalesce("own", "rest", F.lit(0.0))).alias("e"))
+    value = written(value.select("word", F.greatest(F.least("e", F.lit(MOST)), F.lit(-MOST)).alias("e")), "toxicity-words")
+    strong = F.when(F.col("e") > STRONG, F.col("e")).otherwise(0.0)
+    x = posted.join(value, "word").groupBy(*key).agg(
+        F.sum("n").cast("double").alias("n"), F.sum(F.col("n") * F.col("e")).alias("mean"), F.sum(F.col("n") * strong).alias("strong")
+    )
+    x = written(x.select(*key, "n", *((F.col(c) / F.col("n")).alias(c) for c in ("mean", "strong"))), "toxicity-features")
+    out = rows.select("row", *key).join(x, key, "left")
+    return out.select("row", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("n", "mean", "strong")))
+
+
 def learn(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> Model | None:
@@ -307,16 +379,10 @@ def learn(
     totals = counts.agg(F.sum("toxic"), F.sum("plain")).first()
     if not totals[0] or not totals[1]:
         return None
-    seen, other = evidence(counts)
-    model = Model(_table(seen, False), _table(other, True))
+    model = model_of(counts)
     kept = known.filter(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve")), "doc_id").limit(FIT_ROWS)
-    sample = rows.filter(part == 0).join(F.broadcast(kept), "doc_id").select("text", "toxic")
-
-    def finish(batch, _, x):
-        cols = [batch.column(1), *(pa.array(c) for c in x.T)]
-        return pa.RecordBatch.from_arrays(cols, ["toxic", "n", "mean", "strong"])
-
-    found = _map_features(sample, model, "toxic int, n double, mean double, strong double", finish).toArrow()
+    sample = rows.filter(part == 0).join(F.broadcast(kept), "doc_id").select(F.struct("toxic").alias("row"), "text")
+    found = featured(sample, model).select("row.toxic", "n", "mean", "strong").toArrow()
     y = found["toxic"].to_numpy()
     if not len(y) or not 0 < y.mean() < 1:
         return None
@@ -331,9 +397,5 @@ def score(documents: DataFrame, model: Model | None, text: str = "text") -> Data
     if model is None:
         return rows.withColumn("toxicity", F.lit(0.0))
     packed = rows.select(F.struct(*rows.columns).alias("row"), F.col(text).alias("text"))
-
-    def finish(batch, own, x):
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.score(curve_of(x)))], ["row", "toxicity"])
-
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, toxicity double"
-    return _map_features(packed, model, schema, finish).select("row.*", "toxicity")
+    scored = featured(packed, model)
+    return scored.select("row.*", model.score(F.col("n"), F.col("mean"), F.col("strong")).alias("toxicity"))

@@ -110,3 +110,35 @@ def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert T.learn(frame(spark, AWKWARD), empty) is None
     assert {r["toxicity"] for r in T.score(frame(spark, AWKWARD), None).collect()} == {0.0}
+
+
+def many_words(spark):
+    """Learning rows with some 200,000 distinct grams."""
+    rng = random.Random(6)
+    return [(" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(400)), i % 2) for i in range(100)]
+
+
+def test_every_gram_keeps_its_evidence(spark):
+    counts = T.count(spark.createDataFrame(many_words(spark), "text string, toxic int")).cache()
+    model, (seen, other) = T.model_of(counts), T.evidence(counts)
+    for table, rows in zip(model.held, (seen, other)):
+        want = {r["gram"]: r["evidence"] for r in rows.collect()}
+        code = T.np.array(list(want), T.U64)
+        value, known = T._look(table, code)
+        assert known.all() and T.np.allclose(value, list(want.values()), atol=1e-9)
+    assert len(model.held[0][0]) > 150_000
+
+
+def test_joined_model_scores_alike(spark, monkeypatch):
+    rng = random.Random(5)
+    learn = [(i, prose(rng, 30) + (" vile scum" if i % 3 == 0 else "")) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    rows = frame(spark, AWKWARD + learn + [(200, "vile " * 3000), (201, "x" * 5000 + " scum")])
+    out = []
+    for most in (T.HELD_MODEL, 0):
+        monkeypatch.setattr(T, "HELD_MODEL", most)
+        model = T.learn(frame(spark, learn), labels)
+        assert (model.held is None) == (most == 0)
+        out.append(sorted((r["doc_id"] or -1, r["text"] or "", r["toxicity"]) for r in T.score(rows, model).collect()))
+    assert [r[:2] for r in out[0]] == [r[:2] for r in out[1]] and len(out[0]) == rows.count()
+    assert all(math.isclose(a[2], b[2], abs_tol=1e-6) for a, b in zip(*out))
