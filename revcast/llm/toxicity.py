@@ -10,8 +10,9 @@ in a class is smoothed by what is known of its ending everywhere:
 
 A document's evidence is the difference of its two log-likelihoods divided by
 its number of words, once over all words and once over those with strong
-evidence. A logistic curve over these, fitted on learning documents whose
-grams weren't counted, turns them into a score.
+evidence. A logistic curve over these turns them into a score. It is fitted on
+a sample of the learning documents by the evidence of the others; the model
+that scores counts them all.
 
 Unseen grams of a known context get the same shared probability from both
 classes, which cancels; so the model is one number for each gram seen and one
@@ -56,7 +57,7 @@ MOST = 8.0
 STRONG = 2.5
 #: Largest number of documents for fitting the curve.
 FIT_ROWS = 20_000
-#: One in FIT_PART learning documents is kept for the curve, uncounted.
+#: At most one in FIT_PART learning documents is sampled for the curve.
 FIT_PART = 4
 #: Distinct grams a counting task holds before it passes them on.
 HELD = 1 << 21
@@ -371,21 +372,27 @@ def learn(
     known = known.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).dropna()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(FIT_PART))
+    kept = known.filter(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve")), "doc_id").limit(FIT_ROWS)
+    kept = written(kept, "toxicity-kept")
     # few long counting tasks: a gram is passed on once for each (memory is
     # bounded by HELD, however long a task is)
     tasks = 2 * spark.sparkContext.defaultParallelism
-    counted = rows.filter(part != 0).join(known.filter(part != 0), "doc_id").select("text", "toxic").coalesce(tasks)
+    rest = known.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_anti")
+    counted = rows.join(rest, "doc_id").select("text", "toxic").coalesce(tasks)
     counts = written(count(counted), "toxicity-counts")
+    sample = rows.filter(part == 0).join(F.broadcast(kept), "doc_id").select("text", "toxic")
+    own = written(count(sample.coalesce(tasks)), "toxicity-counts")
     totals = counts.agg(F.sum("toxic"), F.sum("plain")).first()
     if not totals[0] or not totals[1]:
         return None
-    model = model_of(counts)
-    kept = known.filter(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve")), "doc_id").limit(FIT_ROWS)
-    sample = rows.filter(part == 0).join(F.broadcast(kept), "doc_id").select(F.struct("toxic").alias("row"), "text")
-    found = featured(sample, model).select("row.toxic", "n", "mean", "strong").toArrow()
+    # the curve is fitted by the evidence of the other documents
+    found = featured(sample.select(F.struct("toxic").alias("row"), "text"), model_of(counts))
+    found = found.select("row.toxic", "n", "mean", "strong").toArrow()
     y = found["toxic"].to_numpy()
     if not len(y) or not 0 < y.mean() < 1:
         return None
+    whole = counts.unionByName(own).groupBy("gram", "ordered").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    model = model_of(written(whole, "toxicity-counts"))
     model.curve = fit(curve_of(np.column_stack([found[c].to_numpy() for c in ("n", "mean", "strong")])), y)
     return model
 

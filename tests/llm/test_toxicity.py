@@ -142,3 +142,16 @@ def test_joined_model_scores_alike(spark, monkeypatch):
         out.append(sorted((r["doc_id"] or -1, r["text"] or "", r["toxicity"]) for r in T.score(rows, model).collect()))
     assert [r[:2] for r in out[0]] == [r[:2] for r in out[1]] and len(out[0]) == rows.count()
     assert all(math.isclose(a[2], b[2], abs_tol=1e-6) for a, b in zip(*out))
+
+
+def test_documents_of_the_curve_are_counted_too(spark):
+    rng = random.Random(7)
+    part = {r["id"] for r in spark.range(400).filter(F.pmod(F.xxhash64("id"), F.lit(T.FIT_PART)) == 0).collect()}
+    # each part has an expression of its own
+    learn = [(i, prose(rng, 30) + (" " if i % 3 else " qzjvx qzjvx" if i in part else " vile scum")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = T.learn(frame(spark, learn), labels)
+    word = T.of(model.held, Grams([b"qzjvx"], T.ORDER))
+    assert word[0] > T.STRONG
+    counted = {r["gram"] for r in model.seen.select("gram").collect()}
+    assert {packed(g) for _, t in learn for g in grams_of(t, T.ORDER)} == counted
