@@ -12,7 +12,9 @@ and it has ``EXACT_WORDS`` words or more, or is near it and both have
    and as the shorter line of a pair; only lines whose part another one has
    go on. (This loses nothing, and spares most lines the next step.)
 3. The neighbourhood: each such line emits itself with one word left out, for
-   every word, as hashed keys (128 bits), and itself whole. Equal keys meet: a
+   every word, as hashed keys (128 bits), and itself whole. A key is the
+   exclusive or of the hashes of each word with its place, so it is made from
+   the sum of the words before, not from a copy of the line. Equal keys meet: a
    line with word i left out meets others without their word i (a word was
    replaced), and whole lines (a word was inserted or deleted). Every line is
    paired with the earliest it meets in either way, not with all.
@@ -39,6 +41,8 @@ from .common import written
 
 EXACT_WORDS = 3
 NEAR_WORDS = 8
+#: Words whose keys are made from one sum of the words before them.
+CHUNK = 32
 
 BREAK = "\n"
 _WORDS = "[ \\t\\x0B\\f\\r]+"
@@ -70,21 +74,54 @@ def _parts(words: Column) -> Column:
 
 def _left_out(words: Column) -> Column:
     """Every deletion variant with the place of the word left out, and the
-    whole line (place -1), over the hashes of the words."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-
-    def rest(h: Column, i: Column) -> Column:
-        return F.struct(i.alias("place"), F.concat(F.slice(h, F.lit(1), i), F.slice(h, i + 2, F.size(h))).alias("rest"))
-
-    def keyed(v: Column) -> Column:
-        return F.struct(v["place"].alias("place"), *_two(v["rest"]))
-
-    def variants(h: Column) -> Column:
-        whole = F.struct(F.lit(-1).alias("place"), h.alias("rest"))
-        return F.concat(F.array(whole), F.transform(F.sequence(F.lit(0), F.size(h) - 1), lambda i: rest(h, i)))
-
-    # a one-element array names the hashes, so that they're made once
-    return F.transform(F.flatten(F.transform(F.array(hashes), variants)), keyed)
+    whole line (place -1), as sums (exclusive or) of the hashes of each word
+    with its place."""
+    none = F.struct(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"))
+
+    def placed(w: Column, i: Column) -> Column:
+        return F.struct(F.xxhash64(w, i).alias("h1"), F.xxhash64(F.lit(7), w, i).alias("h2"))
+
+    def plus(a: Column, b: Column) -> Column:
+        return F.struct(*(a[h].bitwiseXOR(b[h]).alias(h) for h in ("h1", "h2")))
+
+    def total(items: Column, of) -> Column:
+        return F.aggregate(items, none, lambda s, x: plus(s, of(x)))
+
+    def word(w: Column, i: Column) -> Column:
+        # at its place, moved back by a word left out before it, and what
+        # moving the gap from before it to behind it changes
+        here, back = placed(w, i), placed(w, i - 1)
+        return F.struct(here.alias("here"), back.alias("back"), plus(here, back).alias("step"))
+
+    def chunked(x: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(x) - 1, F.lit(CHUNK))
+        chunks = F.transform(starts, lambda at: F.slice(x, at + 1, F.lit(CHUNK)))
+        return F.transform(chunks, lambda c: F.struct(c.alias("c"), total(c, lambda w: w["step"]).alias("sum")))
+
+    def of_chunk(chunk: Column, before: Column, k: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            own = plus(plus(before, w["back"]), total(F.slice(chunk, F.lit(1), i), lambda v: v["step"]))
+            return F.struct((k * CHUNK + i).alias("place"), own["h1"].alias("h1"), own["h2"].alias("h2"))
+
+        return F.transform(chunk, one)
+
+    def variants(chunks: Column, whole: Column, back: Column) -> Column:
+        def before(c: Column, k: Column) -> Column:
+            sums = F.aggregate(F.slice(chunks, F.lit(1), k), back, lambda s, d: plus(s, d["sum"]))
+            return F.struct(c["c"].alias("c"), sums.alias("before"), k.alias("k"))
+
+        first = F.struct(F.lit(-1).alias("place"), whole["h1"].alias("h1"), whole["h2"].alias("h2"))
+        rest = F.transform(F.transform(chunks, before), lambda b: of_chunk(b["c"], b["before"], b["k"]))
+        return F.concat(F.array(first), F.flatten(rest))
+
+    # one-element arrays name what is used often, so that it's made once
+    sums = F.transform(
+        F.array(F.transform(words, word)),
+        lambda x: F.struct(
+            chunked(x).alias("chunks"), total(x, lambda w: w["here"]).alias("whole"), total(x, lambda w: w["back"]).alias("back")
+        ),
+    )
+    return F.flatten(F.transform(sums, lambda n: variants(n["chunks"], n["whole"], n["back"])))
 
 
 def found_lines(documents: DataFrame) -> DataFrame:

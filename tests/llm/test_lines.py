@@ -106,3 +106,24 @@ def test_within_one(spark):
 
 def test_empty_table(spark):
     assert L.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_near_copies_of_a_very_long_line(spark):
+    rng = random.Random(33)
+    long = prose(rng, 50_000).split()
+    other = list(long)
+    other[40_000] = "changed"
+    docs = [(1, " ".join(long)), (2, "short one\n" + " ".join(other)), (3, " ".join(long[:100] + long[101:])), (4, prose(rng, 70) + "\nend")]
+    got = {r["doc_id"]: r["n_removed"] for r in L.dedup(frame(spark, docs)).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0}
+
+
+def test_variants_of_a_line_have_the_keys_of_what_is_left(spark):
+    rng = random.Random(34)
+    lines = [[f"w{rng.randrange(3)}" for _ in range(n)] for n in (8, 31, 32, 33, 64, 65, 100)]
+    left = [(w, i, w[:i] + w[i + 1 :]) for w in lines for i in range(len(w))]
+    rows = spark.createDataFrame(left, "w array<string>, i int, rest array<string>")
+    rows = rows.select("i", L._left_out(rows.w).alias("v"), L._left_out(rows.rest)[0].alias("whole"))
+    for r in rows.collect():
+        v = {x["place"]: (x["h1"], x["h2"]) for x in r["v"]}
+        assert v[r["i"]] == (r["whole"]["h1"], r["whole"]["h2"]) and r["whole"]["place"] == -1 and len(v) == len(r["v"])
