@@ -111,7 +111,7 @@ def _signed(rows: DataFrame) -> DataFrame:
 
 _FULL = (
     "node long, items binary, fine binary, star long, "
-    "prefix array<struct<coordinate:int,value:long>>, coarse binary, mask long"
+    "prefix array<struct<coordinate:int,value:long>>, coarse binary, mask long, values binary"
 )
 
 
@@ -134,9 +134,9 @@ def _candidates(rows: DataFrame) -> DataFrame:
     (node, text, posted coordinates)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in ("node", "items", "fine", "star", "prefix", "coarse", "mask")]
+        names = [c.split()[0] for c in ("node", "items", "fine", "star", "prefix", "coarse", "mask", "values")]
         prefix_kind = pa.list_(pa.struct([("coordinate", pa.int32()), ("value", pa.int64())]))
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), prefix_kind, pa.binary(), pa.int64()]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), prefix_kind, pa.binary(), pa.int64(), pa.binary()]
         for batch in batches:
             items = texts(batch.column(1))
             nodes, posted = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -156,10 +156,11 @@ def _candidates(rows: DataFrame) -> DataFrame:
                     # coordinates posted by nobody else are the rarest
                     prefix = lists[: max(0, COORDINATES - MATCHES + 1 - (COORDINATES - len(lists)))]
                     mask = sum(1 << p["coordinate"] for p in prefix)
+                    values = np.array([p["value"] for p in sorted(prefix, key=lambda p: p["coordinate"])], np.int64)
                     out.append((
                         node, own.tobytes(), fine[i].tobytes(), star,
                         [{"coordinate": p["coordinate"], "value": p["value"]} for p in prefix],
-                        coarse[i].tobytes(), mask - (1 << 64) if mask >= 1 << 63 else mask,
+                        coarse[i].tobytes(), mask - (1 << 64) if mask >= 1 << 63 else mask, values.tobytes(),
                     ))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
@@ -247,13 +248,13 @@ def _open_pairs(full: DataFrame, label: DataFrame) -> DataFrame:
         .select(*key, F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     )
     lists = written(lists, "neardup-lists")
-    body = full.select("node", "coarse", "fine", "mask")
+    body = full.select("node", "coarse", "fine", "mask", "values")
     block = (
         member.join(lists, key)
         .join(body, "node")
         .withColumn("part", F.pmod(F.xxhash64("node", "coordinate"), F.col("parts")).cast("int"))
         .groupBy(*key, "parts", "part")
-        .agg(F.collect_list(F.struct("node", "component", "coarse", "fine", "mask")).alias("members"))
+        .agg(F.collect_list(F.struct("node", "component", "coarse", "fine", "mask", "values")).alias("members"))
     )
     block = written(block, "neardup-blocks")
     # a block meets itself, and the others of its list, if it isn't the only one
@@ -279,12 +280,19 @@ def _open_pairs(full: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _unpacked(members: list[dict]):
+    mask = np.array([m["mask"] for m in members], np.int64)
+    # values of the prefix at their coordinates
+    values = np.zeros((len(members), COORDINATES), np.int64)
+    values[np.unpackbits(mask[:, None].view(np.uint8), axis=1, bitorder="little").astype(bool)] = np.frombuffer(
+        b"".join(m["values"] for m in members), np.int64
+    )
     return (
         np.array([m["node"] for m in members], np.int64),
         np.array([m["component"] for m in members], np.int64),
         np.frombuffer(b"".join(m["coarse"] for m in members), np.uint8).reshape(len(members), -1),
         np.frombuffer(b"".join(m["fine"] for m in members), U64).reshape(len(members), -1),
-        np.array([m["mask"] for m in members], np.int64).view(U64),
+        mask.view(U64),
+        values,
     )
 
 
@@ -297,8 +305,8 @@ def _agreeing(coordinate: int, x, y) -> tuple[np.ndarray, np.ndarray]:
         if not len(j):
             continue
         equal = y[2][j] == x[2][i]
-        shared = (equal * bit).sum(1, dtype=U64) & y[4][j] & x[4][i]
         # of the lists that both have in their prefix the first one tells
+        shared = ((y[5][j] == x[5][i]) * bit).sum(1, dtype=U64) & y[4][j] & x[4][i]
         j = j[(equal.sum(1) >= MATCHES) & (shared & (~shared + U64(1)) == bit[coordinate])]
         found.append((np.full(len(j), x[0][i]), y[0][j]))
     if not found:

@@ -103,3 +103,14 @@ def test_components_of_a_chain(spark):
 
 def test_empty_table(spark):
     assert N.cluster(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_equal_coarse_bits_of_different_values_hide_no_pair():
+    def member(node, first):
+        values = N.np.array([first, *range(1, 33)], N.np.int64)
+        return {"node": node, "component": node, "coarse": bytes(64), "fine": bytes(8 * 48), "mask": (1 << 33) - 1, "values": values.tobytes()}
+
+    # coordinate 0 has other values of the same 8 bits; 1 is the first shared
+    x = N._unpacked([member(1, 100), member(2, 200)])
+    found = {c: list(zip(*(z.tolist() for z in N._agreeing(c, x, x)))) for c in range(33)}
+    assert found == {c: [(1, 2)] if c == 1 else [] for c in range(33)}
