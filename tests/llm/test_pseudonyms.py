@@ -103,3 +103,40 @@ def test_texts(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
     assert P.pseudonymise(spark.createDataFrame([], SCHEMA), "k").count() == 0 and json.dumps([])
+
+
+VALUES = {
+    "card": ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "4111-1111-1111-1111"],
+    "ssn": ["123-45-6789"],
+    "phone": ["555-123-4567", "+1 (017) 555-7713", "(212) 555 0000", "555.123.4567"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "BE68 5390 0754 7034"],
+    "date": ["2024-02-29", "29/02/2024"],
+    "ipv4": ["10.0.0.1"],
+    "email": ["55.a@x.org"],
+}
+
+
+def test_values_side_by_side_are_all_found(spark):
+    known = [(k, v) for k, vs in VALUES.items() for v in vs]
+    texts = [(f"card {v} 12/25 end", [(k, v)]) for k, v in known if k != "iban"]
+    texts += [(f"no 2024 {v} 123", [(k, v)]) for k, v in known if k not in ("iban", "phone")]
+    texts += [(f"no 2024 {v}, then", [(k, v)]) for k, v in known]
+    texts += [(f"{a} {b}", [(j, a), (k, b)]) for j, a in known for k, b in known]
+    out = P.pseudonymise(frame(spark, [(i, t) for i, (t, _) in enumerate(texts)]), "k")
+    pseudo = {v: new for v, (_, new) in mapped(spark, [v for _, v in known]).items()}
+    wrong = []
+    for r in out.collect():
+        text, values = texts[r["doc_id"]]
+        for _, v in values:
+            text = text.replace(v, pseudo[v], 1)
+        n = {k: sum(k == x for x, _ in values) for k, _ in values}
+        if r["text"] != text or {f["kind"]: f["n"] for f in r["finds"]} != n:
+            wrong.append((texts[r["doc_id"]][0], r["text"], r["finds"]))
+    assert not wrong, (len(wrong), wrong[:12])
+    assert iban_ok(pseudo["DE89 3704 0044 0532 0130 00"].replace(" ", ""))
+
+
+def test_long_area(spark):
+    text = "12 " * 5_000 + "4111 1111 1111 1111 " + "7 " * 5_000
+    (r,) = P.pseudonymise(frame(spark, [(1, text)]), "k").collect()
+    assert "4111 1111 1111 1111" not in r["text"] and len(r["text"]) == len(text)
