@@ -3,13 +3,17 @@ express them, their DuckDB statements."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, languages, licenses, lines, neardup, packing, pseudonyms, substrings, toxicity
+from . import (
+    ann, conversations, decontaminate, languages, licenses, lines, neardup, packing, pseudonyms, substrings, tokencount,
+    toxicity, variants,
+)
 from .common import table
 
 #: Vocabulary file of the packing query.
@@ -76,11 +80,59 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Model of the token count query.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count(table(spark, sf_dir, "documents"), PIECES)
+
+
+def typo(doc_id: str) -> Callable[[str], str]:
+    """The query's damage: one run in 31 loses a code point."""
+    front = zlib.crc32(f"{doc_id}:".encode())
+
+    def of(run: str) -> str:
+        h = zlib.crc32(run.encode(), front)
+        if h % 31:
+            return run
+        at = h % len(run)
+        return run[:at] + run[at + 1 :]
+
+    return of
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.vocabulary(table(spark, sf_dir, "documents"), damage=typo))
+
+
+def damaged(given: DataFrame) -> DataFrame:
+    """The query's damage: by hash of conversation and turn, one row in 20
+    each is dropped, emptied, cut short of its stops, repeated or made the
+    user's."""
+    plain = given.select(
+        "conv_id", "turn", *(F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")),
+        (F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))) % 20).alias("h"),
+    )
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("h") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return plain.filter("h != 0").select(
+        "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(times).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.digests(given.select("conv_id"), conversations.repair(damaged(given)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_pseudonyms, op3_languages, op4_substring_dedup, op5_licenses, op6_neighbours,
-        op7_near_duplicates, op8_line_dedup, op9_packing, op10_toxicity,
+        op7_near_duplicates, op8_line_dedup, op9_packing, op10_toxicity, op11_token_counts, op12_spelling_variants,
+        op13_conversation_repair,
     )
 }
 
