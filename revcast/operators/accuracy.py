@@ -100,6 +100,30 @@ def partials(gold: DataFrame) -> DataFrame:
     )
 
 
+def changes(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """The change feed between two states of gold rows: what goes with
+    ``change`` -1, what comes with +1, nothing of what stays. Row for row, so
+    repeated rows count."""
+    rows = after.withColumn("change", F.lit(1))
+    if before is not None:
+        rows = before.withColumn("change", F.lit(-1)).unionByName(rows)
+    net = rows.groupBy(*after.columns).agg(F.sum("change").alias("change")).where("change != 0")
+    times = F.sequence(F.lit(1), F.abs("change").cast("int"))
+    return net.select(*after.columns, F.signum("change").cast("int").alias("change"), F.explode(times).alias("_t")).drop("_t")
+
+
+def retractable_partials(feed: DataFrame) -> DataFrame:
+    """:func:`partials` of a change feed: signed rows and sums, to be added to
+    those of the rows before."""
+    signed = lambda c: F.sum(F.col(c) * F.col("change"))
+    return feed.groupBy("target_date", "city", "lead_time_bucket").agg(
+        F.sum("change").alias("matched_forecasts"),
+        signed("temperature_absolute_error_c").alias("sum_absolute_error"),
+        signed("temperature_squared_error").alias("sum_squared_error"),
+        signed("temperature_error_c").alias("sum_error"),
+    )
+
+
 def summary_of_partials(rows: DataFrame) -> DataFrame:
     """A1 from :func:`partials`; rows without an error value (none pass
     validation) would count in the mean."""
@@ -109,9 +133,10 @@ def summary_of_partials(rows: DataFrame) -> DataFrame:
         .agg(
             n.alias("matched_forecasts"),
             (F.sum("sum_absolute_error") / n).alias("temperature_mae_c"),
-            F.sqrt(F.sum("sum_squared_error") / n).alias("temperature_rmse_c"),
+            F.sqrt(F.greatest(F.sum("sum_squared_error"), F.lit(0.0)) / n).alias("temperature_rmse_c"),
             (F.sum("sum_error") / n).alias("temperature_bias_c"),
         )
+        .where("matched_forecasts > 0")  # all rows of a cut may be retracted
         .orderBy("city", "lead_time_bucket")
     )
 

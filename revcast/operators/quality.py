@@ -7,7 +7,7 @@ frame serves as a report, a test oracle and the input of :func:`gate`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -111,6 +111,42 @@ def ingestion_lag(forecasts: DataFrame, observations: DataFrame) -> DataFrame:
     )
 
 
+#: Accuracy of the lag sketches: log2 of the items a level holds.
+LAG_K = 200
+#: Rank error that a sketch of this size stays within (99 % of the time).
+LAG_RANK_ERROR = 0.02
+
+
+def lag_seconds(df: DataFrame, start: str) -> Column:
+    return (F.unix_micros(F.col("ingested_at").cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))) / F.lit(1e6)
+
+
+def lag_sketches(forecasts: DataFrame, observations: DataFrame) -> DataFrame:
+    """One mergeable quantile sketch of the ingestion lag for each event
+    type and target date. A few kilobytes each, however many events, and
+    combined before the shuffle."""
+    parts = [
+        df.select(F.lit(kind).alias("event_type"), F.col(date).alias("target_date"), lag_seconds(df, start).alias("lag"))
+        for df, kind, date, start in (
+            (forecasts, "forecast", "forecast_date", "issued_at"),
+            (observations, "observation", "observation_date", "observation_timestamp"),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).where("lag is not null").groupBy("event_type", "target_date").agg(
+        F.count(F.lit(1)).alias("events"), F.kll_sketch_agg_double("lag", F.lit(LAG_K)).alias("sketch")
+    )
+
+
+def lag_quantiles(sketches: DataFrame, ranks: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """Lag at the given ranks by event type, from the merged sketches of any
+    range of dates."""
+    merged = sketches.groupBy("event_type").agg(
+        F.sum("events").alias("events"), F.kll_merge_agg_double("sketch", F.lit(LAG_K)).alias("sketch")
+    )
+    at = [F.struct(F.lit(r).alias("rank"), F.kll_sketch_get_quantile_double("sketch", F.lit(r)).alias("lag_seconds")) for r in ranks]
+    return merged.select("event_type", "events", F.inline(F.array(*at)))
+
+
 def event_id_duplicates(silver: DataFrame) -> DataFrame:
     """Ids that occur more than once."""
     return (

@@ -166,28 +166,9 @@ def incoming_revisions(staged_forecasts: DataFrame) -> DataFrame:
     )
 
 
-def _sightings_from_history(history: DataFrame) -> DataFrame:
-    """A stored revision seen first at ``effective_from`` and last at
-    ``last_seen_at``: fed back as those two sightings, so a late row that
-    lands between them cannot hide the repeat (§7.4)."""
-    base = history.select(
-        *FKEY, *REVISION_COLUMNS, "effective_from", "last_seen_at", "created_at"
-    )
-    first = base.select(
-        *FKEY, *REVISION_COLUMNS, F.col("effective_from").alias("seen_at"), "created_at"
-    )
-    last = base.where(F.col("last_seen_at") > F.col("effective_from")).select(
-        *FKEY,
-        *REVISION_COLUMNS,
-        F.col("last_seen_at").alias("seen_at"),
-        F.lit(None).cast("timestamp_ntz").alias("created_at"),
-    )
-    return first.unionByName(last)
-
-
-# Width of the time slices a chain is ordered in. A task orders one key's
-# sightings of one slice (a day: two dozen hourly runs), however long the
-# key's history is.
+# Width of the time slices a chain is kept and ordered in: a row of the run
+# list holds one key's sightings of one slice (a day: two dozen hourly runs),
+# however long the key's history is.
 SLICE_HOURS = 24
 
 
@@ -195,110 +176,130 @@ def _slice(seen_at: str = "seen_at") -> Column:
     return F.floor(epoch_micros(seen_at) / F.lit(SLICE_HOURS * 3_600_000_000)).cast("long")
 
 
-def build_chains(sightings: DataFrame, batch_ts=None) -> DataFrame:
-    """Revision chain per natural key from time-stamped sightings.
-
-    1. Equal-time sightings of a key collapse to their winner, the greatest
-       ``source_event_id`` (a stored sighting wins over its own replay), in an
-       aggregate that combines before the shuffle.
-    2. Each (key, time slice) is ordered by itself: a sighting whose hash
-       equals the previous one's is a repeat (F6 in reverse), which only
-       extends ``last_seen_at`` of the open revision; others start one.
-    3. Slices are stitched from one row each: the last hash and time before a
-       slice, the first start after it.
-    4. ``effective_to`` = start of the next revision; current = open.
-
-    One plan for every size; no job runs while it is built.
-    """
-    rest = [c for c in sightings.columns if c not in FKEY and c != "seen_at"]
-    winners = (
-        sightings.groupBy(*FKEY, "seen_at")
-        .agg(F.max_by(F.struct(*rest), F.struct("source_event_id", F.col("created_at").isNotNull())).alias("_w"))
-        .select(*FKEY, "seen_at", _slice().alias("_c"), "_w.*")
-    )
-    in_slice = Window.partitionBy(*FKEY, "_c").orderBy("seen_at")
-    by_slice = Window.partitionBy(*FKEY).orderBy("_c")
-    later = by_slice.rowsBetween(1, Window.unboundedFollowing)
-    local = (
-        winners.withColumn("_prev_hash", F.lag("record_hash").over(in_slice))
-        .withColumn("_prev_time", F.lag("seen_at").over(in_slice))
-        .withColumn("_start", F.coalesce(F.col("_prev_hash") != F.col("record_hash"), F.lit(True)))
-        # a slice's last sighting speaks for it to the next slice
-        .withColumn("_last", F.lead("seen_at").over(in_slice).isNull())
-        .where(F.col("_start") | F.col("_last"))
-        # among starts and last sightings, what comes before the next start
-        .withColumn("_next_start", F.lead(F.when(F.col("_start"), F.col("seen_at"))).over(in_slice))
-        .withColumn("_next_prev", F.lead(F.when(F.col("_start"), F.col("_prev_time"))).over(in_slice))
-    )
-    # One row per slice: how it begins and ends, and its first start behind
-    # the opening sighting, which may yet turn out a repeat.
-    opening = F.col("_prev_hash").isNull() & F.col("_start")
-    ends = local.groupBy(*FKEY, "_c").agg(
-        F.min(F.when(opening, F.col("seen_at"))).alias("_open_time"),
-        F.max(F.when(opening, F.col("record_hash"))).alias("_open_hash"),
-        F.max(F.when(F.col("_last"), F.col("record_hash"))).alias("_end_hash"),
-        F.max("seen_at").alias("_end_time"),
-        F.min(F.when(F.col("_start") & ~opening, F.struct("seen_at", "_prev_time"))).alias("_inner"),
+def sightings_of(incoming: DataFrame, batch_ts=None) -> DataFrame:
+    """Revision candidates as sightings; ``stored_at`` is the batch that
+    brings them."""
+    return incoming.select(
+        *FKEY, *FORECAST_MEASURES, "source_event_id", "record_hash",
+        F.col("effective_from").alias("seen_at"), batch_literal(batch_ts).alias("stored_at"),
+    )
+
+
+def sightings_of_runs(runs: DataFrame) -> DataFrame:
+    """The run list back to one row per sighting: nothing was lost in it."""
+    run = runs.select(*FKEY, F.inline("runs"))
+    return run.select(*FKEY, *FORECAST_MEASURES, "record_hash", F.inline("seen"))
+
+
+def sighting_runs(sightings: DataFrame) -> DataFrame:
+    """The run list: one row per key and time slice with its runs, each a
+    value (hash, measures) and the sightings that repeated it, in order.
+
+    Equal-time sightings collapse to the greatest ``source_event_id`` (then
+    hash); of copies the one stored first stays. Identical copies meet in the
+    set aggregate before the shuffle."""
+    item = F.struct(
+        "seen_at", "source_event_id", "record_hash", *FORECAST_MEASURES, (-epoch_micros("stored_at")).alias("age")
     )
-    before = ends.withColumn("_before_hash", F.lag("_end_hash").over(by_slice)).withColumn(
-        "_before_time", F.lag("_end_time").over(by_slice)
+    slices = sightings.groupBy(*FKEY, _slice().alias("slice")).agg(F.array_sort(F.collect_set(item)).alias("_all"))
+    last = F.filter("_all", lambda x, i: F.coalesce(F.get("_all", i + 1)["seen_at"] != x["seen_at"], F.lit(True)))
+
+    def changes(i: Column) -> Column:
+        before = F.get("_seen", i - 1)["record_hash"]
+        return F.coalesce(before != F.get("_seen", i)["record_hash"], F.lit(True))
+
+    def run(i: Column, j: Column) -> Column:
+        first = F.get("_seen", i)
+        length = F.coalesce(F.get("_at", j + 1), F.size("_seen")) - i
+        stored_at = lambda x: F.timestamp_micros(-x["age"]).cast("timestamp_ntz").alias("stored_at")
+        return F.struct(
+            first["record_hash"].alias("record_hash"), *(first[m].alias(m) for m in FORECAST_MEASURES),
+            F.transform(
+                F.slice("_seen", i + 1, length), lambda x: F.struct(x["seen_at"], x["source_event_id"], stored_at(x))
+            ).alias("seen"),
+        )
+
+    return (
+        slices.withColumn("_seen", last)
+        .withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_seen") - 1), changes))
+        .select(*FKEY, "slice", F.transform("_at", run).alias("runs"), F.to_date("forecast_timestamp").alias("forecast_date"))
     )
-    opens = F.col("_before_hash").isNull() | (F.col("_before_hash") != F.col("_open_hash"))
-    first_start = F.when(opens, F.struct(F.col("_open_time").alias("seen_at"), F.col("_before_time").alias("_prev_time"))).otherwise(F.col("_inner"))
-    around = before.withColumn("_opens", opens).withColumn("_first", first_start).select(
-        *FKEY, "_c", "_opens", "_before_time",
-        F.min("_first").over(later).alias("_after"),
-        F.max("_end_time").over(Window.partitionBy(*FKEY)).alias("_key_end"),
+
+
+def merge_runs(stored: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
+    """The run list with a batch's sightings in it: a late row splits the run
+    it falls into, or joins it. Independent of the order batches come in."""
+    new = sightings_of(incoming, batch_ts)
+    return sighting_runs(new if stored is None else sightings_of_runs(stored).unionByName(new))
+
+
+def chains(runs: DataFrame) -> DataFrame:
+    """Revision chain per natural key from the run list.
+
+    Slices carry their runs and are stitched in one pass over each key, last
+    slice first: a slice whose first run goes on with the value before it
+    starts no revision there, and a run's revision ends at the next start,
+    wherever it lies. One shuffle and one sort by key."""
+    first_run, last_run = F.get("_r", F.lit(0)), F.element_at("_r", -1)
+    compact = runs.select(
+        *FKEY, "slice",
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["record_hash"].alias("record_hash"), *(r[m].alias(m) for m in FORECAST_MEASURES),
+                F.get(r["seen"], F.lit(0))["source_event_id"].alias("source_event_id"),
+                F.get(r["seen"], F.lit(0))["seen_at"].alias("effective_from"),
+                F.get(r["seen"], F.lit(0))["stored_at"].alias("created_at"),
+                F.element_at(r["seen"], -1)["seen_at"].alias("until"),
+            ),
+        ).alias("_r"),
     )
-    starts = local.join(around, [*FKEY, "_c"]).where(F.col("_start") & (F.col("_prev_hash").isNotNull() | F.col("_opens")))
-    # the next start is in the slice, or the first one after it
-    closed = starts.select(
-        *FKEY,
-        *REVISION_COLUMNS,
-        F.col("seen_at").alias("effective_from"),
-        F.coalesce("_next_start", "_after.seen_at").alias("effective_to"),
-        F.when(F.col("_next_start").isNotNull(), F.col("_next_prev"))
-        .when(F.col("_after").isNotNull(), F.col("_after._prev_time"))
-        .otherwise(F.col("_key_end"))
-        .alias("last_seen_at"),
-        "created_at",
+    back = Window.partitionBy(*FKEY).orderBy(F.desc("slice"))
+    opens = F.coalesce(F.col("_before.record_hash") != first_run["record_hash"], F.lit(True))
+    # the first start of a slice and the last sighting in front of it
+    inner = F.get("_r", F.lit(1))
+    start = F.when(F.col("_opens"), F.struct(first_run["effective_from"].alias("at"), F.col("_before.until").alias("prior"))).when(
+        inner.isNotNull(), F.struct(inner["effective_from"].alias("at"), first_run["until"].alias("prior"))
     )
-    return closed.select(
+    stitched = (
+        compact.withColumn("_before", F.lead(last_run).over(back))
+        .withColumn("_opens", opens)
+        .withColumn("_start", start)
+        .withColumn("_after", F.min("_start").over(back.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_end", F.first(last_run["until"]).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+
+    def revision(r: Column, i: Column) -> Column:
+        follows = F.get("_r", i + 1)
+        return F.struct(
+            *(r[c].alias(c) for c in (*REVISION_COLUMNS, "effective_from", "created_at")),
+            F.coalesce(follows["effective_from"], F.col("_after.at")).alias("effective_to"),
+            F.when(follows.isNotNull(), r["until"]).when(F.col("_after").isNotNull(), F.col("_after.prior"))
+            .otherwise(F.col("_end")).alias("last_seen_at"),
+        )
+
+    revisions = F.transform("_r", revision)
+    own = F.when(F.col("_opens"), revisions).otherwise(F.slice(revisions, F.lit(2), F.size("_r")))
+    return stitched.select(*FKEY, F.inline(own)).select(
         revision_key().alias("forecast_revision_key"),
         *FKEY,
-        *FORECAST_MEASURES,
-        "source_event_id",
+        *REVISION_COLUMNS[:-1],
         "effective_from",
         "effective_to",
         F.col("effective_to").isNull().alias("is_current"),
         "record_hash",
         "last_seen_at",
-        F.coalesce(F.col("created_at"), batch_literal(batch_ts)).alias("created_at"),
+        "created_at",
         F.to_date("forecast_timestamp").alias("forecast_date"),
     )
 
 
-def scd2_apply(history: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
+def scd2_apply(stored_runs: DataFrame | None, incoming: DataFrame, batch_ts=None) -> DataFrame:
     """Close changed current rows, insert new or changed revisions, leave
-    repeats alone; replay-safe and independent of how time-ordered batches
-    are split.
-
-    ``history`` holds the stored rows of the partitions the batch touches
-    (the history key includes the target date, so that is all it needs).
-    Stored revisions go back in as their first and last sightings and every
-    chain of those partitions is rebuilt: a chain the batch does not touch
-    comes out unchanged, so no semi/anti join over the history is needed to
-    find affected keys, and the partitions are rewritten whole anyway.
-    """
-    sightings = incoming.select(
-        *FKEY,
-        *REVISION_COLUMNS,
-        F.col("effective_from").alias("seen_at"),
-        F.lit(None).cast("timestamp_ntz").alias("created_at"),
-    )
-    if history is not None:
-        sightings = sightings.unionByName(_sightings_from_history(history))
-    return build_chains(sightings, batch_ts)
+    repeats alone. ``stored_runs`` is the run list of the partitions the batch
+    touches (the key includes the target date, so that is all it needs).
+    Replay-safe, and the same history whatever order batches arrive in."""
+    return chains(merge_runs(stored_runs, incoming, batch_ts))
 
 
 # --- Observation upsert (U2, D17b) -------------------------------------------------

@@ -226,7 +226,7 @@ def scd2_apply_incremental(spark, d):
     first, second = I.split_at(I.redelivery(spark, d), "ingested_at", SPLIT_AT)
     jobs.merge_forecasts(spark, lay, wh.stage(first, "forecast"), st.touched_dates(first, "forecast_date"))
     incoming = wh.incoming_revisions(wh.stage(second, "forecast"))
-    return wh.scd2_apply(jobs.read_fact_forecast(spark, lay), incoming).select(*FACT_OUT)
+    return wh.scd2_apply(jobs.read_forecast_runs(spark, lay), incoming).select(*FACT_OUT)
 
 
 @query("scd2_hot_key")
@@ -536,6 +536,139 @@ def gold_summary_stored(spark, d):
     return rounded(jobs.read_summary(spark, _two_batches(spark, d)))
 
 
+def _deliveries(df: DataFrame, n: int) -> list[DataFrame]:
+    """``df`` in ``n`` parts by day of ingestion; parts overlap in time."""
+    part = F.coalesce(F.pmod(F.dayofyear("ingested_at"), F.lit(n)), F.lit(0))
+    return [df.where(part == i) for i in range(n)]
+
+
+@query("scd2_any_order")
+def scd2_any_order(spark, d):
+    """The redelivered stream in five deliveries that lie between each
+    other in time, the last ones first, each a delta: the history is the one
+    of all rows at once."""
+    lay = jobs.new_layout(spark, "any-order")
+    for part in reversed(_deliveries(I.redelivery(spark, d), 5)):
+        dates = st.touched_dates(part, "forecast_date")
+        jobs.merge_forecasts(spark, lay, wh.stage(part, "forecast"), dates, deltas=True)
+    return jobs.read_fact_forecast(spark, lay).select(*FACT_OUT)
+
+
+@query("commit_lost_writer")
+def commit_lost_writer(spark, d):
+    """A batch lost after it wrote all its tables, before its commit:
+    every table is read as the batch before left it."""
+    lay = jobs.new_layout(spark, "lost-writer")
+    f1, f2 = I.split_at(I.raw(spark, d, "forecast"), "ingested_at", SPLIT_AT)
+    o1, o2 = I.split_at(I.raw(spark, d, "observation"), "ingested_at", SPLIT_AT)
+    jobs.run_batch(spark, lay, f1, o1, "day-1")
+    lost = st.Transaction(spark, lay.root)  # never committed
+    f_good, f_dates, f_kept = jobs.run_silver(spark, f2, "forecast", lay, "day-2", tx=lost)
+    o_good, o_dates, o_kept = jobs.run_silver(spark, o2, "observation", lay, "day-2", tx=lost)
+    jobs.run_warehouse(spark, lay, f_good, o_good, f_dates, o_dates, tx=lost)
+    jobs.run_gold(spark, lay, sorted({*f_dates, *o_dates}), tx=lost)
+    f_kept.unpersist(), o_kept.unpersist()
+    stored = {
+        "silver_forecast": jobs.read_silver(spark, lay, "forecast").select("event_id"),
+        "silver_observation": jobs.read_silver(spark, lay, "observation").select("event_id"),
+        "fact_forecast": jobs.read_fact_forecast(spark, lay).select(F.col("forecast_revision_key").alias("event_id")),
+        "fact_observation": jobs.read_fact_observation(spark, lay).select(F.col("source_event_id").alias("event_id")),
+        "gold": jobs.read_gold(spark, lay).select("event_id"),
+    }
+    out = None
+    for name, rows in stored.items():
+        part = rows.select(F.lit(name).alias("table_name"), "event_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("batch_rerun")
+def batch_rerun(spark, d):
+    """Two runs of one day without batch names, and the second one again:
+    both land, once."""
+    lay = jobs.new_layout(spark, "rerun")
+    f1, f2 = I.split_at(I.raw(spark, d, "forecast"), "ingested_at", SPLIT_AT)
+    o1, o2 = I.split_at(I.raw(spark, d, "observation"), "ingested_at", SPLIT_AT)
+    for f, o in ((f1, o1), (f2, o2), (f2, o2)):
+        jobs.run_batch(spark, lay, f, o, "day")
+    return jobs.read_silver(spark, lay, "forecast")
+
+
+def _observation_deltas(spark, d):
+    lay = jobs.new_layout(spark, "deltas")
+    for part in _deliveries(I.valid(spark, d, "observation"), 4):
+        dates = st.touched_dates(part, "observation_date")
+        jobs.merge_observations(spark, lay, wh.stage(part, "observation"), dates, deltas=True)
+    return lay
+
+
+@query("observation_deltas")
+def observation_deltas(spark, d):
+    """R5s/K2: four deliveries, each writing the keys it touches: bases and
+    deltas, resolved by key as they are read."""
+    return jobs.read_fact_observation(spark, _observation_deltas(spark, d)).select(*OBS_OUT)
+
+
+@query("observation_compacted")
+def observation_compacted(spark, d):
+    """K2: the same table after its deltas were folded and old runs removed."""
+    lay = _observation_deltas(spark, d)
+    table = lay.fact_observation
+    st.compact(spark, lay.root, table, schemas.FACT_OBSERVATION, "observation_date", wh.OKEY, ["observation_timestamp"])
+    st.vacuum(spark, lay.root, table)
+    return jobs.read_fact_observation(spark, lay).select(*OBS_OUT)
+
+
+def _corrected(spark, d):
+    """Two batches whose second one corrects scored hours, gold kept by
+    changes."""
+    lay = jobs.new_layout(spark, "gold-changes")
+    for f, o in zip(_deliveries(I.raw(spark, d, "forecast"), 2), _deliveries(I.raw(spark, d, "observation"), 2)):
+        jobs.run_batch(spark, lay, f, o, "day", gold_by_change=True)
+    return lay
+
+
+@query("gold_delta")
+def gold_delta(spark, d):
+    """Gold kept by change feeds equals gold scored at once."""
+    return jobs.read_gold(spark, _corrected(spark, d))
+
+
+@query("gold_delta_summary")
+def gold_delta_summary(spark, d):
+    """K6: the summary added up from signed partial sums."""
+    return rounded(jobs.read_summary(spark, _corrected(spark, d)))
+
+
+@query("gold_changes_net")
+def gold_changes_net(spark, d):
+    """The stored change feed adds up to the gold rows."""
+    feed = jobs.read_gold_changes(spark, _corrected(spark, d))
+    return feed.groupBy(*schemas.GOLD.names).agg(F.sum("change").alias("_n")).where("_n != 0").select(*schemas.GOLD.names)
+
+
+@query("dq_lag_quantiles")
+def dq_lag_quantiles(spark, d):
+    """Lag quantiles from stored sketches by date, merged; each held
+    against the exact ranks of all rows."""
+    f, o = I.silver(spark, d, "forecast"), I.silver(spark, d, "observation")
+    root = scratch_path(spark, "lag-sketches")
+    dq.lag_sketches(f, o).write.partitionBy("event_type").parquet(root)
+    got = dq.lag_quantiles(spark.read.parquet(root))
+    lags = f.select(F.lit("forecast").alias("event_type"), dq.lag_seconds(f, "issued_at").alias("lag")).unionByName(
+        o.select(F.lit("observation").alias("event_type"), dq.lag_seconds(o, "observation_timestamp").alias("lag"))
+    )
+    ranked = lags.join(got, "event_type").groupBy("event_type", "rank", "events", "lag_seconds").agg(
+        F.count(F.when(F.col("lag") < F.col("lag_seconds"), 1)).alias("_below"),
+        F.count(F.when(F.col("lag") <= F.col("lag_seconds"), 1)).alias("_upto"),
+    )
+    slack = F.lit(dq.LAG_RANK_ERROR) * F.col("events")
+    return ranked.select(
+        "event_type", "rank", "events",
+        ((F.col("_below") - slack <= F.col("rank") * F.col("events")) & (F.col("rank") * F.col("events") <= F.col("_upto") + slack)).alias("within_bounds"),
+    )
+
+
 @query("dims_two_batches")
 def dims_two_batches(spark, d):
     """A second batch adds the names the first one lacked, with its
@@ -544,7 +677,8 @@ def dims_two_batches(spark, d):
     rows = I.staged(spark, d, "forecast").select("city", "source", "latitude", "longitude", "ingested_at")
     for batch, at in ((rows.where(F.col("city") < "B"), BATCH_TIMES[0]), (rows, BATCH_TIMES[1])):
         stored = jobs.read_dim_city(spark, lay)
-        jobs.merge_dimension(stored, wh.new_cities(stored, batch, batch_ts=at), lay.dim_city, schemas.DIM_CITY)
+        new = wh.new_cities(stored, batch, batch_ts=at)
+        jobs.merge_dimension(spark, lay, lay.dim_city, schemas.DIM_CITY, stored, new)
     return jobs.read_dim_city(spark, lay)
 
 
@@ -680,6 +814,36 @@ def stream_dedup_late(spark, d):
     return jobs.read_silver(spark, lay, "forecast")
 
 
+def _state_flow(spark, d, late: bool):
+    """The redelivered stream behind the state store, with the rows that fall
+    behind its watermark merged beside it."""
+    rows, lay = I.redelivery(spark, d), jobs.new_layout(spark, "stream-state")
+    apply = merge.merge_silver(lay, "forecast")
+
+    def run():
+        for name, stream, sink in (
+            ("state", merge.dedup_events, apply), ("late", lambda s: s, merge.late_rows(lay, "forecast", apply))
+        ):
+            source = merge.read_silver_stream(spark, f"{lay.root}/landing", rows.schema)
+            bronze.await_end(merge.start(stream(source), sink, f"{lay.root}/_checkpoints/{name}"))
+
+    _land_in_two(rows, f"{lay.root}/landing", "ingested_at", "parquet", run, late)
+    # of copies within the watermark any may be the first; they differ in this alone
+    return jobs.read_silver(spark, lay, "forecast").drop("ingested_at")
+
+
+@query("stream_dedup_state")
+def stream_dedup_state(spark, d):
+    """R4s with Spark's state store in front of the merge."""
+    return _state_flow(spark, d, late=False)
+
+
+@query("stream_dedup_state_late")
+def stream_dedup_state_late(spark, d):
+    """The second delivery lies behind the watermark: no event is lost."""
+    return _state_flow(spark, d, late=True)
+
+
 # --- A10, K6/O3 -------------------------------------------------------------------------------
 
 

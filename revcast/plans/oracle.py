@@ -460,6 +460,31 @@ ORACLE["warehouse_incremental"] = ORACLE["scd2_revisions"]
 ORACLE["warehouse_observation_incremental"] = ORACLE["observation_upsert"]
 ORACLE["gold_incremental"] = ORACLE["gold_accuracy_rows"]
 
+ORACLE["scd2_any_order"] = ORACLE["scd2_apply_incremental"]
+ORACLE["batch_rerun"] = ORACLE["silver_incremental_two_days"]
+ORACLE["observation_deltas"] = ORACLE["observation_compacted"] = ORACLE["observation_upsert"]
+ORACLE["gold_delta"] = ORACLE["gold_changes_net"] = ORACLE["gold_accuracy_rows"]
+ORACLE["gold_delta_summary"] = ORACLE["gold_accuracy_summary"]
+
+# What the first batch alone leaves in each table.
+_FIRST = EV.replace("ON r.r_regionkey = e.user_id % 5", f"ON r.r_regionkey = e.user_id % 5\n  WHERE e.ts < {SPLIT_AT}")
+ORACLE["commit_lost_writer"] = W(
+    _FIRST, FC_RAW, FC_NORM, FC_VALID, FC_SILVER, *SILVER_O, OB_LATEST, GOLD, incoming("fc_valid"), chain("inc"), FACT_OBS
+) + """
+SELECT 'silver_forecast' AS table_name, event_id FROM fc_silver
+UNION ALL SELECT 'silver_observation', event_id FROM ob_silver
+UNION ALL SELECT 'fact_forecast', forecast_revision_key FROM fact
+UNION ALL SELECT 'fact_observation', source_event_id FROM fact_obs
+UNION ALL SELECT 'gold', event_id FROM gold"""
+
+# Sketches are approximate: the oracle says how many events there are and that
+# each quantile must lie within its rank bounds.
+ORACLE["dq_lag_quantiles"] = W(*SILVER_BOTH) + """,
+n AS (SELECT 'forecast' AS event_type, count(*) AS events FROM fc_silver
+      UNION ALL SELECT 'observation', count(*) FROM ob_silver)
+SELECT event_type, rank, events, true AS within_bounds
+FROM n, (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS r(rank)"""
+
 ORACLE["gold_summary_stored"] = ORACLE["gold_accuracy_summary"]
 ORACLE["payload_files"] = ORACLE["hourly_explode"]
 
@@ -571,6 +596,9 @@ ORACLE["stream_scd2"] = ORACLE["scd2_apply_incremental"]
 ORACLE["stream_upsert"] = ORACLE["observation_upsert"]
 ORACLE["stream_dedup"] = ORACLE["silver_dedup"]
 ORACLE["stream_dedup_late"] = ORACLE["silver_dedup"]
+ORACLE["stream_dedup_state"] = ORACLE["stream_dedup_state_late"] = W(*BASE_F, FC_VALID) + """
+SELECT DISTINCT event_id, event_type, source, city, latitude, longitude, issued_at, forecast_timestamp,
+       temperature_2m_c, precipitation_probability_pct, wind_speed_10m_kmh, forecast_date FROM fc_valid"""
 
 ORACLE["events_per_city"] = W(EV, FC_RAW, OB_RAW) + """
 SELECT city, event_type, count(*) AS events FROM (

@@ -251,6 +251,19 @@ FACT_FORECAST_REVISION = T.StructType(
     ]
 )
 
+# The run list behind the revisions: a row per natural key and day of sighting.
+FORECAST_RUNS = T.StructType(
+    _fields(
+        ("source_key", T.LongType()), ("city_key", T.LongType()), ("issued_at", TS), ("forecast_timestamp", TS),
+        ("slice", T.LongType()),
+        ("runs", T.ArrayType(T.StructType(_fields(
+            ("record_hash", S), ("temperature_2m_c", D), ("precipitation_probability_pct", D), ("wind_speed_10m_kmh", D),
+            ("seen", T.ArrayType(T.StructType(_fields(("seen_at", TS), ("source_event_id", S), ("stored_at", TS))))),
+        )))),
+        ("forecast_date", T.DateType()),
+    )
+)
+
 FACT_OBSERVATION = T.StructType(
     [
         T.StructField("source_key", T.LongType(), False),
@@ -298,6 +311,9 @@ GOLD = T.StructType(
 )
 
 # What the summary needs of one day: rows and sums by city and lead bucket.
+# The change feed of the gold rows: +1 came, -1 went.
+GOLD_CHANGES = T.StructType([*GOLD.fields, T.StructField("change", T.IntegerType(), True)])
+
 GOLD_PARTIALS = T.StructType(
     _fields(
         ("city", S), ("lead_time_bucket", S), ("matched_forecasts", T.LongType()),

@@ -89,3 +89,23 @@ def test_means_round_nothing_and_take_any_size(spark, value):  # A1
     )
     r = acc.summary(rows).first()
     assert r.temperature_mae_c == value and r.temperature_bias_c == value and r.temperature_rmse_c == pytest.approx(value)
+
+
+def test_signed_changes_add_up_to_the_rows_after(spark):  # D5, K6
+    day = [forecast("a", temp=1.0), forecast("b", temp=3.0), forecast("b", temp=3.0)]
+    cold, warm = observation("o", temp=0.0), observation("o", temp=2.0)
+    before, after = (
+        acc.gold_rows(
+            forecasts(spark, rows).withColumn("forecast_date", F.to_date("forecast_timestamp")), observations(spark, [seen])
+        )
+        for rows, seen in ((day, cold), (day[:2], warm))
+    )
+    feed = acc.changes(before, after)
+    assert sorted((r.event_id, r.temperature_error_c, r.change) for r in feed.collect()) == [
+        ("a", -1.0, 1), ("a", 1.0, -1), ("b", 1.0, 1), ("b", 3.0, -1), ("b", 3.0, -1)
+    ]
+    sums = acc.partials(before).unionByName(acc.retractable_partials(feed))
+    assert [tuple(r) for r in acc.summary_of_partials(sums).collect()] == [tuple(r) for r in acc.summary(after).collect()]
+    assert acc.changes(after, after).isEmpty()
+    gone = acc.partials(before).unionByName(acc.retractable_partials(acc.changes(before, after.limit(0))))
+    assert acc.summary_of_partials(gone).isEmpty()

@@ -2,6 +2,8 @@
 (``python tests/oracle_harness.py DIR`` runs them elsewhere), plus the driver
 smoke entry."""
 
+import functools
+
 import pytest
 
 import __spark_entry__ as entry
@@ -24,6 +26,16 @@ def test_the_oracle_takes_nothing_from_the_engine():
     assert [getattr(n, "module", None) for n in imported] == ["__future__"]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_lakes():
+    """Queries that only read one and the same lake share it here."""
+    patch = pytest.MonkeyPatch()
+    for name in ("_two_batches", "_day_of_batches", "_bronze_flow", "_observation_deltas", "_corrected"):
+        patch.setattr(catalog, name, functools.cache(getattr(catalog, name)))
+    yield
+    patch.undo()
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_matches_oracle(spark, name):
     """Same rows; and no Python and no pair join in the plan that ran."""

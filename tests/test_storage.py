@@ -1,5 +1,5 @@
-"""Manifest-published tables, versioned tables, quarantine, markers (K2-K6,
-K10, U7, D1, D5, D7, D10)."""
+"""Commits over all tables, deltas, quarantine, markers (K2-K6, K10, U7, R5s,
+D1, D5, D7, D10, Q5, Q6)."""
 
 import datetime as dt
 
@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revcast import schemas
+from revcast.operators import warehouse as wh
 from revcast.plans import jobs
 from revcast.plans import storage as st
 from revcast.session import scratch_path
@@ -41,41 +42,136 @@ def test_a_one_date_read_opens_that_date_only(spark):  # R1, S3
     assert len(jobs.read_silver(spark, lay, "forecast").inputFiles()) == 19
 
 
-def test_a_writer_lost_before_publishing_leaves_the_old_table(spark, monkeypatch):  # U7
-    lay = jobs.new_layout(spark, "t-crash")
-    first = [forecast("a", temp=1.0, ingested="2031-03-02 07:00")]
-    second = [forecast("b", temp=2.0, ingested="2031-03-02 08:00")]
-    none = observations(spark, [])
-    jobs.run_batch(spark, lay, forecasts(spark, first), none, "one")
-    before = sorted(map(str, jobs.read_fact_forecast(spark, lay).collect()))
-    publish = st.publish
-
-    def lost(spark_, root, *rest):
-        if root == lay.fact_forecast:
-            raise RuntimeError("driver lost")
-        publish(spark_, root, *rest)
-
-    monkeypatch.setattr(st, "publish", lost)
-    with pytest.raises(RuntimeError, match="driver lost"):
-        jobs.run_batch(spark, lay, forecasts(spark, second), none, "two")
-    assert sorted(map(str, jobs.read_fact_forecast(spark, lay).collect())) == before
-    monkeypatch.undo()
-    assert jobs.run_batch(spark, lay, forecasts(spark, second), none, "two") is True
-    fact = {r.source_event_id: r for r in jobs.read_fact_forecast(spark, lay).collect()}
-    assert fact["a"].effective_to == fact["b"].effective_from and fact["b"].is_current and len(fact) == 2
-    assert len(st.vacuum(spark, lay.fact_forecast)) == 2  # the lost run and the replaced one
-    assert jobs.read_fact_forecast(spark, lay).count() == 2
+def tables(spark, lay):
+    """Every stored table as text."""
+    readers = {
+        "silver": jobs.read_silver(spark, lay, "forecast"), "observations": jobs.read_silver(spark, lay, "observation"),
+        "runs": jobs.read_forecast_runs(spark, lay), "fact": jobs.read_fact_forecast(spark, lay),
+        "upserts": jobs.read_fact_observation(spark, lay), "gold": jobs.read_gold(spark, lay), "cities": jobs.read_dim_city(spark, lay),
+        "summary": jobs.read_summary(spark, lay),
+    }
+    return {name: sorted(map(str, df.collect())) if df is not None else None for name, df in readers.items()}
+
+
+FIRST = ([forecast("a", temp=1.0, ingested="2031-03-02 07:00")], [observation("o", temp=0.0)])
+SECOND = (
+    [forecast("b", temp=2.0, ingested="2031-03-02 08:00"), forecast("q", city="Quito")],
+    [observation("p", temp=9.0, ingested="2031-03-05 00:00")],
+)
+
+
+def batch(spark, lay, rows, day, **kw):
+    return jobs.run_batch(spark, lay, forecasts(spark, rows[0]), observations(spark, rows[1]), day, **kw)
+
+
+def test_a_writer_lost_anywhere_leaves_all_tables_as_they_were(spark, monkeypatch):  # U7
+    lay, whole = jobs.new_layout(spark, "t-crash"), jobs.new_layout(spark, "t-whole")
+    batch(spark, lay, FIRST, "one")
+    before = tables(spark, lay)
+
+    def lost(*args, **kw):
+        raise RuntimeError("driver lost")
+
+    for place in ((jobs, "merge_observations"), (st.Transaction, "commit")):
+        monkeypatch.setattr(*place, lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            batch(spark, lay, SECOND, "two")
+        assert tables(spark, lay) == before
+        monkeypatch.undo()
+    assert batch(spark, lay, SECOND, "two") is True
+    batch(spark, whole, FIRST, "one")
+    batch(spark, whole, SECOND, "two")
+    after = tables(spark, whole)
+    assert tables(spark, lay) == after
+    assert len(st.vacuum(spark, lay.root, lay.fact_forecast)) == 3  # two lost runs and the replaced one
+    assert tables(spark, lay) == after
+
+
+def test_two_writers_of_one_date_conflict_and_of_two_dates_don_t(spark):  # U7
+    lay = jobs.new_layout(spark, "t-conflict")
+    a, b, c = (st.Transaction(spark, lay.root) for _ in range(3))
+    for tx, event, target in ((a, "a", "2031-03-03 09:00"), (b, "b", "2031-03-03 10:00"), (c, "c", "2031-03-04 09:00")):
+        rows = forecasts(spark, [forecast(event, target=target)]).withColumn("forecast_date", F.to_date("forecast_timestamp"))
+        jobs.merge_silver(spark, rows, "forecast", lay, tx=tx)
+    assert a.commit() == 1
+    with pytest.raises(st.Conflict, match="2031-03-03"):
+        b.commit()
+    assert c.commit() == 2
+    assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["a", "c"]
+
+
+def test_a_commit_record_is_never_overwritten_nor_half_seen(spark, tmp_path):
+    path = f"{tmp_path}/_commits/000000000001"
+    assert st.create_text(spark, path, "{}") is True
+    assert st.create_text(spark, path, "other") is False
+    assert st.read_text(spark, path) == "{}"
+    (tmp_path / "_commits" / "000000000002.ab.tmp").write_text("{")  # a writer lost while writing
+    assert st.snapshot(spark, str(tmp_path)) == (1, {})
 
 
 def test_a_finished_batch_is_not_run_again(spark):  # K10
     lay = jobs.new_layout(spark, "t-marker")
-    rows, none = forecasts(spark, [forecast("a")]), observations(spark, [])
-    assert jobs.run_batch(spark, lay, rows, none, "day", batch="06") is True
-    assert jobs.run_batch(spark, lay, forecasts(spark, [forecast("x")]), none, "day", batch="06") is False
-    assert jobs.run_batch(spark, lay, forecasts(spark, [forecast("y")]), none, "day", batch="07") is True
+    a, x, y = (([forecast(e)], []) for e in "axy")
+    assert batch(spark, lay, a, "day", batch="06") is True
+    assert batch(spark, lay, a, "day", batch="06") is False
+    with pytest.raises(ValueError, match="finished with other rows"):
+        batch(spark, lay, x, "day", batch="06")
+    assert batch(spark, lay, y, "day", batch="07") is True
     assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["a", "y"]
 
 
+def test_runs_of_one_day_without_names_all_land(spark):  # K10
+    lay = jobs.new_layout(spark, "t-hourly")
+    assert [batch(spark, lay, ([forecast(e)], []), "day") for e in "aba"] == [True, True, False]
+    assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["a", "b"]
+    assert st.read_metrics(spark, lay.metrics, schemas.METRICS).where("event_type = 'forecast'").count() == 2
+
+
+def test_low_coverage_and_repeated_ids_stop_a_run(spark, monkeypatch):  # Q5, Q6
+    lay = jobs.new_layout(spark, "t-gates")
+    batch(spark, lay, FIRST, "one", min_coverage=1.0)
+    before = tables(spark, lay)
+    with pytest.raises(Exception, match="quality gate join_coverage failed"):
+        batch(spark, lay, SECOND, "two", min_coverage=0.9)
+    monkeypatch.setattr(jobs.sv, "dedup", lambda df: df)
+    with pytest.raises(Exception, match="quality gate unique_event_id"):
+        batch(spark, lay, ([forecast("d"), forecast("d", ingested="2031-03-02 09:00")], []), "three")
+    assert tables(spark, lay) == before
+    monkeypatch.undo()
+    assert batch(spark, lay, SECOND, "two", min_coverage=0.5) is True
+
+
+def test_deltas_hold_touched_keys_and_compaction_changes_no_row(spark):  # R5s, K2
+    lay = jobs.new_layout(spark, "t-deltas")
+    start = [observation(f"o{h}", at=f"2031-03-03 {h:02d}:00", temp=float(h)) for h in range(20)]
+    for n in range(4):
+        rows = start if n == 0 else [observation(f"n{n}", at="2031-03-03 05:00", temp=50.0 + n, ingested=f"2031-03-04 0{n}:00", source=None if n == 2 else "north")]
+        jobs.merge_observations(spark, lay, wh.stage(observations(spark, rows), "observation"), [DAY3], deltas=True)
+    _, state = st.snapshot(spark, lay.root)
+    runs = state[lay.fact_observation]["2031-03-03"]
+    tx = st.Transaction(spark, lay.root)
+    assert [tx.staged(lay.fact_observation, r, schemas.FACT_OBSERVATION).count() for r in runs] == [20, 1, 1, 1]
+    rows = sorted(map(str, jobs.read_fact_observation(spark, lay).collect()))
+    assert len(rows) == 21 and sum("53.0" in r for r in rows) == 1 and sum("52.0" in r for r in rows) == 1
+    key = wh.OKEY
+    assert st.compact(spark, lay.root, lay.fact_observation, schemas.FACT_OBSERVATION, "observation_date", key) == ["2031-03-03"]
+    assert sorted(map(str, jobs.read_fact_observation(spark, lay).collect())) == rows
+    assert len(st.vacuum(spark, lay.root, lay.fact_observation)) == 4
+    assert sorted(map(str, jobs.read_fact_observation(spark, lay).collect())) == rows
+
+
+def test_a_date_of_many_deltas_is_folded_by_its_next_merge(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "FOLD", 3)
+    lay = jobs.new_layout(spark, "t-fold")
+    counts = []
+    for n in range(5):
+        rows = [forecast(f"e{n}", temp=float(n % 2), ingested=f"2031-03-02 0{n}:30")]
+        jobs.merge_forecasts(spark, lay, wh.stage(forecasts(spark, rows), "forecast"), [DAY3], deltas=True)
+        counts.append(len(st.snapshot(spark, lay.root)[1][lay.fact_forecast]["2031-03-03"]))
+    assert counts == [1, 2, 3, 1, 2]
+    assert [r.source_event_id for r in jobs.read_fact_forecast(spark, lay).orderBy("effective_from").collect()] == [f"e{n}" for n in range(5)]
+
+
 def test_quarantine_and_counts_by_batch(spark):  # K3, K4, D7
     lay = jobs.new_layout(spark, "t-d7")
     silver(spark, lay, [forecast("a", temp=None), forecast("b")], "day", "1")
@@ -110,26 +206,23 @@ def test_gold_and_summary_follow_the_touched_dates(spark):  # D5, D10, K6
 
 
 def test_a_date_can_become_empty(spark):
-    root = scratch_path(spark, "t-empty")
-    schema = schemas.GOLD_PARTIALS
+    lake, schema = scratch_path(spark, "t-empty"), schemas.GOLD_PARTIALS
     row = ("Oslo", "00-06h", 1, 1.0, 1.0, 1.0)
     rows = spark.createDataFrame([(*row, DAY3), (*row, DAY4)], schema)
-    st.write_partitions(rows, root, "target_date", schema, [DAY3, DAY4])
-    st.write_partitions(rows.limit(0), root, "target_date", schema, [DAY3])
-    assert [r.target_date for r in st.read_partitions(spark, root, "target_date", schema).collect()] == [DAY4]
+    for df, dates in ((rows, [DAY3, DAY4]), (rows.limit(0), [DAY3])):
+        with st.transaction(spark, lake) as tx:
+            tx.replace("sums", tx.stage(df, "sums", schema, "target_date"), "target_date", dates)
+    assert [r.target_date for r in st.Transaction(spark, lake).read("sums", schema, "target_date").collect()] == [DAY4]
 
 
-def test_readers_take_the_newest_committed_version_and_few_are_kept(spark, tmp_path):  # U7
-    root, schema = str(tmp_path / "dim"), spark.range(1).schema
-    assert st.read_versioned(spark, root, schema) is None
-    for n in range(1, 7):
-        st.write_versioned(spark.range(n), root)
-    (tmp_path / "dim" / "v=00000009").mkdir()  # a run that never committed
-    assert st.read_versioned(spark, root, schema).count() == 6
-    st.write_versioned(spark.range(20), root)
-    assert st.read_versioned(spark, root, schema).count() == 20
-    committed = [p.name for p in (tmp_path / "dim").iterdir() if (p / "_SUCCESS").exists()]
-    assert len(committed) <= st.KEEP_VERSIONS and "v=00000010" in committed
+def test_old_commit_records_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "KEEP_COMMITS", 3)
+    for n in range(12):
+        with st.transaction(spark, str(tmp_path)) as tx:
+            tx.state["t"] = {"": [str(n)]}
+            tx.changed.add(("t", ""))
+    names = sorted(p.name for p in (tmp_path / "_commits").iterdir() if p.name.isdigit())
+    assert int(names[-1]) == 12 and len(names) <= 6 and st.snapshot(spark, str(tmp_path))[1] == {"t": {"": ["11"]}}
 
 
 def test_dimensions_get_a_new_version_only_for_new_names(spark):  # J9, U6
@@ -137,7 +230,8 @@ def test_dimensions_get_a_new_version_only_for_new_names(spark):  # J9, U6
     none = observations(spark, [])
     for batch, (city, at) in enumerate([("Oslo", "2031-03-02"), ("Oslo", "2031-03-03"), ("Quito", "2031-03-04")]):
         jobs.run_batch(spark, lay, forecasts(spark, [forecast(city, city=city)]), none, "p", f"{at} 00:00:00", str(batch))
-    assert len(st._children(spark, lay.dim_city, "v=")) == 2 and len(st._children(spark, lay.dim_source, "v=")) == 1
+    written = [len(st._children(spark, f"{lay.root}/{t}/data", "run=")) for t in (lay.dim_city, lay.dim_source)]
+    assert written == [2, 1]
     assert {r.city_name: str(r.created_at)[:10] for r in jobs.read_dim_city(spark, lay).collect()} == {"Oslo": "2031-03-02", "Quito": "2031-03-04"}
     assert jobs.read_dim_city(spark, lay).schema.names == schemas.DIM_CITY.names
     assert jobs.read_fact_forecast(spark, lay).where(F.col("created_at").isNull()).count() == 0

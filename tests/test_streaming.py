@@ -9,6 +9,7 @@ from revcast import schemas
 from revcast.operators import silver as sv
 from revcast.operators import warehouse as wh
 from revcast.plans import jobs
+from revcast.plans import storage as st
 from revcast.session import scratch_path
 from revcast.streaming import bronze, merge
 
@@ -91,3 +92,29 @@ def test_no_event_is_lost_for_arriving_late(spark):  # R4s
     got = sorted(map(tuple, jobs.read_silver(spark, lay, "forecast").collect()))
     assert got == sorted(map(tuple, sv.dedup(typed(spark, newest + older)).collect()))
     assert [(r[0], r[11].hour) for r in got] == [("m", 20), ("n", 20), ("p", 5)]
+
+
+def test_a_repeat_within_the_watermark_commits_nothing(spark):  # R4s
+    lay = jobs.new_layout(spark, "t-state")
+    first = [forecast("m", ingested="2031-03-02 20:00"), forecast("n", ingested="2031-03-02 20:30")]
+    again = [forecast("m", ingested="2031-03-02 21:00")]
+    commits = []
+    for rows in (first, again, [forecast("m", ingested="2031-03-03 09:00")]):
+        df = typed(spark, rows)
+        df.write.mode("append").parquet(f"{lay.root}/landing")
+        stream = merge.dedup_events(merge.read_silver_stream(spark, f"{lay.root}/landing", df.schema))
+        bronze.await_end(merge.start(stream, merge.merge_silver(lay, "forecast"), f"{lay.root}/cp"))
+        commits.append(st.snapshot(spark, lay.root)[0])
+    assert commits[:2] == [1, 1]  # a copy an hour later touches no table
+    assert sorted(r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()) == ["m", "n"]
+
+
+def test_rows_behind_the_watermark_come_by_the_other_way(spark):  # R4s
+    lay = jobs.new_layout(spark, "t-behind")
+    apply = merge.late_rows(lay, "forecast", merge.merge_silver(lay, "forecast"))
+    newest, old = forecast("m", ingested="2031-03-05 20:00"), forecast("p", ingested="2031-03-01 05:00")
+    apply(typed(spark, [newest]), 0)
+    assert jobs.read_silver(spark, lay, "forecast") is None
+    apply(typed(spark, [old]), 1)
+    apply(typed(spark, [old]), 1)  # replayed
+    assert [r.event_id for r in jobs.read_silver(spark, lay, "forecast").collect()] == ["p"]

@@ -1,7 +1,6 @@
 """SCD2 revisions, observation upsert, dimensions, gates (U1-U6, D12, D16,
 D17, D17b, D19, D20, Q7, Q10)."""
 
-import itertools
 import random
 
 import pytest
@@ -79,12 +78,38 @@ def test_time_ordered_batches_and_replays_give_the_same_chain(spark, seed):  # D
     while 0 < cut < len(rows) and rows[cut][11] == rows[cut - 1][11]:
         cut += 1
     whole = chain(wh.scd2_apply(None, revisions(spark, rows)))
-    stored = wh.scd2_apply(None, revisions(spark, rows[:cut])).cache()
-    both = wh.scd2_apply(stored, revisions(spark, rows[cut:])).cache()
-    assert chain(both) == whole
+    stored = wh.merge_runs(None, revisions(spark, rows[:cut])).cache()
+    both = wh.merge_runs(stored, revisions(spark, rows[cut:])).cache()
+    assert chain(wh.chains(both)) == whole
     assert chain(wh.scd2_apply(both, revisions(spark, rows[cut:]))) == whole
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_any_order_of_deliveries_gives_the_chain_of_all_at_once(spark, seed):  # U1
+    rows = sightings(10 + seed, 60, 24 * 4)
+    random.Random(seed).shuffle(rows)
+    stored = None
+    for i in range(0, len(rows), 14):
+        stored = wh.merge_runs(stored, revisions(spark, rows[i : i + 14])).cache()
+    assert built(spark, wh.chains(stored)) == by_rule(rows)
+
+
+def test_a_late_row_splits_a_run_of_many_repeats(spark):  # what first and last sighting alone can't tell
+    same = [forecast(f"r{h}", temp=1.0, ingested=f"2031-03-02 {h:02d}:00") for h in range(6, 12)]
+    stored = wh.merge_runs(None, revisions(spark, same))
+    assert [len(r.seen) for r in stored.select(F.inline("runs")).collect()] == [6]
+    late = forecast("z", temp=2.0, ingested="2031-03-02 07:30")
+    got = wh.scd2_apply(stored, revisions(spark, [late])).orderBy("effective_from").collect()
+    assert [(r.source_event_id, r.effective_from.hour, r.last_seen_at.hour) for r in got] == [("r6", 6, 7), ("z", 7, 7), ("r8", 8, 11)]
+
+
+def test_a_revision_keeps_the_batch_that_brought_its_start(spark):  # U6
+    one, two = "2031-04-01 00:00:00", "2031-04-02 00:00:00"
+    stored = wh.merge_runs(None, revisions(spark, [U]), one)
+    rows = wh.scd2_apply(stored, revisions(spark, [U, V]), two).orderBy("effective_from").collect()
+    assert [str(r.created_at) for r in rows] == [one, two]
+
+
 U = forecast("u", temp=1.0, ingested="2031-03-01 07:00")
 V = forecast("v", temp=2.0, ingested="2031-03-02 07:00")
 W = forecast("w", temp=1.0, ingested="2031-03-05 07:00")
@@ -92,25 +117,17 @@ X = forecast("x", temp=9.0, ingested="2031-03-05 09:00")
 
 
 def test_late_row_between_two_sightings_of_one_value(spark):  # §7.4 last_seen_at
-    stored = wh.scd2_apply(None, revisions(spark, [U, W])).cache()
-    assert [r.last_seen_at for r in stored.collect()] == [W[11]]
+    stored = wh.merge_runs(None, revisions(spark, [U, W])).cache()
+    assert [r.last_seen_at for r in wh.chains(stored).collect()] == [W[11]]
     late = wh.scd2_apply(stored, revisions(spark, [V])).orderBy("effective_from").collect()
     assert [r.temperature_2m_c for r in late] == [1.0, 2.0, 1.0]
     assert [r.effective_to for r in late] == [V[11], W[11], None]
 
 
-def test_any_arrival_order_ends_in_the_same_current_row(spark):
-    for order in itertools.islice(itertools.permutations([U, V, W, X]), 1, 24, 6):
-        stored = None
-        for row in order:
-            stored = wh.scd2_apply(stored, revisions(spark, [row])).cache()
-        assert [r.source_event_id for r in stored.where("is_current").collect()] == ["x"]
-
-
 def test_building_the_plan_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("plan-only", "none expected")
-    wh.scd2_apply(wh.scd2_apply(None, revisions(spark, [U])), revisions(spark, [V, W]))
+    wh.scd2_apply(wh.merge_runs(None, revisions(spark, [U])), revisions(spark, [V, W]))
     assert list(tracker.getJobIdsForGroup("plan-only")) == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
