@@ -12,8 +12,8 @@ different ones stay different, and the text keeps its shape:
 * phone numbers and social security numbers: digits are permuted;
 * dates (valid days of 1900-01-01 to 2102-07-25, 272 * 272 days, as
   yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy): permuted as day numbers;
-* e-mail addresses: letters and digits of the local part are permuted, the
-  domain stays.
+* e-mail addresses (local part to 64 characters, 128 labels to 63 in the
+  domain): letters and digits of the local part are permuted, the domain stays.
 
 The network works on two halves: in each round the characters of one half
 are moved, digits among digits and letters among letters, by amounts hashed
@@ -46,7 +46,7 @@ EPOCH = "1900-01-01"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Kind and pattern; of several that match at a place the first counts.
 KINDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,126}\.[A-Za-z]{2,63}",
     "date": r"(?:19|20|21)\d\d-(?:0\d|1[0-2])-[0-3]\d|[0-3]\d([./])(?:0\d|1[0-2])\1(?:19|20|21)\d\d",
     "ipv4": rf"{_OCTET}(?:\.{_OCTET}){{3}}",
     "iban": r"[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
@@ -62,7 +62,7 @@ _BEFORE, _AFTER = r"(?<![A-Za-z0-9_+@.-])", r"(?![A-Za-z0-9_@]|[.-]\d)"
 #: them, and not within an e-mail address.
 _AREA = (
     r"(?:[+(]?\d[\d ().+/-]{5,}|[A-Z]{2}\d\d(?: [A-Z0-9]{4}){2}[A-Z0-9 ().+/-]*)(?<=[A-Z0-9])"
-    r"(?![A-Za-z0-9_@]|[.-]\d|[A-Za-z0-9._%+-]*@)"
+    r"(?![A-Za-z0-9_@]|[.-]\d|[A-Za-z0-9._%+-]{0,64}+@)"
 )
 PATTERN = _BEFORE + "(?:" + KINDS["email"] + _AFTER + "|" + r"[A-Z]{2}\d\d[A-Z0-9]{11,30}" + _AFTER + "|" + _AREA + ")"
 _FOURS = r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}"
@@ -88,8 +88,8 @@ _PART = 256
 _INNER = _BEFORE + "(?:" + "|".join(
     [KINDS["date"], KINDS["ssn"], KINDS["phone"], r"\d{13,19}", _FOURS.replace(r"\1", r"\2"), r"\d{4}([ -])\d{6}\3\d{4,5}"]
 ) + ")" + _AFTER
-#: What every find holds: an @ or a digit, another one within two characters.
-HINT = r"@|\d[ .()/-]{0,2}\d"
+#: What every find holds: an @, a number of six characters, or an IBAN's front.
+HINT = r"@|\d[\d ().+/-]{5}|[A-Z]{2}\d\d(?: ?[A-Z0-9]){8}"
 
 
 def _digest(key: str, kind: Column, round_: Column, half: Column) -> Column:

@@ -140,3 +140,12 @@ def test_long_area(spark):
     text = "12 " * 5_000 + "4111 1111 1111 1111 " + "7 " * 5_000
     (r,) = P.pseudonymise(frame(spark, [(1, text)]), "k").collect()
     assert "4111 1111 1111 1111" not in r["text"] and len(r["text"]) == len(text)
+
+
+def test_long_texts_without_an_end_in_sight(spark):
+    """No stack overflow, no scan that starts over at every character."""
+    texts = ["x@" + "a." * 10_000 + "com 12", "a%" * 100_000 + " 4111 1111 1111 1111", "1234567%" * 30_000 + "x@y.org",
+             "1" * 200_000 + "@", "a.b" * 50_000 + "@x.org", "x@" + "-" * 100_000 + ".org jo@ex.org"]
+    rows = {r["doc_id"]: r for r in P.pseudonymise(frame(spark, list(enumerate(texts))), "k").collect()}
+    assert all(len(rows[i]["text"]) == len(t) for i, t in enumerate(texts))
+    assert "4111 1111 1111 1111" not in rows[1]["text"] and "jo@ex.org" not in rows[5]["text"]
