@@ -24,12 +24,14 @@ from __future__ import annotations
 import heapq
 import itertools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +109,12 @@ def encoder(path: str) -> tiktoken.Encoding:
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: White space in a row that the fast encoder's pattern can't step back over;
+#: such a text goes through ``tokenizers`` itself.
+LONG_SPACE = 20_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+
+
 def _byte_chars() -> dict[int, int]:
     """Byte to code point as byte-level vocabularies write it: printable ones
     as themselves, the others from 256 on."""
@@ -127,6 +135,7 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = encoder(tokenizer)
+        plain = None
         special = encoding.special_tokens_set
         context = TaskContext.get()
         sequence = itertools.count((context.partitionId() if context else 0) << 40)
@@ -147,10 +156,17 @@ def pack_documents(
                     offset += pending[i][3]
             pending, held = [], 0
 
+        def encoded(t: str) -> np.ndarray:
+            nonlocal plain
+            if len(t) > LONG_SPACE and _LONG_SPACE.search(t):
+                plain = plain or tokenizers.Tokenizer.from_file(tokenizer)
+                return np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32)
+            return encoding.encode_to_numpy(t, allowed_special=special)
+
         def pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
             nonlocal held
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(encoding.encode_to_numpy(t or "", allowed_special=special), end).astype("<u4")
+                ids = np.append(encoded(t or ""), end).astype("<u4")
                 whole, rest = cut(len(ids), window, piece)
                 for i in range(whole):
                     yield row(doc, ids, i * window, window, next(sequence), 0)

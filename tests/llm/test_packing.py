@@ -75,3 +75,10 @@ def test_differencing_levels_and_counts_windows_up():
 
 def test_empty_table(spark):
     assert P.pack_documents(spark.createDataFrame([], SCHEMA), FILE).count() == 0
+
+
+def test_long_white_space(spark):
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 1_000_000, "x" + "\t \n" * 20_000 + "<|endoftext|> y"]
+    tok = Tokenizer.from_file(FILE)
+    got = {r["doc_id"]: r["doc_tokens"] for r in P.pack_documents(frame(spark, list(enumerate(texts))), FILE).collect()}
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
