@@ -13,8 +13,10 @@ ignored. Texts are scanned whole, where they are read, with no shuffle.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -69,30 +71,21 @@ class Notice:
         self.pattern = regex.compile(rf"(?b)(?<= )(?:{regex.escape(wording)}){{e<={self.errors}}}(?= )".encode())
 
     def find(self, plain: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, edits) in a normalised text, left to right."""
-        reach, places = len(self.wording) + self.errors + 2, []
+        """(start, end, edits) in a normalised text: the best match around
+        each place of a seed, so that a damaged copy beside a clean one is
+        found too. Finds may overlap."""
+        reach, places = len(self.wording) + self.errors + 2, set()
         for at, seed in self.seeds:
             i = plain.find(seed)
             while i >= 0:
-                places.append((max(0, i - at - self.errors - 1), i + reach - at))
+                places.add((max(0, i - at - self.errors - 1), i + reach - at))
                 i = plain.find(seed, i + 1)
-        out, done = [], 0
-        for a, b in _joined(places):
-            for m in self.pattern.finditer(plain, pos=max(a, done), endpos=min(b, len(plain))):
-                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                done = m.end()
-        return out
-
-
-def _joined(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping ranges as one."""
-    out: list[list[int]] = []
-    for a, b in sorted(places):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [tuple(x) for x in out]
+        out = set()
+        for a, b in places:
+            m = self.pattern.search(plain, pos=a, endpos=min(b, len(plain)))
+            if m:
+                out.add((m.start(), m.end(), sum(m.fuzzy_counts)))
+        return sorted(out)
 
 
 def base_places(plain: bytes) -> list[tuple[int, str]]:
@@ -111,20 +104,28 @@ def base_places(plain: bytes) -> list[tuple[int, str]]:
 def closest(found: list[tuple]) -> list[tuple]:
     """Of overlapping finds the one with fewest edits, then the longest, then
     the first by label; left to right."""
-    kept: list[tuple] = []
+    kept: list[tuple] = []  # by start; they don't overlap, so ends are in order too
     for f in sorted(found, key=lambda f: (f[3], f[1] - f[2], f[0].label, f[1])):
-        if all(f[2] <= k[1] or f[1] >= k[2] for k in kept):
-            kept.append(f)
-    return sorted(kept, key=lambda f: f[1])
-
-
-def char_of(text: bytes, plain: bytes, at: int, end: int) -> tuple[int, int]:
-    """Character range in ``text`` of the words at ``plain[at:end]``."""
-    first = plain.count(b" ", 0, at) - 1
-    last = first + plain[at:end].strip().count(b" ")
-    words = list(regex.finditer(rb"[^ ]+", text.translate(ALNUM)))
-    a, b = words[first].start(), words[last].end()
-    return len(text[:a].decode(errors="ignore")), len(text[:b].decode(errors="ignore"))
+        i = bisect.bisect_left(kept, f[1], key=lambda k: k[1])
+        if (i == 0 or kept[i - 1][2] <= f[1]) and (i == len(kept) or f[2] <= kept[i][1]):
+            kept.insert(i, f)
+    return kept
+
+
+def char_ranges(text: bytes, plain: bytes, places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Character ranges in ``text`` of the words at ``plain[a:b]`` of each
+    place; both texts are gone through once."""
+    if not places:
+        return []
+    words = [m.span() for m in regex.finditer(rb"[^ ]+", text.translate(ALNUM))]
+    blanks = np.flatnonzero(np.frombuffer(plain, np.uint8) == 32)
+    chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
+    out = []
+    for at, end in places:
+        first = int(np.searchsorted(blanks, at)) - 1
+        last = first + plain[at:end].strip().count(b" ")
+        out.append((int(chars[words[first][0]]), int(chars[words[last][1]])))
+    return out
 
 
 def judge(text: bytes | None, notices: list[Notice]) -> tuple:
@@ -137,10 +138,10 @@ def judge(text: bytes | None, notices: list[Notice]) -> tuple:
         for a, b, edits in notice.find(plain):
             found.append((notice, a, b, edits))
     found = closest(found)
-    spans = []
-    for notice, a, b, edits in found:
-        c, d = char_of(text, plain, a, b)
-        spans.append({"label": notice.label, "first_char": c, "last_char": d, "edits": edits})
+    spans = [
+        {"label": notice.label, "first_char": c, "last_char": d, "edits": edits}
+        for (notice, _, _, edits), (c, d) in zip(found, char_ranges(text, plain, [(a, b) for _, a, b, _ in found]))
+    ]
     base_labels = {label for _, label in base}
     labels = base_labels | {s["label"] for s in spans}
     if base:

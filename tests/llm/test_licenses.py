@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from revcast.llm import licenses as L
 
@@ -60,3 +62,49 @@ def test_notice_found_with_every_allowed_edit():
 
 def test_empty_table(spark):
     assert L.search(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def by_hand(wording, errors, text):
+    """Whole-word stretches within ``errors`` edits of the wording."""
+    words, out = text.split(), []
+    for i in range(len(words)):
+        for j in range(i + 1, min(len(words), i + 9) + 1):
+            a, row = " ".join(words[i:j]), list(range(len(wording) + 1))
+            for x in a:
+                new = [row[0] + 1]
+                for k, y in enumerate(wording):
+                    new.append(min(row[k] + (x != y), row[k + 1] + 1, new[k] + 1))
+                row = new
+            if row[-1] <= errors:
+                out.append((i, j, row[-1]))
+    return out
+
+
+def test_every_damaged_copy_is_found():
+    notice, rng = L.Notice("mozilla public license", "mpl"), random.Random(3)
+    for _ in range(300):
+        copies = []
+        for _ in range(rng.randrange(1, 4)):
+            c = list(notice.wording)
+            for _ in range(rng.randrange(0, 4)):
+                at = rng.randrange(len(c))
+                c[at : at + rng.randrange(2)] = rng.choice(["", "q", "z"])
+            copies.append(" ".join("".join(c).split()))
+        text = f" {rng.choice(['', 'and '])}" + rng.choice([" ", " and "]).join(copies) + " end "
+        plain = " " + " ".join(text.split()) + " "
+        found = L.closest([(notice, *f) for f in notice.find(plain.encode())])
+        want = L.closest([
+            (notice, sum(map(len, plain.split()[:i])) + i + 1, sum(map(len, plain.split()[:j])) + j, e)
+            for i, j, e in by_hand(notice.wording, notice.errors, plain)
+        ])
+        assert [f[3] for f in found] == [f[3] for f in want] and len(found) == len(want), (plain, found, want)
+
+
+def test_ten_thousand_notices_in_one_text():
+    text = "Mozila Public License and mozilla public license. Größe: all rights reserved!\n" * 5_000
+    start = time.monotonic()
+    spans = L.judge(text.encode(), [L.Notice(w, x) for w, x in L.NOTICES.items()])[-1]
+    assert time.monotonic() - start < 60
+    assert [s["label"] for s in spans[:3]] == ["mpl", "mpl", "all-rights-reserved"] and len(spans) == 15_000
+    assert [s["edits"] for s in spans[:3]] == [1, 0, 0]
+    assert text[spans[-1]["first_char"] : spans[-1]["last_char"]] == "all rights reserved"
