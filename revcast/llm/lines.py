@@ -52,21 +52,24 @@ def words_of(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), _WORDS), lambda w: w != "")
 
 
-def _two(words: Column) -> list[Column]:
-    """128 bits of a word sequence."""
-    return [F.xxhash64(words).alias("h1"), F.xxhash64(words, F.lit(7)).alias("h2")]
+def _two(joined: Column) -> list[Column]:
+    """128 bits of a word sequence, given as its words with a blank between."""
+    return [F.xxhash64(joined).alias("h1"), F.xxhash64(joined, F.lit(7)).alias("h2")]
 
 
-def _parts(words: Column) -> Column:
+def _parts(joined: Column, n: Column) -> Column:
     """Hashes of the halves by which near lines find each other: for pairs of
-    equal length and as the shorter one (n), and as the longer one (n - 1)."""
-    n = F.size(words)
+    equal length and as the shorter one (n), and as the longer one (n - 1).
+    Halves are cut out of the joined words, so nothing is copied word by word."""
+
+    def words(count: Column) -> Column:
+        return F.call_function("substring_index", joined, F.lit(" "), count)
 
     def post(length: Column) -> list[Column]:
         half = F.floor(length / 2).cast("int")
         return [
-            F.xxhash64(F.lit(0), length, F.slice(words, F.lit(1), half)),
-            F.xxhash64(F.lit(1), length, F.slice(words, n - (length - half) + 1, length - half)),
+            F.xxhash64(F.lit(0), length, words(half)),
+            F.xxhash64(F.lit(1), length, words(half - length)),
         ]
 
     return F.array(*post(n), *post(n - 1))
@@ -131,8 +134,9 @@ def found_lines(documents: DataFrame) -> DataFrame:
         "doc_id", "version", F.posexplode(F.split("text", BREAK)).alias("pos", "line")
     )
     line = line.withColumn("w", words_of(F.col("line"))).filter(F.size("w") >= EXACT_WORDS)
-    parts = F.when(F.size("w") >= NEAR_WORDS, _parts(F.col("w")))
-    lines = written(line.select("doc_id", "version", "pos", *_two(F.col("w")), parts.alias("parts")), "lines-hashed")
+    line = line.withColumns({"joined": F.array_join("w", " "), "n": F.size("w")})
+    parts = F.when(F.col("n") >= NEAR_WORDS, _parts(F.col("joined"), F.col("n")))
+    lines = written(line.select("doc_id", "version", "pos", *_two(F.col("joined")), parts.alias("parts")), "lines-hashed")
     place = ["doc_id", "version", "pos"]
     first = lines.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("copies"))
     first = written(first.select("h1", "h2", "first.*", "copies"), "lines-first")
