@@ -42,7 +42,7 @@ from .common import written
 EXACT_WORDS = 3
 NEAR_WORDS = 8
 #: Words whose keys are made from one sum of the words before them.
-CHUNK = 32
+CHUNK = 8
 
 BREAK = "\n"
 _WORDS = "[ \\t\\x0B\\f\\r]+"
