@@ -41,8 +41,6 @@ from .common import written
 
 EXACT_WORDS = 3
 NEAR_WORDS = 8
-#: Words whose keys are made from one sum of the words before them.
-CHUNK = 8
 
 BREAK = "\n"
 _WORDS = "[ \\t\\x0B\\f\\r]+"
@@ -97,24 +95,27 @@ def _left_out(words: Column) -> Column:
         return F.struct(here.alias("here"), back.alias("back"), plus(here, back).alias("step"))
 
     def chunked(x: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(x) - 1, F.lit(CHUNK))
-        chunks = F.transform(starts, lambda at: F.slice(x, at + 1, F.lit(CHUNK)))
-        return F.transform(chunks, lambda c: F.struct(c.alias("c"), total(c, lambda w: w["step"]).alias("sum")))
-
-    def of_chunk(chunk: Column, before: Column, k: Column) -> Column:
+        # words whose keys are made from one sum of the words before them: so
+        # many that the sums over chunks and inside them are fewest together
+        length = F.ceil(F.cbrt(2 * F.size(x))).cast("int")
+        starts = F.sequence(F.lit(0), F.size(x) - 1, length)
+        chunks = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice(x, at + 1, length).alias("c")))
+        return F.transform(chunks, lambda d: F.struct(d["at"], d["c"], total(d["c"], lambda w: w["step"]).alias("sum")))
+
+    def of_chunk(chunk: Column, before: Column, at: Column) -> Column:
         def one(w: Column, i: Column) -> Column:
             own = plus(plus(before, w["back"]), total(F.slice(chunk, F.lit(1), i), lambda v: v["step"]))
-            return F.struct((k * CHUNK + i).alias("place"), own["h1"].alias("h1"), own["h2"].alias("h2"))
+            return F.struct((at + i).alias("place"), own["h1"].alias("h1"), own["h2"].alias("h2"))
 
         return F.transform(chunk, one)
 
     def variants(chunks: Column, whole: Column, back: Column) -> Column:
         def before(c: Column, k: Column) -> Column:
             sums = F.aggregate(F.slice(chunks, F.lit(1), k), back, lambda s, d: plus(s, d["sum"]))
-            return F.struct(c["c"].alias("c"), sums.alias("before"), k.alias("k"))
+            return F.struct(c["c"].alias("c"), sums.alias("before"), c["at"].alias("at"))
 
         first = F.struct(F.lit(-1).alias("place"), whole["h1"].alias("h1"), whole["h2"].alias("h2"))
-        rest = F.transform(F.transform(chunks, before), lambda b: of_chunk(b["c"], b["before"], b["k"]))
+        rest = F.transform(F.transform(chunks, before), lambda b: of_chunk(b["c"], b["before"], b["at"]))
         return F.concat(F.array(first), F.flatten(rest))
 
     # one-element arrays name what is used often, so that it's made once
