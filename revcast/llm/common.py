@@ -47,6 +47,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        paths = {os.path.dirname(f) for f in df.inputFiles()}
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 # -- text blocks ------------------------------------------------------------
 
 #: Lower-cases A-Z, keeps 0-9, a-z and every byte of a non-ASCII character,

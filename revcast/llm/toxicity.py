@@ -37,14 +37,15 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, U64, blocks, prepare, texts, written
+from .common import ALNUM, U64, blocks, discard, prepare, texts, written
 from .grams import Grams
 
 ORDER = 6
@@ -115,9 +116,9 @@ def _shorter(gram, ordered) -> F.Column:
     return gram.bitwiseAND(F.pow(F.lit(256.0), ordered - 1).cast("long") - 1)
 
 
-def shared(counts: DataFrame) -> DataFrame:
-    """(gram, ordered, p): Kneser-Ney probability of every shorter gram, from
-    the number of different bytes that stand before it."""
+def shared(counts: DataFrame) -> list[DataFrame]:
+    """(gram, p) by length, from one byte on: Kneser-Ney probability of every
+    shorter gram, from the number of different bytes that stand before it."""
     kinds = counts.select("gram", "ordered")
     by_order = []
     for n in range(ORDER - 1, 0, -1):
@@ -147,17 +148,18 @@ def shared(counts: DataFrame) -> DataFrame:
             ((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("different") * rest) / F.col("total")).alias("p"),
         )
         p = written(p, "toxicity-shared")
-        out.append(p.withColumn("ordered", F.lit(n)))
-    whole = out[0]
-    for other in out[1:]:
-        whole = whole.unionByName(other)
-    return whole
+        out.append(p)
+    return out
 
 
-def evidence(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def evidence(counts: DataFrame, endings: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """((gram, evidence, weight), (context, evidence, weight)): difference of
-    the log-probabilities of a gram seen, and of any other gram of a context."""
-    ending = shared(counts).select(F.col("gram").alias("ending"), (F.col("ordered") + 1).alias("ordered"), "p")
+    the log-probabilities of a gram seen, and of any other gram of a context.
+    ``endings`` are ``shared``, where the caller has them."""
+    ending = None
+    for n, grams in enumerate(endings or shared(counts), 2):
+        grams = grams.select(F.col("gram").alias("ending"), F.lit(n).alias("ordered"), "p")
+        ending = grams if ending is None else ending.unionByName(grams)
     grams = counts.withColumn("context", _context(F.col("gram")))
     context = grams.groupBy("context", "ordered").agg(
         *(f(c).alias(f"{name}_{c}") for c in ("toxic", "plain") for name, f in (("n", F.sum), ("kinds", lambda c: F.count_if(F.col(c) > 0))))
@@ -208,18 +210,26 @@ class Model:
 
 
 def model_of(counts: DataFrame) -> Model:
-    seen, other = evidence(counts)
+    endings = shared(counts)
+    seen, other = evidence(counts, endings)
     seen = written(seen.select("gram", "evidence"), "toxicity-seen")
     other = written(other.select("gram", "evidence"), "toxicity-contexts")
-    few = seen.count() + other.count() <= HELD_MODEL
-    return Model(seen, other, (_sorted(seen), _sorted(other)) if few else None)
+    discard(*endings)
+    if seen.count() + other.count() > HELD_MODEL:
+        return Model(seen, other, None)
+    held = _sorted(seen), _sorted(other)
+    discard(seen, other)
+    return Model(seen, other, held)
 
 
 def _sorted(rows: DataFrame) -> Table:
     found = rows.toArrow()
     code, value = found["gram"].to_numpy().view(U64), found["evidence"].to_numpy()
     order = np.argsort(code)
-    return code[order], value[order]
+    code, value = code[order], value[order]
+    del found
+    pa.default_memory_pool().release_unused()
+    return code, value
 
 
 def _look(table: Table, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,40 +369,60 @@ def _joined(rows: DataFrame, model: Model) -> DataFrame:
     return out.select("row", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("n", "mean", "strong")))
 
 
+@contextmanager
+def _bloom(spark: SparkSession) -> Iterator[None]:
+    """Filters of 4 MB before shuffles, whatever the sides' sizes; the settings
+    are put back. Beyond some four million keys they let more rows through."""
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1t", "numBits": str(1 << 25), "expectedNumItems": "4000000"}
+    wanted = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def learn(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> Model | None:
     """A model from the labelled documents; None if a class is missing."""
     spark = documents.sparkSession
     prepare(spark)
-    # documents without a label are sifted out before they are shuffled
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1")
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).dropna()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(FIT_PART))
     kept = known.filter(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve")), "doc_id").limit(FIT_ROWS)
     kept = written(kept, "toxicity-kept")
-    # few long counting tasks: a gram is passed on once for each (memory is
-    # bounded by HELD, however long a task is)
-    tasks = 2 * spark.sparkContext.defaultParallelism
-    rest = known.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_anti")
-    counted = rows.join(rest, "doc_id").select("text", "toxic").coalesce(tasks)
-    counts = written(count(counted), "toxicity-counts")
+    rest = written(known.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_anti"), "toxicity-rest")
+    # documents without a label are sifted out before they are shuffled
+    with _bloom(spark):
+        counted = rows.join(rest.filter(F.col("toxic").isin(0, 1)), "doc_id").select("text", "toxic")
+        counts = written(count(counted), "toxicity-counts")
+    discard(rest)
     sample = rows.filter(part == 0).join(F.broadcast(kept), "doc_id").select("text", "toxic")
-    own = written(count(sample.coalesce(tasks)), "toxicity-counts")
+    own = written(count(sample), "toxicity-counts")
     totals = counts.agg(F.sum("toxic"), F.sum("plain")).first()
     if not totals[0] or not totals[1]:
         return None
     # the curve is fitted by the evidence of the other documents
-    found = featured(sample.select(F.struct("toxic").alias("row"), "text"), model_of(counts))
+    others = model_of(counts)
+    found = featured(sample.select(F.struct("toxic").alias("row"), "text"), others)
     found = found.select("row.toxic", "n", "mean", "strong").toArrow()
+    if others.held is None:
+        discard(others.seen, others.other)
+    del others
     y = found["toxic"].to_numpy()
     if not len(y) or not 0 < y.mean() < 1:
         return None
     whole = counts.unionByName(own).groupBy("gram", "ordered").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
-    model = model_of(written(whole, "toxicity-counts"))
+    whole = written(whole, "toxicity-counts")
+    discard(counts, own)
+    model = model_of(whole)
+    discard(whole)
     model.curve = fit(curve_of(np.column_stack([found[c].to_numpy() for c in ("n", "mean", "strong")])), y)
     return model
 
