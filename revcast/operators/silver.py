@@ -64,8 +64,9 @@ def split_valid(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE_
     return good, bad
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Top-1 row per key by ``order`` (greatest wins).
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str], summed: tuple[str, ...] = ()) -> DataFrame:
+    """Top-1 row per key by ``order`` (greatest wins); ``summed`` columns are
+    added up over all rows of the key.
 
     A ``max_by`` aggregate instead of a ranking window: it reduces each task's
     rows of a key to one before the shuffle, so a key delivered millions of
@@ -73,11 +74,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     sorts for it on both sides; a ranking window with its group limit sorts
     twice as well and was no faster on 3.3 million rows.
     """
-    rest = [c for c in df.columns if c not in keys]
+    own = {*keys, *summed}
+    rest = [c for c in df.columns if c not in own]
     picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_top")
+        F.max_by(F.struct(*rest), F.struct(*order)).alias("_top"), *[F.sum(c).alias(c) for c in summed]
     )
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_top.{c}") for c in df.columns])
+    return picked.select(*[F.col(c) if c in own else F.col(f"_top.{c}") for c in df.columns])
 
 
 # Latest sighting wins; coordinates break ties between sightings that
@@ -85,9 +87,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 DEDUP_ORDER = ["ingested_at", "latitude", "longitude"]
 
 
-def dedup(good: DataFrame) -> DataFrame:
+def dedup(good: DataFrame, summed: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``event_id``, the last one ingested."""
-    return latest_per_key(good, ["event_id"], DEDUP_ORDER)
+    return latest_per_key(good, ["event_id"], DEDUP_ORDER, summed)
 
 
 def silver(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE_C) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -148,21 +148,29 @@ def _publish(tx: st.Transaction, table: str, run: str, date_col: str, whole: lis
 # --- silver ------------------------------------------------------------------------
 
 
-def merge_silver(spark: SparkSession, good: DataFrame, kind: str, lay: Layout, deltas: bool = False, tx=None) -> list:
+def merge_silver(
+    spark: SparkSession, good: DataFrame, kind: str, lay: Layout, deltas: bool = False, tx=None,
+    counts: Observation | None = None,
+) -> list:
     """W1 against the stored rows of the touched dates; returns the dates. An
-    event's id fixes its target date, so its copies always meet there."""
+    event's id fixes its target date, so its copies always meet there.
+
+    ``counts`` gets the rows of ``good`` and their distinct ids from the write
+    (nothing, if no date is touched)."""
     dates = st.touched_dates(good, DATE[kind])
     if not dates:
         return dates
     with st.transaction(spark, lay.root, tx) as t:
         table, schema = lay.silver(kind), schemas.SILVER[kind]
         whole, append = _split(t, table, dates, deltas)
-        merged = good.select(*schema.names)
+        # each row of the batch counts one, a stored one none
+        merged = good.select(*schema.names, F.lit(1).alias("_new"))
         for part, keys in ((whole, None), (append, ["event_id"])):
             stored = read_silver(spark, lay, kind, part, t) if part else None
             stored = _of_keys(stored, good, keys) if keys else stored
-            merged = merged if stored is None else stored.unionByName(merged)
-        run = t.stage(sv.dedup(merged), table, schema, DATE[kind], [TARGET[kind], "city"])
+            merged = merged if stored is None else stored.withColumn("_new", F.lit(0)).unionByName(merged)
+        observed = counts and (counts, {"valid": F.sum("_new"), "ids": F.count_if(F.col("_new") > 0)})
+        run = t.stage(sv.dedup(merged, ("_new",)), table, schema, DATE[kind], [TARGET[kind], "city"], observed)
         _publish(t, table, run, DATE[kind], whole, append)
     return dates
 
@@ -179,7 +187,9 @@ def run_silver(
     tx=None,
 ) -> tuple[DataFrame, list, DataFrame]:
     """Returns the batch's valid rows (before W1), the target dates it
-    touched and the persisted frame behind them (the caller unpersists)."""
+    touched and the persisted frame behind them (the caller unpersists).
+
+    The counts (K4) are observed by the silver and quarantine writes."""
     configure(spark)
     if flagged is None:
         flagged = _flagged(events, kind, temperature_range)
@@ -188,14 +198,19 @@ def run_silver(
         good = good.drop(schemas.CORRUPT)
     bad = flagged.where(~F.col("_valid")).drop("_valid")
 
-    dates = merge_silver(spark, good, kind, lay, tx=tx)
+    kept, refused = Observation(), Observation()
+    dates = merge_silver(spark, good, kind, lay, tx=tx, counts=kept)
+    bad = bad.observe(refused, F.count(F.lit(1)).alias("invalid"))
     st.write_quarantine(bad, lay.quarantine, kind, process_date, batch)
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("input_count"),
-        F.count(F.when(F.col("_valid"), 1)).alias("valid_count"),
-        F.count(F.when(~F.col("_valid"), 1)).alias("invalid_count"),
-        F.count_distinct(F.when(F.col("_valid"), F.col("event_id"))).alias("deduplicated_count"),
-    )
+    found = kept.get if dates else {"valid": 0, "ids": 0}
+    invalid = refused.get["invalid"]
+    counts = {
+        "input_count": found["valid"] + invalid,
+        "valid_count": found["valid"],
+        "invalid_count": invalid,
+        "deduplicated_count": found["ids"],
+    }
+    counts = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
     st.write_metrics(counts, lay.metrics, kind, process_date, batch)
     return good, dates, flagged
 

@@ -235,3 +235,17 @@ def test_dimensions_get_a_new_version_only_for_new_names(spark):  # J9, U6
     assert {r.city_name: str(r.created_at)[:10] for r in jobs.read_dim_city(spark, lay).collect()} == {"Oslo": "2031-03-02", "Quito": "2031-03-04"}
     assert jobs.read_dim_city(spark, lay).schema.names == schemas.DIM_CITY.names
     assert jobs.read_fact_forecast(spark, lay).where(F.col("created_at").isNull()).count() == 0
+
+
+def test_counts_are_those_of_the_batch_alone(spark):  # K4, A8
+    lay = jobs.new_layout(spark, "t-observe")
+    silver(spark, lay, [forecast("a"), forecast("b")], "day", "1")
+    # a stored id sent again twice, a new one on another date, a refused row
+    again = forecast("a", ingested="2031-03-03 09:00")
+    silver(spark, lay, [again, again, forecast("c", target="2031-03-04 00:00"), forecast("d", temp=None)], "day", "2")
+    silver(spark, lay, [forecast("e", temp=None)], "day", "3")  # touches no date
+    silver(spark, lay, [], "day", "4")
+    rows = st.read_metrics(spark, lay.metrics, schemas.METRICS).collect()
+    got = {r.batch: (r.input_count, r.valid_count, r.invalid_count, r.deduplicated_count) for r in rows}
+    assert got == {"1": (2, 2, 0, 2), "2": (4, 3, 1, 2), "3": (1, 0, 1, 0), "4": (0, 0, 0, 0)}
+    assert "_new" not in jobs.read_silver(spark, lay, "forecast").columns
