@@ -321,6 +321,20 @@ def run_warehouse(
             merge_observations(spark, lay, stg_o, observation_dates, batch_ts, tx=t)
 
 
+def load_warehouse(
+    spark: SparkSession, lay: Layout, forecast_dates: list, observation_dates: list, batch_ts=None, tx=None
+) -> None:
+    """The load of staged dates as a step of its own, from the silver
+    rows stored for them. Loading dates again changes nothing; dates without
+    silver have nothing to load. Silver keeps one row for each event, so
+    ``run_batch``, which has the batch at hand, merges from that instead."""
+    with st.transaction(spark, lay.root, tx) as t:
+        dates = {"forecast": forecast_dates, "observation": observation_dates}
+        staged = {kind: stage_from_silver(spark, lay, kind, dates[kind], t) for kind in dates}
+        staged = {k: spark.createDataFrame([], schemas.SILVER[k]) if rows is None else rows for k, rows in staged.items()}
+        run_warehouse(spark, lay, staged["forecast"], staged["observation"], forecast_dates, observation_dates, batch_ts, t)
+
+
 # --- gold --------------------------------------------------------------------------------
 
 

@@ -456,7 +456,7 @@ FROM points WHERE NOT (event_ts >= issued_at)""",
 }
 
 ORACLE["silver_incremental_two_days"] = W(*SILVER_F) + "\nSELECT * FROM fc_silver"
-ORACLE["warehouse_incremental"] = ORACLE["scd2_revisions"]
+ORACLE["warehouse_incremental"] = ORACLE["warehouse_from_silver"] = ORACLE["scd2_revisions"]
 ORACLE["warehouse_observation_incremental"] = ORACLE["observation_upsert"]
 ORACLE["gold_incremental"] = ORACLE["gold_accuracy_rows"]
 

@@ -249,3 +249,13 @@ def test_counts_are_those_of_the_batch_alone(spark):  # K4, A8
     got = {r.batch: (r.input_count, r.valid_count, r.invalid_count, r.deduplicated_count) for r in rows}
     assert got == {"1": (2, 2, 0, 2), "2": (4, 3, 1, 2), "3": (1, 0, 1, 0), "4": (0, 0, 0, 0)}
     assert "_new" not in jobs.read_silver(spark, lay, "forecast").columns
+
+
+def test_staged_dates_load_on_their_own(spark):  # S7, P26
+    lay = jobs.new_layout(spark, "t-load")
+    jobs.load_warehouse(spark, lay, [DAY3], [DAY3])  # no silver yet
+    dates = silver(spark, lay, [forecast("a"), forecast("far", target="2031-03-04 00:00")])
+    for loaded, want in (([DAY4], {"far"}), (dates, {"a", "far"}), (dates, {"a", "far"})):
+        jobs.load_warehouse(spark, lay, loaded, [])
+        rows = jobs.read_fact_forecast(spark, lay).collect()
+        assert sorted(r.source_event_id for r in rows) == sorted(want)
