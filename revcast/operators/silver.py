@@ -87,9 +87,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], summed: tup
 DEDUP_ORDER = ["ingested_at", "latitude", "longitude"]
 
 
-def dedup(good: DataFrame, summed: tuple[str, ...] = ()) -> DataFrame:
+#: How many rows of the running batch a row stands for; W1 adds them up.
+BATCH_ROWS = "_batch_rows"
+
+
+def dedup(good: DataFrame) -> DataFrame:
     """One row per ``event_id``, the last one ingested."""
-    return latest_per_key(good, ["event_id"], DEDUP_ORDER, summed)
+    return latest_per_key(good, ["event_id"], DEDUP_ORDER, tuple(c for c in good.columns if c == BATCH_ROWS))
 
 
 def silver(df: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE_C) -> DataFrame:

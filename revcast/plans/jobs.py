@@ -164,13 +164,13 @@ def merge_silver(
         table, schema = lay.silver(kind), schemas.SILVER[kind]
         whole, append = _split(t, table, dates, deltas)
         # each row of the batch counts one, a stored one none
-        merged = good.select(*schema.names, F.lit(1).alias("_new"))
+        merged = good.select(*schema.names, F.lit(1).alias(sv.BATCH_ROWS))
         for part, keys in ((whole, None), (append, ["event_id"])):
             stored = read_silver(spark, lay, kind, part, t) if part else None
             stored = _of_keys(stored, good, keys) if keys else stored
-            merged = merged if stored is None else stored.withColumn("_new", F.lit(0)).unionByName(merged)
-        observed = counts and (counts, {"valid": F.sum("_new"), "ids": F.count_if(F.col("_new") > 0)})
-        run = t.stage(sv.dedup(merged, ("_new",)), table, schema, DATE[kind], [TARGET[kind], "city"], observed)
+            merged = merged if stored is None else stored.withColumn(sv.BATCH_ROWS, F.lit(0)).unionByName(merged)
+        observed = counts and (counts, {"valid": F.sum(sv.BATCH_ROWS), "ids": F.count_if(F.col(sv.BATCH_ROWS) > 0)})
+        run = t.stage(sv.dedup(merged), table, schema, DATE[kind], [TARGET[kind], "city"], observed)
         _publish(t, table, run, DATE[kind], whole, append)
     return dates
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revcast import schemas
+from revcast.operators import silver as sv
 from revcast.operators import warehouse as wh
 from revcast.plans import jobs
 from revcast.plans import storage as st
@@ -248,7 +249,7 @@ def test_counts_are_those_of_the_batch_alone(spark):  # K4, A8
     rows = st.read_metrics(spark, lay.metrics, schemas.METRICS).collect()
     got = {r.batch: (r.input_count, r.valid_count, r.invalid_count, r.deduplicated_count) for r in rows}
     assert got == {"1": (2, 2, 0, 2), "2": (4, 3, 1, 2), "3": (1, 0, 1, 0), "4": (0, 0, 0, 0)}
-    assert "_new" not in jobs.read_silver(spark, lay, "forecast").columns
+    assert sv.BATCH_ROWS not in jobs.read_silver(spark, lay, "forecast").columns
 
 
 def test_staged_dates_load_on_their_own(spark):  # S7, P26
