@@ -18,8 +18,8 @@ no partner can reach. Collisions are then counted in two steps:
 Every link is confirmed on the full sets: 100 * intersection >= 75 * union.
 At exactly that similarity a pair has at least ``MATCHES`` of 64 equal
 coordinates but for 2 in a million pairs, and passes the second signature
-(768 coordinates of 4 bits) but for 4 in a million (and the part of it that is looked at first but for one
-in a hundred million); above it, fewer.
+(768 coordinates of 4 bits) but for 4 in a million, and the 192 of them that
+are looked at first but for far fewer; above it, fewer.
 
 Defined results: null and wordless texts have an empty set and are linked
 with nothing; one to four words are one shingle; rows without id are linked
