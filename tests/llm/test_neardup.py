@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from revcast.llm import neardup as N
 
 from .fixtures import AWKWARD, SCHEMA, collected, frame, prose
@@ -73,6 +75,24 @@ def test_against_brute_force(spark):
     assert collected(N.cluster(frame(spark, docs).repartition(5)), *COLUMNS) == brute(docs)
 
 
+def test_lists_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    docs = documents()
+    assert collected(N.cluster(frame(spark, docs).repartition(5)), *COLUMNS) == brute(docs)
+
+
+def test_early_look_passes_what_the_second_signature_passes():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        items = rng.integers(0, 2**63, 700).astype(np.uint64)
+        # 600 of 800 in common: exactly at the threshold
+        a, b = np.sort(items[:700]), np.sort(np.concatenate((items[:600], rng.integers(0, 2**63, 100).astype(np.uint64))))
+        fine = N._packed(N.mix(N.signatures([a, b], N.FINE, 52)))
+        words = N.EARLY // 16
+        assert N._equal_values(fine[0], fine[1:])[0] >= N.FINE_MATCHES
+        assert N._equal_values(fine[0, :words], fine[1:, :words])[0] >= N.EARLY_MATCHES
+
+
 def test_large_group_of_near_copies(spark):
     rng = random.Random(22)
     base = prose(rng, 120).split()
