@@ -233,13 +233,19 @@ def merge_runs(stored: DataFrame | None, incoming: DataFrame, batch_ts=None) ->
     return sighting_runs(new if stored is None else sightings_of_runs(stored).unionByName(new))
 
 
+#: What the stitching of slices has to know of a slice's first and last run.
+EDGE = ("record_hash", "effective_from", "until")
+
+
 def chains(runs: DataFrame) -> DataFrame:
     """Revision chain per natural key from the run list.
 
-    Slices carry their runs and are stitched in one pass over each key, last
-    slice first: a slice whose first run goes on with the value before it
-    starts no revision there, and a run's revision ends at the next start,
-    wherever it lies. One shuffle and one sort by key."""
+    Slices are stitched in one pass over each key, last slice first: a slice
+    whose first run goes on with the value before it starts no revision there,
+    and a run's revision ends at the next start, wherever it lies. The pass
+    sees a slice's two edges, one narrow row however many runs it has; the runs
+    are joined to what it found by (key, slice), so that a key's runs never
+    meet in one task."""
     first_run, last_run = F.get("_r", F.lit(0)), F.element_at("_r", -1)
     compact = runs.select(
         *FKEY, "slice",
@@ -255,19 +261,26 @@ def chains(runs: DataFrame) -> DataFrame:
         ).alias("_r"),
     )
     back = Window.partitionBy(*FKEY).orderBy(F.desc("slice"))
-    opens = F.coalesce(F.col("_before.record_hash") != first_run["record_hash"], F.lit(True))
+    opens = F.coalesce(F.col("_before.record_hash") != F.col("_first.record_hash"), F.lit(True))
     # the first start of a slice and the last sighting in front of it
-    inner = F.get("_r", F.lit(1))
-    start = F.when(F.col("_opens"), F.struct(first_run["effective_from"].alias("at"), F.col("_before.until").alias("prior"))).when(
-        inner.isNotNull(), F.struct(inner["effective_from"].alias("at"), first_run["until"].alias("prior"))
+    start = F.when(F.col("_opens"), F.struct(F.col("_first.effective_from").alias("at"), F.col("_before.until").alias("prior"))).when(
+        F.col("_inner").isNotNull(), F.struct(F.col("_inner").alias("at"), F.col("_first.until").alias("prior"))
     )
-    stitched = (
-        compact.withColumn("_before", F.lead(last_run).over(back))
+    edges = compact.select(
+        *FKEY, "slice",
+        *[F.struct(*[r[c].alias(c) for c in EDGE]).alias(n) for n, r in (("_first", first_run), ("_last", last_run))],
+        F.get("_r", F.lit(1))["effective_from"].alias("_inner"),
+    )
+    around = (
+        edges.withColumn("_before", F.lead("_last").over(back))
         .withColumn("_opens", opens)
         .withColumn("_start", start)
         .withColumn("_after", F.min("_start").over(back.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_end", F.first(last_run["until"]).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_end", F.first(F.col("_last.until")).over(back.rowsBetween(Window.unboundedPreceding, 0)))
+        .select(*[F.col(k).alias(f"_{k}") for k in (*FKEY, "slice")], "_opens", "_after", "_end")
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*FKEY, "slice")]
+    stitched = compact.join(around, same)
 
     def revision(r: Column, i: Column) -> Column:
         follows = F.get("_r", i + 1)

@@ -94,6 +94,24 @@ def test_any_order_of_deliveries_gives_the_chain_of_all_at_once(spark, seed):  #
     assert built(spark, wh.chains(stored)) == by_rule(rows)
 
 
+def test_the_pass_over_a_key_sees_no_runs(spark):  # a hot key's runs never meet in one task
+    rows = [forecast(f"e{h}", source=s, temp=float(h % 3), ingested=f"2031-03-{1 + h // 24:02d} {h % 24:02d}:00")
+            for h in range(0, 24 * 5, 5) for s in ("north", None)]
+    fact = wh.scd2_apply(None, revisions(spark, rows))
+    nodes, found = [fact._jdf.queryExecution().optimizedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "Window":
+            found += 1
+            assert "array<" not in node.schema().catalogString()
+    assert found
+    # slices of a key that is null in part are stitched too
+    one = built(spark, fact.where("source_key is null"))
+    assert one == built(spark, fact.where("source_key is not null")) and len(one) == 24
+
+
 def test_a_late_row_splits_a_run_of_many_repeats(spark):  # what first and last sighting alone can't tell
     same = [forecast(f"r{h}", temp=1.0, ingested=f"2031-03-02 {h:02d}:00") for h in range(6, 12)]
     stored = wh.merge_runs(None, revisions(spark, same))
