@@ -7,6 +7,8 @@ it scales with ``events`` and keeps Parquet column pruning: only the six
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,16 @@ def _events_with_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _worked_out(df: DataFrame, columns: list[str], **derived: Column) -> DataFrame:
+    """``columns`` of ``df`` and the derived ones, each worked out once a row:
+    predicates on a generated column stay behind it, where an alias would be
+    put into every rule and filter that names it. Those on the other columns
+    go on to the files. (``outer``: for the plain form Spark filters by the
+    size of the array first, which works it out once more.)"""
+    once = F.array(F.struct(*[c.alias(n) for n, c in derived.items()]))
+    return df.select(*columns, once.alias("_once")).select(*columns, F.inline_outer("_once"))
+
+
 def forecast_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed forecast events (every row, valid or not)."""
     base = _events_with_city(spark, sf_dir).where(F.col("_kind") != OBSERVATION_TYPE)
@@ -67,18 +79,20 @@ def forecast_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((F.col("_n") % LEAD_STEPS) * LEAD_STEP_HOURS)
         .cast("int")
     )
-    return base.select(
+    kept = ["event_id", "_kind", "city", "latitude", "longitude", "temperature_2m_c", "wind_speed_10m_kmh", "ingested_at"]
+    rows = _worked_out(base, kept, k=F.col("_k"), issued_at=issued, forecast_timestamp=add_hours(issued, lead))
+    return rows.select(
         "event_id",
         F.lit("forecast").alias("event_type"),
         F.col("_kind").alias("source"),
         "city",
         "latitude",
         "longitude",
-        issued.alias("issued_at"),
-        add_hours(issued, lead).alias("forecast_timestamp"),
+        "issued_at",
+        "forecast_timestamp",
         "temperature_2m_c",
-        F.when(F.col("_k") == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("_k"))
+        F.when(F.col("k") == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("k"))
         .alias("precipitation_probability_pct"),
         "wind_speed_10m_kmh",
         "ingested_at",
@@ -88,16 +102,18 @@ def forecast_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed observation events (every row, valid or not)."""
     base = _events_with_city(spark, sf_dir).where(F.col("_kind") == OBSERVATION_TYPE)
-    return base.select(
+    kept = ["event_id", "city", "latitude", "longitude", "temperature_2m_c", "wind_speed_10m_kmh", "ingested_at"]
+    rows = _worked_out(base, kept, k=F.col("_k"), observation_timestamp=floor_hours("ts", OBSERVATION_GRID_HOURS))
+    return rows.select(
         "event_id",
         F.lit("observation").alias("event_type"),
         F.lit(OBSERVATION_TYPE).alias("source"),
         "city",
         "latitude",
         "longitude",
-        floor_hours("ts", OBSERVATION_GRID_HOURS).alias("observation_timestamp"),
+        "observation_timestamp",
         "temperature_2m_c",
-        (F.col("_k") / 10).alias("precipitation_mm"),
+        (F.col("k") / 10).alias("precipitation_mm"),
         "wind_speed_10m_kmh",
         "ingested_at",
     )
@@ -135,20 +151,28 @@ def stream_records(events: DataFrame, columns: list[str]) -> DataFrame:
     n = F.col("event_id").cast("bigint")
 
     def every(k: int) -> Column:
-        return n % k == 0
-
-    text = F.to_json(F.struct(*columns), JSON_OPTIONS)
-    text = F.when(every(UNKNOWN_TYPE_EVERY), F.regexp_replace(text, '"event_type":"[a-z]+"', '"event_type":"radar"')).otherwise(text)
-    text = F.when(every(BAD_TIME_EVERY), F.regexp_replace(text, '"ingested_at":"[^"]+"', '"ingested_at":"soon"')).otherwise(text)
-    text = F.when(every(MISTYPED_EVERY), F.regexp_replace(text, '"temperature_2m_c":[^,}]+', '"temperature_2m_c":"mild"')).otherwise(text)
-    text = F.when(every(UNDECLARED_KEY_EVERY), F.regexp_replace(text, "}$", ',"sensor":"s1"}')).otherwise(text)
-    text = F.when(every(LEADING_BLANK_EVERY), F.concat(F.lit("  "), text)).otherwise(text)
-    good = F.base64(text.cast("binary"))
-    value = (
-        F.when(every(BAD_BASE64_EVERY), F.concat(F.lit("!"), good))
-        .when(every(BAD_JSON_EVERY), F.base64(F.substring(text, 1, BAD_JSON_PREFIX).cast("binary")))
-        .otherwise(good)
-    )
+        return F.coalesce(n % k == 0, F.lit(False))
+
+    def step(values: Column, change: Callable[[Column], Column]) -> Column:
+        # a lambda's argument is worked out once, however often it is used;
+        # an expression used twice in each of a row of steps doubles with each
+        return F.transform(values, change)
+
+    def damaged(values: Column, k: int, pattern: str, by: str) -> Column:
+        return step(values, lambda x: F.when(every(k), F.regexp_replace(x, pattern, by)).otherwise(x))
+
+    text = F.array(F.to_json(F.struct(*columns), JSON_OPTIONS))
+    text = damaged(text, UNKNOWN_TYPE_EVERY, '"event_type":"[a-z]+"', '"event_type":"radar"')
+    text = damaged(text, BAD_TIME_EVERY, '"ingested_at":"[^"]+"', '"ingested_at":"soon"')
+    text = damaged(text, MISTYPED_EVERY, '"temperature_2m_c":[^,}]+', '"temperature_2m_c":"mild"')
+    text = damaged(text, UNDECLARED_KEY_EVERY, "}$", ',"sensor":"s1"}')
+    text = step(text, lambda x: F.when(every(LEADING_BLANK_EVERY), F.concat(F.lit("  "), x)).otherwise(x))
+
+    def sent(x: Column) -> Column:
+        cut = F.when(every(BAD_JSON_EVERY) & ~every(BAD_BASE64_EVERY), F.substring(x, 1, BAD_JSON_PREFIX)).otherwise(x)
+        return F.concat(F.when(every(BAD_BASE64_EVERY), F.lit("!")).otherwise(F.lit("")), F.base64(cut.cast("binary")))
+
+    value = F.get(step(text, sent), F.lit(0))
     return events.select(
         F.col("event_id").alias("record_id"),
         F.col("city").alias("key"),

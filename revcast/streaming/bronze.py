@@ -43,8 +43,11 @@ def _land(bronze_root: str, dead_letter_root: str, stream: str):
                 (bronze_rows(decoded), bronze_root, PARTITIONS, "text"),
                 (dead_letter(decoded), dead_letter_root, ["batch"], "json"),
             ):
+                # the rows of a folder meet before they are written: few files,
+                # however many tasks read the batch; a large folder gets several
                 (
                     rows.select("*", tag)
+                    .hint("rebalance", *by)
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .partitionBy(*by)

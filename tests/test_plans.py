@@ -23,6 +23,12 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan
 
 
+@pytest.mark.parametrize("kind", ["forecast", "observation"])
+def test_what_rules_look_at_is_worked_out_once(spark, kind):
+    plan = I.valid(spark, SF_SMALL, kind)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") == 1
+
+
 def test_dimension_rows_meet_in_a_hash_aggregate(spark):  # U3
     plan = _final(entry.queries()["dim_city"](spark, SF_SMALL))
     # the only sorting aggregate sees one row per city and position

@@ -11,6 +11,7 @@ from revcast.operators import warehouse as wh
 from revcast.plans import jobs
 from revcast.plans import storage as st
 from revcast.session import scratch_path
+from revcast.sources import fixtures
 from revcast.streaming import bronze, merge
 
 from .helpers import forecast, forecasts
@@ -50,6 +51,30 @@ def test_a_replayed_batch_replaces_itself(spark):  # R3s
     assert bronze.read_dead_letter(spark, f"{root}/dead").count() == 3
 
 
+def test_the_rows_of_a_folder_meet_in_one_file(spark):  # R9: not one for each task
+    root = scratch_path(spark, "t-files")
+    rows = [record(1 + n % 2, event_id=f"e{n}") for n in range(40)] + [("9", "Quito", "??")] * 40
+    bronze._land(f"{root}/bronze", f"{root}/dead", "s")(spark.createDataFrame(rows, schemas.STREAM_RECORD).repartition(5), 0)
+    landed, dead = bronze.read_bronze_text(spark, f"{root}/bronze"), bronze.read_dead_letter(spark, f"{root}/dead")
+    assert landed.count() == dead.count() == 40
+    assert len(landed.inputFiles()) == 2 and len(dead.inputFiles()) == 1
+
+
+def test_the_text_of_a_record_is_rendered_once(spark):
+    rows = forecasts(spark, [forecast(str(n)) for n in (1, 5, 7, 101, 103, 107, 109, 113, 5 * 7 * 103, 101 * 103, 5 * 7 * 107)])
+    sent = fixtures.stream_records(rows, schemas.FORECAST_COLUMNS)
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 1
+    got = {r.record_id: r.value for r in sent.collect()}
+    text = {k: base64.b64decode(v).decode() for k, v in got.items() if not v.startswith("!")}
+    assert set(got) - set(text) == {"101", str(101 * 103)}
+    assert text["103"] == text["1"][:20].replace('"1"', '"103"')[:20] and text[str(5 * 7 * 103)][:3] == "  {" and len(text[str(5 * 7 * 103)]) == 20
+    whole = {k: json.loads(v) for k, v in text.items() if len(v) > 20}
+    assert whole["5"] | {"event_id": "1"} == whole["1"] and text["5"].startswith("  {")
+    assert whole["7"]["sensor"] == "s1" and whole["107"]["event_type"] == "radar" and whole["109"]["ingested_at"] == "soon"
+    assert whole["113"]["temperature_2m_c"] == "mild" and whole["3745"]["sensor"] == "s1" and whole["3745"]["event_type"] == "radar"
+
+
 def test_one_days_read_lists_only_that_day(spark):  # S2
     root = scratch_path(spark, "t-day")
     land(spark, root, [record(n) for n in range(1, 9)])
