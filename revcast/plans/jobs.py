@@ -24,9 +24,12 @@ delta of their dates; a date of ``FOLD`` runs is folded by its next merge.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +125,15 @@ def read_summary(spark: SparkSession, lay: Layout) -> DataFrame | None:
     return None if partials is None else acc.summary_of_partials(partials)
 
 
+def together(spark: SparkSession, *steps: Callable) -> list:
+    """Results of steps that don't wait for each other, run at the same time:
+    many are small jobs, which leave most of a cluster idle one by one. All
+    have ended when it returns; the first error in the order of steps is raised."""
+    with ThreadPoolExecutor(max(len(steps), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 # --- merging -----------------------------------------------------------------------
 
 
@@ -222,12 +234,13 @@ def _flagged(events: DataFrame, kind: str, temperature_range=R.TEMPERATURE_RANGE
 def fingerprint(*frames: DataFrame) -> str:
     """What a batch holds: rows and the sum of their hashes, for each frame.
     The order of rows doesn't matter."""
-    parts = []
-    for df in frames:
+
+    def part(df: DataFrame) -> str:
         h = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
         n, total = df.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)"))).first()
-        parts.append(f"{n}:{int(total or 0) % 2**64:016x}")
-    return ",".join(parts)
+        return f"{n}:{int(total or 0) % 2**64:016x}"
+
+    return ",".join(together(frames[0].sparkSession, *[partial(part, df) for df in frames]) if frames else [])
 
 
 # --- warehouse ------------------------------------------------------------------------
@@ -260,8 +273,11 @@ def merge_forecasts(
         schema = schemas.FACT_FORECAST_REVISION
         run = t.stage(fact, lay.fact_forecast, schema, "forecast_date", order)
         new = t.staged(lay.fact_forecast, run, schema)
-        dq.gate(dq.duplicate_current(new), "one_current_row_per_key")
-        dq.gate(dq.invalid_intervals(new), "valid_intervals")
+        together(
+            spark,
+            lambda: dq.gate(dq.duplicate_current(new), "one_current_row_per_key"),
+            lambda: dq.gate(dq.invalid_intervals(new), "valid_intervals"),
+        )
         _publish(t, lay.forecast_runs, runs, "forecast_date", whole, append)
         _publish(t, lay.fact_forecast, run, "forecast_date", whole, append)
 
@@ -312,13 +328,16 @@ def run_warehouse(
     with st.transaction(spark, lay.root, tx) as t:
         city, source = read_dim_city(spark, lay, t), read_dim_source(spark, lay, t)
         new = wh.new_cities(city, stg_f, stg_o, batch_ts=batch_ts)
-        merge_dimension(spark, lay, lay.dim_city, schemas.DIM_CITY, city, new, t)
-        new = wh.new_sources(source, stg_f, stg_o, batch_ts=batch_ts)
-        merge_dimension(spark, lay, lay.dim_source, schemas.DIM_SOURCE, source, new, t)
+        new_source = wh.new_sources(source, stg_f, stg_o, batch_ts=batch_ts)
+        steps = [
+            lambda: merge_dimension(spark, lay, lay.dim_city, schemas.DIM_CITY, city, new, t),
+            lambda: merge_dimension(spark, lay, lay.dim_source, schemas.DIM_SOURCE, source, new_source, t),
+        ]
         if forecast_dates:
-            merge_forecasts(spark, lay, stg_f, forecast_dates, batch_ts, tx=t)
+            steps.append(lambda: merge_forecasts(spark, lay, stg_f, forecast_dates, batch_ts, tx=t))
         if observation_dates:
-            merge_observations(spark, lay, stg_o, observation_dates, batch_ts, tx=t)
+            steps.append(lambda: merge_observations(spark, lay, stg_o, observation_dates, batch_ts, tx=t))
+        together(spark, *steps)
 
 
 def load_warehouse(
@@ -432,17 +451,23 @@ def run_batch(
                 raise ValueError(f"batch {marker} was finished with other rows ({known}, now {own})")
             return False
         with st.transaction(spark, lay.root) as tx:
-            done = {
-                kind: run_silver(spark, None, kind, lay, process_date, name, flagged=flagged[kind], tx=tx) for kind in flagged
-            }
-            (f_good, f_dates, _), (o_good, o_dates, _) = done["forecast"], done["observation"]
+            (f_good, f_dates, _), (o_good, o_dates, _) = together(
+                spark,
+                *[
+                    partial(run_silver, spark, None, kind, lay, process_date, name, flagged=flagged[kind], tx=tx)
+                    for kind in ("forecast", "observation")
+                ],
+            )
             touched = sorted(set(f_dates) | set(o_dates))
-            gate_silver(spark, lay, touched, min_coverage, tx)
-            run_warehouse(spark, lay, f_good, o_good, f_dates, o_dates, batch_ts, tx)
-            if gold_by_change:
-                run_gold_changes(spark, lay, scored_keys(f_good, o_good), touched, tx)
-            else:
-                run_gold(spark, lay, touched, tx)
+            # all three read silver as it is now, and no table of each other
+            together(
+                spark,
+                lambda: gate_silver(spark, lay, touched, min_coverage, tx),
+                lambda: run_warehouse(spark, lay, f_good, o_good, f_dates, o_dates, batch_ts, tx),
+                lambda: run_gold_changes(spark, lay, scored_keys(f_good, o_good), touched, tx)
+                if gold_by_change
+                else run_gold(spark, lay, touched, tx),
+            )
     finally:
         for df in flagged.values():
             df.unpersist()
@@ -453,9 +478,10 @@ def run_batch(
 def gate_silver(spark: SparkSession, lay: Layout, dates: list, min_coverage: float | None, tx=None) -> None:
     """Q5 and Q6 on the silver rows of the given dates."""
     rows = {kind: read_silver(spark, lay, kind, dates, tx) for kind in DATE} if dates else {}
-    for kind, df in rows.items():
-        if df is not None:
-            dq.gate(dq.event_id_duplicates(df), f"unique_event_id, {kind}")
+    unique = [
+        partial(dq.gate, dq.event_id_duplicates(df), f"unique_event_id, {kind}") for kind, df in rows.items() if df is not None
+    ]
+    together(spark, *unique)
     if min_coverage is not None and rows.get("forecast") is not None:
         observed = rows["observation"]
         if observed is None:

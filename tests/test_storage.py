@@ -2,6 +2,7 @@
 D1, D5, D7, D10, Q5, Q6)."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,40 @@ def test_a_date_of_many_deltas_is_folded_by_its_next_merge(spark, monkeypatch):
     assert [r.source_event_id for r in jobs.read_fact_forecast(spark, lay).orderBy("effective_from").collect()] == [f"e{n}" for n in range(5)]
 
 
+def test_steps_that_run_together_all_end_before_an_error_is_raised(spark):
+    spark.sparkContext.setLocalProperty("t.step", "seen")
+    meet, ended = threading.Barrier(2), []
+
+    def fails():
+        meet.wait(60)  # only passed by two at the same time
+        raise ValueError("first")
+
+    def ends():
+        meet.wait(60)
+        ended.append(spark.range(3).count())
+        return spark.sparkContext.getLocalProperty("t.step")
+
+    with pytest.raises(ValueError, match="first"):
+        jobs.together(spark, fails, ends)
+    assert ended == [3]
+    assert jobs.together(spark, lambda: 1, lambda: spark.sparkContext.getLocalProperty("t.step")) == [1, "seen"]
+    assert jobs.together(spark) == []
+
+
+def test_both_types_of_a_batch_are_written_at_the_same_time(spark, monkeypatch):  # small jobs don't wait for each other
+    meet, write = threading.Barrier(2), jobs.run_silver
+
+    def both(*args, **kw):
+        meet.wait(60)
+        return write(*args, **kw)
+
+    monkeypatch.setattr(jobs, "run_silver", both)
+    lay = jobs.new_layout(spark, "t-together")
+    assert batch(spark, lay, FIRST, "one")
+    assert [r.event_id for r in jobs.read_silver(spark, lay, "observation").collect()] == ["o"]
+    assert len({run for table in st.snapshot(spark, lay.root)[1].values() for runs in table.values() for run in runs}) == 8
+
+
 def test_quarantine_and_counts_by_batch(spark):  # K3, K4, D7
     lay = jobs.new_layout(spark, "t-d7")
     silver(spark, lay, [forecast("a", temp=None), forecast("b")], "day", "1")
