@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -571,8 +572,12 @@ def scd2_any_order(spark, d):
     of all rows at once."""
     lay = jobs.new_layout(spark, "any-order")
     for part in reversed(_deliveries(I.redelivery(spark, d), 5)):
-        dates = st.touched_dates(part, "forecast_date")
-        jobs.merge_forecasts(spark, lay, wh.stage(part, "forecast"), dates, deltas=True)
+        part = part.persist(StorageLevel.MEMORY_AND_DISK)  # read for its dates, then merged
+        try:
+            dates = st.touched_dates(part, "forecast_date")
+            jobs.merge_forecasts(spark, lay, wh.stage(part, "forecast"), dates, deltas=True)
+        finally:
+            part.unpersist()
     return jobs.read_fact_forecast(spark, lay).select(*FACT_OUT)
 
 
