@@ -205,7 +205,7 @@ def test_both_types_of_a_batch_are_written_at_the_same_time(spark, monkeypatch):
     lay = jobs.new_layout(spark, "t-together")
     assert batch(spark, lay, FIRST, "one")
     assert [r.event_id for r in jobs.read_silver(spark, lay, "observation").collect()] == ["o"]
-    assert len({run for table in st.snapshot(spark, lay.root)[1].values() for runs in table.values() for run in runs}) == 8
+    assert len({run for table in st.snapshot(spark, lay.root)[1].values() for runs in table.values() for run in runs}) == 9
 
 
 def test_quarantine_and_counts_by_batch(spark):  # K3, K4, D7
