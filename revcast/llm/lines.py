@@ -46,10 +46,25 @@ BREAK = "\n"
 _WORDS = "[ \\t\\x0B\\f\\r]+"
 
 
+#: White space that isn't one blank alone.
+_UNEVEN = "[ \\t\\x0B\\f\\r]{2,}|[\\t\\x0B\\f\\r]"
+
+
 def words_of(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), _WORDS), lambda w: w != "")
 
 
+def plain_lines(text: Column) -> Column:
+    """The lines of a text with the words of ``words_of`` one blank apart; there
+    may be one more at either end. No word is copied, and a text without other
+    white space isn't searched for it place by place."""
+    uneven = F.lit(False)
+    for blank in ("  ", "\t", "\x0b", "\f", "\r"):
+        uneven = uneven | F.contains(text, F.lit(blank))
+    lower = F.lower(text)
+    return F.split(F.when(uneven, F.regexp_replace(lower, _UNEVEN, " ")).otherwise(lower), BREAK)
+
+
 def _two(joined: Column) -> list[Column]:
     """128 bits of a word sequence, given as its words with a blank between."""
     return [F.xxhash64(joined).alias("h1"), F.xxhash64(joined, F.lit(7)).alias("h2")]
@@ -132,10 +147,13 @@ def found_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, version, pos): lines to remove from rows (doc_id, version, text)."""
     # a repeated row's lines have the same place, so they aren't copies
     line = documents.filter(F.col("doc_id").isNotNull()).select(
-        "doc_id", "version", F.posexplode(F.split("text", BREAK)).alias("pos", "line")
+        "doc_id", "version", F.posexplode(plain_lines(F.col("text"))).alias("pos", "line")
     )
-    line = line.withColumn("w", words_of(F.col("line"))).filter(F.size("w") >= EXACT_WORDS)
-    line = line.withColumns({"joined": F.array_join("w", " "), "n": F.size("w")})
+    line = line.withColumn("joined", F.trim("line"))
+    # there are words behind the first so many; nothing else is made for others
+    front = F.call_function("substring_index", F.col("joined"), F.lit(" "), F.lit(EXACT_WORDS - 1))
+    line = line.filter(F.octet_length(front) < F.octet_length("joined"))
+    line = line.withColumn("n", F.octet_length("joined") - F.octet_length(F.replace("joined", F.lit(" "), F.lit(""))) + 1)
     parts = F.when(F.col("n") >= NEAR_WORDS, _parts(F.col("joined"), F.col("n")))
     lines = written(line.select("doc_id", "version", "pos", *_two(F.col("joined")), parts.alias("parts")), "lines-hashed")
     place = ["doc_id", "version", "pos"]

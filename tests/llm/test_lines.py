@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from revcast.llm import lines as L
 
 from .fixtures import AWKWARD, SCHEMA, frame, prose
@@ -127,3 +129,18 @@ def test_variants_of_a_line_have_the_keys_of_what_is_left(spark):
     for r in rows.collect():
         v = {x["place"]: (x["h1"], x["h2"]) for x in r["v"]}
         assert v[r["i"]] == (r["whole"]["h1"], r["whole"]["h2"]) and r["whole"]["place"] == -1 and len(v) == len(r["v"])
+
+
+def test_plain_lines_have_the_words_of_their_lines(spark):
+    texts = [t for _, t in documents() if t is not None]
+    texts += ["", " ", "\n", " A\tb  C \n\x0b\n d\r\n\r\fE\x0bf \n", "ΟΔΟΣ\nΟΔΟΣ x\u00a0Y  Z\u2028İ", "x" + " " * 500 + "y \t" * 50, "a b\nc d"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = rows.select("text", L.plain_lines(rows.text).alias("plain"), F.transform(F.split("text", "\n"), L.words_of).alias("words"))
+    for r in rows.collect():
+        assert [x.strip(" ") for x in r["plain"]] == [" ".join(w) for w in r["words"]], r["text"]
+
+
+def test_short_lines_stay_whatever_their_blanks(spark):
+    docs = [(1, "a b c\nd e\n\tx  y \nz"), (2, " a\t b  c \n d  e \nx y\nz")]
+    got = {r["doc_id"]: r["text"] for r in L.dedup(frame(spark, docs)).collect()}
+    assert got == {1: docs[0][1], 2: " d  e \nx y\nz"}
