@@ -50,14 +50,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the jobs run inside; the old one is put back."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+def sifting(spark: SparkSession) -> Iterator[None]:
+    """Joins in the jobs run inside filter a side before its shuffle by a Bloom
+    filter of 4 MB of the other, filtered one, whatever the sides' sizes; the
+    settings are put back. Beyond some four million keys more rows get through."""
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1t", "numBits": str(1 << 25), "expectedNumItems": "4000000"}
+    wanted = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
+    before = {k: spark.conf.get(k) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def discard(*tables: DataFrame) -> None:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, Words, blocks, discard, mix, prepare, seeds, setting, texts, window_hashes, written
+from .common import LOWER, U64, Words, blocks, discard, mix, prepare, seeds, sifting, texts, window_hashes, written
 
 SHINGLE = 5
 #: Links have PER_CENT * union <= 100 * intersection.
@@ -354,8 +354,9 @@ def cluster(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     reachable = written(reachable, "neardup-reachable")
     # only texts of such classes are shuffled: the other side is a filtered
-    # table, from which Spark makes a Bloom filter for the documents
-    with setting(spark, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1"):
+    # table, from which Spark makes a Bloom filter for the documents, also if
+    # that table is large
+    with sifting(spark):
         picked = rows.withColumnRenamed("doc_id", "node").join(reachable.filter(F.col("n") >= MATCHES), own)
         body = picked.dropDuplicates(own).select("node", "text", "posted")
         full = written(_candidates(body), "neardup-sets")

@@ -37,15 +37,14 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, U64, blocks, discard, prepare, texts, written
+from .common import ALNUM, U64, blocks, discard, prepare, sifting, texts, written
 from .grams import Grams
 
 ORDER = 6
@@ -366,22 +365,6 @@ def _joined(rows: DataFrame, model: Model) -> DataFrame:
     return out.select("row", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("n", "mean", "strong")))
 
 
-@contextmanager
-def _bloom(spark: SparkSession) -> Iterator[None]:
-    """Filters of 4 MB before shuffles, whatever the sides' sizes; the settings
-    are put back. Beyond some four million keys they let more rows through."""
-    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1t", "numBits": str(1 << 25), "expectedNumItems": "4000000"}
-    wanted = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
-    before = {k: spark.conf.get(k) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
 def learn(
     documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> Model | None:
@@ -396,7 +379,7 @@ def learn(
     kept = written(kept, "toxicity-kept")
     rest = written(known.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_anti"), "toxicity-rest")
     # documents without a label are sifted out before they are shuffled
-    with _bloom(spark):
+    with sifting(spark):
         counted = rows.join(rest.filter(F.col("toxic").isin(0, 1)), "doc_id").select("text", "toxic")
         counts = written(count(counted), "toxicity-counts")
     discard(rest)

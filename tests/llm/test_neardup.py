@@ -121,6 +121,29 @@ def test_components_of_a_chain(spark):
     assert all(got[i] == 0 for i in range(41)) and got[61] == got[63] == got[60] == 60 and got[65] == 65 and len(got) == 70
 
 
+def test_texts_are_sifted_before_the_shuffle_however_large_the_other_side(spark, monkeypatch):
+    plans, candidates = [], N._candidates
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return candidates(rows)
+
+    monkeypatch.setattr(N, "_candidates", seen)
+    changed = {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1b", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    docs = documents()
+    source = N.written(frame(spark, docs), "test-documents")
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        assert collected(N.cluster(source), *COLUMNS) == brute(docs)
+        assert {k: spark.conf.get(k) for k in changed} == changed
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(plans) == 1 and "might_contain" in plans[0]
+
+
 def test_empty_table(spark):
     assert N.cluster(spark.createDataFrame([], SCHEMA)).count() == 0
 
