@@ -80,3 +80,18 @@ def test_empty_tables_and_unchanged_columns(spark):
     kept = D.clean(frame(spark, docs), spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS))
     bad = sum(r[-1] for r in brute(docs, items))
     assert kept.count() == len(docs) - bad and {r["row"] for r in kept.collect()} == {"c"}
+
+
+def test_clean_passes_each_text_once(spark):
+    docs, items = cases()
+    items = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
+    kept = D.clean(frame(spark, docs).drop("score").withColumnRenamed("text", "body"), items, "body")
+    assert kept.columns == [c if c != "text" else "body" for c in SCHEMA.replace(",", "").split()[::2][:-1]]
+    kinds = dict(kept.dtypes)
+    assert kinds["doc_id"] == "bigint" and kinds["body"] == "string" and kinds["n_words"] == "string"
+    bad = {r[0] for r in brute(docs, items=[(r["item_id"], r["text"]) for r in items.collect()]) if r[-1]}
+    got = sorted((r["body"] for r in kept.collect() if r["body"] is not None), key=repr)
+    assert got == sorted((t for i, t in docs if t is not None and i not in bad), key=repr)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # the rows' own columns go to Python, and no second copy of the text
+    assert "struct" not in plan
