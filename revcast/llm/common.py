@@ -49,12 +49,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the largest filter of ``sifting`` (4 MB).
+SIFT_BITS = 1 << 25
+
+
 @contextmanager
-def sifting(spark: SparkSession) -> Iterator[None]:
+def sifting(spark: SparkSession, keys: int) -> Iterator[None]:
     """Joins in the jobs run inside filter a side before its shuffle by a Bloom
-    filter of 4 MB of the other, filtered one, whatever the sides' sizes; the
-    settings are put back. Beyond some four million keys more rows get through."""
-    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1t", "numBits": str(1 << 25), "expectedNumItems": "4000000"}
+    filter of the other, filtered one, which has ``keys`` rows, whatever the
+    sides' sizes; the settings are put back. The filter has 8 to 16 bits a key,
+    as the driver and every task that makes or reads it hold it whole, and 4 MB
+    at most: beyond some four million keys more rows get through."""
+    bits = min(SIFT_BITS, max(1 << 13, 1 << (8 * keys - 1).bit_length()))
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "1", "creationSideThreshold": "1t", "numBits": str(bits), "expectedNumItems": str(bits // 8)}
     wanted = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in wanted.items()}
     before = {k: spark.conf.get(k) for k in wanted}
     try:

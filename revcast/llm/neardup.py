@@ -356,7 +356,7 @@ def cluster(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # only texts of such classes are shuffled: the other side is a filtered
     # table, from which Spark makes a Bloom filter for the documents, also if
     # that table is large
-    with sifting(spark):
+    with sifting(spark, reachable.count()):
         picked = rows.withColumnRenamed("doc_id", "node").join(reachable.filter(F.col("n") >= MATCHES), own)
         body = picked.dropDuplicates(own).select("node", "text", "posted")
         full = written(_candidates(body), "neardup-sets")

@@ -41,7 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ALNUM, U64, blocks, discard, prepare, sifting, texts, written
@@ -117,24 +117,22 @@ def _shorter(gram, ordered) -> F.Column:
 
 def shared(counts: DataFrame) -> list[DataFrame]:
     """(gram, p) by length, from one byte on: Kneser-Ney probability of every
-    shorter gram, from the number of different bytes that stand before it."""
-    kinds = counts.select("gram", "ordered")
-    by_order = []
-    for n in range(ORDER - 1, 0, -1):
-        # grams one longer: those counted at that length and endings of longer ones
-        longer = kinds.filter(F.col("ordered") == n + 1).select("gram")
-        if by_order:
-            longer = longer.unionByName(by_order[-1].select("gram"))
-        by_order.append(
-            longer.groupBy(_shorter(F.col("gram"), F.lit(n + 1)).alias("gram")).agg(F.count("*").alias("n"))
-        )
+    shorter gram, from the number of different bytes that stand before it. All
+    lengths are counted in one job; a context has 256 grams at most."""
+    longer = counts.filter("ordered > 1").select("gram", "ordered")
+    # grams one longer: those counted at that length and endings of longer ones
+    endings = longer.filter("ordered > 2").select("gram", F.explode(F.sequence(F.lit(2), F.col("ordered") - 1)).alias("ordered"))
+    endings = endings.select(_shorter(F.col("gram"), F.col("ordered") + 1).alias("gram"), "ordered").distinct()
+    longer = longer.unionByName(endings)
+    grams = longer.groupBy(_shorter(F.col("gram"), F.col("ordered")).alias("gram"), (F.col("ordered") - 1).alias("ordered")).agg(F.count("*").alias("n"))
+    context = Window.partitionBy("ordered", "context")
+    grams = grams.withColumn("context", _context(F.col("gram"))).select(
+        "gram", "ordered", "n", F.sum("n").over(context).alias("total"), F.count("*").over(context).alias("different")
+    )
+    counted = written(grams, "toxicity-endings")
     out, p = [], None
-    for i, grams in reversed(list(enumerate(by_order))):
-        n = ORDER - 1 - i
-        context = grams.groupBy(_context(F.col("gram")).alias("context")).agg(
-            F.sum("n").alias("total"), F.count("*").alias("different")
-        )
-        grams = grams.withColumn("context", _context(F.col("gram"))).join(context, "context")
+    for n in range(1, ORDER):
+        grams = counted.filter(F.col("ordered") == n)
         if p is None:
             rest = F.lit(1 / 256)
         else:
@@ -148,6 +146,7 @@ def shared(counts: DataFrame) -> list[DataFrame]:
         )
         p = written(p, "toxicity-shared")
         out.append(p)
+    discard(counted)
     return out
 
 
@@ -160,9 +159,9 @@ def evidence(counts: DataFrame, endings: list[DataFrame] | None = None) -> tuple
         grams = grams.select(F.col("gram").alias("ending"), F.lit(n).alias("ordered"), "p")
         ending = grams if ending is None else ending.unionByName(grams)
     grams = counts.withColumn("context", _context(F.col("gram")))
-    context = grams.groupBy("context", "ordered").agg(
-        *(f(c).alias(f"{name}_{c}") for c in ("toxic", "plain") for name, f in (("n", F.sum), ("kinds", lambda c: F.count_if(F.col(c) > 0))))
-    )
+    totals = {f"{name}_{c}": f(c) for c in ("toxic", "plain") for name, f in (("n", F.sum), ("kinds", lambda c: F.count_if(F.col(c) > 0)))}
+    context = grams.groupBy("context", "ordered").agg(*(x.alias(name) for name, x in totals.items()))
+    together = Window.partitionBy("context", "ordered")
 
     def weight(c):  # of the shared probability
         return F.when(F.col(f"n_{c}") > 0, DISCOUNT * F.col(f"kinds_{c}") / F.col(f"n_{c}")).otherwise(1.0)
@@ -170,7 +169,7 @@ def evidence(counts: DataFrame, endings: list[DataFrame] | None = None) -> tuple
     def own(c):
         return F.when(F.col(f"n_{c}") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"n_{c}")).otherwise(0.0)
 
-    rows = grams.join(context, ["context", "ordered"]).withColumn("ending", _shorter(F.col("gram"), F.col("ordered")))
+    rows = grams.withColumns({name: x.over(together) for name, x in totals.items()}).withColumn("ending", _shorter(F.col("gram"), F.col("ordered")))
     rows = rows.join(ending, ["ending", "ordered"], "left")
     p = F.coalesce("p", F.lit(1 / 256))
     seen = rows.select(
@@ -214,7 +213,7 @@ def model_of(counts: DataFrame) -> Model:
     seen = written(seen.select("gram", "evidence"), "toxicity-seen")
     other = written(other.select("gram", "evidence"), "toxicity-contexts")
     discard(*endings)
-    few = seen.count() + other.count() <= HELD_MODEL
+    few = seen.unionByName(other).count() <= HELD_MODEL
     return Model(seen, other, (_sorted(seen), _sorted(other)) if few else None)
 
 
@@ -379,7 +378,7 @@ def learn(
     kept = written(kept, "toxicity-kept")
     rest = written(known.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_anti"), "toxicity-rest")
     # documents without a label are sifted out before they are shuffled
-    with sifting(spark):
+    with sifting(spark, rest.count()):
         counted = rows.join(rest.filter(F.col("toxic").isin(0, 1)), "doc_id").select("text", "toxic")
         counts = written(count(counted), "toxicity-counts")
     discard(rest)

@@ -144,6 +144,14 @@ def test_texts_are_sifted_before_the_shuffle_however_large_the_other_side(spark,
     assert len(plans) == 1 and "might_contain" in plans[0]
 
 
+def test_the_filter_of_texts_is_as_large_as_its_keys(spark):
+    bits, first = "spark.sql.optimizer.runtime.bloomFilter.numBits", spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")
+    for keys, least, most in ((0, 1, 1 << 13), (20_000, 160_000, 320_000), (10**9, 1 << 25, 1 << 25)):
+        with N.sifting(spark, keys):
+            assert least <= int(spark.conf.get(bits)) <= most
+    assert spark.conf.get(bits) == first
+
+
 def test_empty_table(spark):
     assert N.cluster(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -155,3 +155,23 @@ def test_documents_of_the_curve_are_counted_too(spark):
     assert word[0] > T.STRONG
     counted = {r["gram"] for r in model.seen.select("gram").collect()}
     assert {packed(g) for _, t in learn for g in grams_of(t, T.ORDER)} == counted
+
+
+def test_the_model_takes_few_tasks(spark):
+    """The driver keeps each task and plan of a run: a shuffle of every length
+    again in each of its plans, with 211 partitions, filled its memory."""
+    counts = T.written(T.count(spark.createDataFrame(many_words(spark)[:10], "text string, toxic int")), "test-counts")
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before, status = {k: spark.conf.get(k) for k in changed}, spark.sparkContext.statusTracker()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("few-tasks", "few-tasks")
+        T.shared(counts)
+        stages = {i for j in status.getJobIdsForGroup("few-tasks") for i in status.getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    shuffled = [i for i in map(status.getStageInfo, stages) if i and i.numTasks == 16 and i.numCompletedTasks]
+    assert 0 < len(shuffled) <= 16
